@@ -27,16 +27,14 @@ def tokenize(text: Column) -> Column:
     return F.filter(pieces, lambda token: token != "")
 
 
-def token_counts(tokens: Column) -> Column:
-    """Array of (term, tf) structs, one per distinct token, computed inside the row.
+def run_starts(ordered: str) -> Column:
+    """Positions in a sorted array column where a run of equal values starts."""
+    marks = F.transform(ordered, lambda token, i: F.when((i == 0) | (token != F.get(ordered, i - 1)), i))
+    return F.filter(marks, lambda i: i.isNotNull())
 
-    Sorting brings equal tokens together; a count is the distance between two run starts.
-    """
-    ordered = F.sort_array(tokens)
-    marks = F.transform(
-        ordered, lambda token, i: F.when((i == 0) | (token != F.get(ordered, i - 1)), i)
-    )
-    starts = F.filter(marks, lambda i: i.isNotNull())
+
+def run_lengths(ordered: str, starts: str) -> Column:
+    """Array of (term, tf) structs from a sorted array column and its run starts."""
     return F.transform(
         starts,
         lambda i, k: F.struct(

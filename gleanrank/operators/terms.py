@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gleanrank.functions.scoring import tfdf_weight
-from gleanrank.functions.text import token_counts, tokenize
+from gleanrank.functions.text import run_lengths, run_starts, tokenize
 from gleanrank.operators.joins import join_counted
 
 
@@ -21,15 +21,19 @@ def with_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
 def row_postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(doc_id, doc_len, head, term, tf): one row per input row and distinct term, without a shuffle.
 
-    `head` marks exactly one row per input row, so lengths can be taken from the result. An input row
-    without any term keeps one head row, with a null term.
+    Sorting a row's tokens brings equal ones together, and a count is the distance between two run
+    starts. The arrays are columns of their own, so each is made once per row. `head` marks exactly one
+    row per input row, so lengths can be taken from the result; an input row without any term keeps one
+    head row, with a null term.
     """
-    counted = with_tokens(docs, id_col, text_col).select(
-        "doc_id",
-        F.size("tokens").cast("bigint").alias("doc_len"),
-        token_counts(F.col("tokens")).alias("counts"),
+    ordered = with_tokens(docs, id_col, text_col).select("doc_id", F.sort_array("tokens").alias("_ordered"))
+    starts = ordered.select(
+        "doc_id", F.size("_ordered").cast("bigint").alias("doc_len"), "_ordered",
+        run_starts("_ordered").alias("_starts"),
     )
-    return counted.select("doc_id", "doc_len", F.posexplode_outer("counts").alias("_i", "_c")).select(
+    runs = starts.select("doc_id", "doc_len", run_lengths("_ordered", "_starts").alias("_runs"))
+    counts = runs.select("doc_id", "doc_len", F.posexplode_outer("_runs").alias("_i", "_c"))
+    return counts.select(
         "doc_id",
         "doc_len",
         (F.coalesce("_i", F.lit(0)) == 0).alias("head"),
@@ -47,19 +51,29 @@ def merge_term_freq(postings: DataFrame) -> DataFrame:
 def term_freq(docs: DataFrame, id_col: str = "id", text_col: str = "text",
               unique_ids: bool = False) -> DataFrame:
     """Occurrences of each term in each document: (doc_id, term, tf)."""
-    rows = row_postings(docs, id_col, text_col)
     if unique_ids:
+        rows = row_postings(docs, id_col, text_col)
         return rows.filter(F.col("term").isNotNull()).select("doc_id", "term", "tf")
-    return merge_term_freq(rows)
+    return _exploded(docs, id_col, text_col).groupBy("doc_id", "term").agg(
+        F.count(F.lit(1)).alias("tf")
+    )
+
+
+def _exploded(docs: DataFrame, id_col: str, text_col: str, distinct: bool = False) -> DataFrame:
+    """(doc_id, term), one row per token or per distinct token of an input row."""
+    tokens = F.array_distinct("tokens") if distinct else F.col("tokens")
+    # The outer form keeps the planner from evaluating the token array a second time in a filter.
+    return with_tokens(docs, id_col, text_col).select(
+        "doc_id", F.explode_outer(tokens).alias("term")
+    ).filter(F.col("term").isNotNull())
 
 
 def distinct_terms(docs: DataFrame, id_col: str = "id", text_col: str = "text",
                    unique_ids: bool = False) -> DataFrame:
     """The set of terms of each document: (doc_id, term)."""
-    rows = with_tokens(docs, id_col, text_col).select(
-        "doc_id", F.explode_outer(F.array_distinct("tokens")).alias("term")
-    ).filter(F.col("term").isNotNull())
-    return rows if unique_ids else rows.dropDuplicates(["doc_id", "term"])
+    if unique_ids:
+        return _exploded(docs, id_col, text_col, distinct=True)
+    return _exploded(docs, id_col, text_col).dropDuplicates(["doc_id", "term"])
 
 
 def doc_freq(terms: DataFrame) -> DataFrame:

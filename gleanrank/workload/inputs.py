@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gleanrank.session import new_scratch
+from gleanrank.session import new_scratch, spread
 
 DOMAIN = "example.net"
 CRAWLS = ("2022-33", "2022-40")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan.select(*columns) if columns else scan
+
+
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A table whose texts are about to be processed: spread over all slots."""
+    return spread(table(spark, sf_dir, name, *columns))
 
 
 def page_url() -> Column:

@@ -28,16 +28,21 @@ PAGE_QUERY = "the article-que und"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return inputs.texts(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "id")
 
 
 def page_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return inputs.texts(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), "url", F.trim(inputs.page_title()).alias("title"),
         F.col("html").alias("text"),
     )
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the documents table has in the place of titles and urls."""
+    return table(spark, sf_dir, "documents", "doc_id", "lang", "source").withColumnRenamed("doc_id", "id")
+
+
 def rounded(scores: DataFrame, digits: int) -> DataFrame:
     return scores.withColumn("score", F.round("score", digits))
 
@@ -71,7 +76,7 @@ def corpus_stats(spark, sf_dir):
 
 
 def merged_documents(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations")
+    turns = inputs.texts(spark, sf_dir, "conversations", "conv_id", "text")
     tf = terms.term_freq(turns, "conv_id", "text")
     return terms.with_lengths(tf, terms.doc_lengths(turns, "conv_id", "text")).select(
         "doc_id", "term", "tf", "doc_len"
@@ -144,7 +149,7 @@ def score_bm25_all(spark, sf_dir):
 
 def _top10(spark, sf_dir, model, digits):
     scores = rounded(document_scores(documents(spark, sf_dir), QUERY, model), digits)
-    source = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
+    source = _sources(spark, sf_dir)
     return ranking.attach_titles(ranking.top_k(scores, 10), source, ["lang", "source"])
 
 
@@ -203,7 +208,7 @@ def index_scores_tfdf(spark, sf_dir):
 
 def index_roundtrip_search(spark, sf_dir):
     hits = search(spark, _index(spark, sf_dir, "bm25"), QUERY, 10, "bm25")
-    source = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "lang", "source")
+    source = _sources(spark, sf_dir)
     return rounded(ranking.attach_titles(hits, source, ["lang", "source"]), 6)
 
 
