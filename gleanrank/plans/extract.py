@@ -15,6 +15,9 @@ from gleanrank.session import materialize
 from gleanrank.sinks.tables import write_extracts, write_rejects
 from gleanrank.sources.records import read_wet
 
+# One short row per archive: at this many, the table to broadcast stays near 100 MB.
+MAX_BROADCAST_ARCHIVES = 1_000_000
+
 
 def domain_records(spark: SparkSession, captures: DataFrame, archives: str, word: str,
                    strict: bool = False, batch_size: int = 50, newline: str = "\r\n") -> DataFrame:
@@ -29,6 +32,8 @@ def domain_records(spark: SparkSession, captures: DataFrame, archives: str, word
     if not paths:
         return spark.createDataFrame([], schemas.EXTRACTS)
     batches = wets.select("name", "wet_pos", batch_of(F.col("wet_pos"), batch_size, start=0).alias("batch"))
+    if len(paths) <= MAX_BROADCAST_ARCHIVES:
+        batches = F.broadcast(batches)
     found = filter_domain(read_wet(spark, paths, newline), word, strict)
     return (
         found.withColumn("name", wet_name(F.col("file")))

@@ -60,13 +60,12 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
 def spread(scan: DataFrame) -> DataFrame:
     """Deal the rows of a file scan over all task slots if the scan alone would leave slots idle.
 
-    That is the case for a few unsplittable or small files. A scan with at least two splits per slot is
-    returned as it is, so large inputs are not shuffled.
+    That is the case for a few unsplittable or small files. A scan that can keep more than half of the
+    slots busy is returned as it is, so large inputs are not shuffled.
     """
     slots = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= 2 * slots:
-        return scan
-    return scan.repartition(slots)
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(slots) if 2 * splits <= slots else scan
 
 
 def drop_scratch(spark: SparkSession, path: str) -> None:
