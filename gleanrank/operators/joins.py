@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# With at most this many hot keys, each on at least MIN_ROWS_PER_SLICE rows, the hot keys of 100 TB of
+# text add up to no more than 100 MB.
 MAX_HOT_KEYS = 100_000
 MIN_ROWS_PER_SLICE = 1_000_000
 
@@ -17,7 +19,8 @@ def join_counted(rows: DataFrame, keys: DataFrame, key: str, count: str, spread_
     `spread_by`, and its single row on the other side is repeated once per slice. A slice holds at least
     sum(count) / max_hot_keys rows, so at most `max_hot_keys` keys can be hot: that bounds the one
     broadcast made here, and the repeated rows, at any data size. Whether `keys` itself is small enough
-    to broadcast is left to the planner, which knows its size at run time.
+    to broadcast is left to the planner, which knows its size at run time. `keys` is read three times, so
+    it should be a stored table.
     """
     total = keys.agg(F.sum(count).alias("_total"))
     limit = F.greatest(F.lit(float(min_rows_per_slice)), F.col("_total") / F.lit(max_hot_keys))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions
 from gleanrank.functions.scoring import bm25_idf, bm25_term, tfdf_weight
 from gleanrank.functions.text import tokenize
 from gleanrank.operators.numbering import number_rows
-from gleanrank.operators.terms import with_tokens
+from gleanrank.operators.terms import count_in_row, with_tokens
 
 MODELS = ("tfdf", "bm25")
 MAX_TOP = 1000
@@ -27,12 +27,8 @@ def check_top(n: int) -> None:
 
 def query_terms(spark: SparkSession, query: str) -> DataFrame:
     """(term, qtf) of a query string, through the tokenizer that the documents go through."""
-    return (
-        spark.range(0, 1, 1, 1)
-        .select(F.explode(tokenize(F.lit(query))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("qtf"))
-    )
+    text = spark.range(0, 1, 1, 1).select(F.lit(0).alias("doc_id"), tokenize(F.lit(query)).alias("tokens"))
+    return count_in_row(text).select(F.inline("_runs")).select("term", F.col("tf").alias("qtf"))
 
 
 def query_weights(terms: DataFrame, df: DataFrame, model: str, stats: DataFrame | None = None) -> DataFrame:
@@ -46,7 +42,7 @@ def query_weights(terms: DataFrame, df: DataFrame, model: str, stats: DataFrame
     if model == "tfdf":
         known = df.join(F.broadcast(terms), "term")
         return known.select("term", tfdf_weight(F.col("qtf"), F.col("df")).alias("weight"))
-    known = df.join(F.broadcast(terms.select("term").dropDuplicates(["term"])), "term")
+    known = df.join(F.broadcast(terms.select("term")), "term")
     # The one-row statistics join the few query terms, so the postings carry no cross join.
     return known.crossJoin(F.broadcast(stats)).select(
         "term", bm25_idf(F.col("n_docs"), F.col("df")).alias("weight"), "avg_len"

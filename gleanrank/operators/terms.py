@@ -18,20 +18,27 @@ def with_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), tokenize(F.col(text_col)).alias("tokens"))
 
 
-def row_postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc_len, head, term, tf): one row per input row and distinct term, without a shuffle.
+def count_in_row(tokenized: DataFrame) -> DataFrame:
+    """(doc_id, doc_len, _runs) from (doc_id, tokens): each row's tokens as (term, tf) structs.
 
     Sorting a row's tokens brings equal ones together, and a count is the distance between two run
-    starts. The arrays are columns of their own, so each is made once per row. `head` marks exactly one
-    row per input row, so lengths can be taken from the result; an input row without any term keeps one
-    head row, with a null term.
+    starts. The arrays are columns of their own, so each is made once per row.
     """
-    ordered = with_tokens(docs, id_col, text_col).select("doc_id", F.sort_array("tokens").alias("_ordered"))
+    ordered = tokenized.select("doc_id", F.sort_array("tokens").alias("_ordered"))
     starts = ordered.select(
         "doc_id", F.size("_ordered").cast("bigint").alias("doc_len"), "_ordered",
         run_starts("_ordered").alias("_starts"),
     )
-    runs = starts.select("doc_id", "doc_len", run_lengths("_ordered", "_starts").alias("_runs"))
+    return starts.select("doc_id", "doc_len", run_lengths("_ordered", "_starts").alias("_runs"))
+
+
+def row_postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """(doc_id, doc_len, head, term, tf): one row per input row and distinct term, without a shuffle.
+
+    `head` marks exactly one row per input row, so lengths can be taken from the result; an input row
+    without any term keeps one head row, with a null term.
+    """
+    runs = count_in_row(with_tokens(docs, id_col, text_col))
     counts = runs.select("doc_id", "doc_len", F.posexplode_outer("_runs").alias("_i", "_c"))
     return counts.select(
         "doc_id",

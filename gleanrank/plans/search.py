@@ -56,7 +56,7 @@ def document_scores(docs: DataFrame, query: str, model: str = "bm25", id_col: st
                     text_col: str = "text") -> DataFrame:
     """(doc_id, score) of every document, straight from the texts, in one pass over them."""
     check_model(model)
-    terms = query_terms(docs.sparkSession, query).orderBy("term").collect()
+    terms = query_terms(docs.sparkSession, query).collect()
     postings, summary = query_postings(docs, terms, id_col, text_col)
     if model == "tfdf":
         frequencies = F.broadcast(summary.select("term", "df"))

@@ -75,29 +75,34 @@ def corpus_stats(spark, sf_dir):
     return stats.select("n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
-def merged_documents(spark, sf_dir):
-    turns = inputs.texts(spark, sf_dir, "conversations", "conv_id", "text")
-    tf = terms.term_freq(turns, "conv_id", "text")
-    return terms.with_lengths(tf, terms.doc_lengths(turns, "conv_id", "text")).select(
-        "doc_id", "term", "tf", "doc_len"
-    )
+def _postings(docs: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Merged (tf, lengths), both from one stored pass over the texts."""
+    rows = materialize(terms.row_postings(docs, id_col, "text"), "rows")
+    lengths = materialize(terms.merge_lengths(rows.filter("head").select("doc_id", "doc_len")), "lengths")
+    return terms.merge_term_freq(rows), lengths
 
 
-def _tf(spark, sf_dir):
-    """Term counts, stored once for the steps that read them several times."""
-    return materialize(terms.term_freq(documents(spark, sf_dir)), "tf")
+def _weighted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(TF/DF weighted terms, lengths)."""
+    tf, lengths = _postings(docs)
+    tf = materialize(tf, "tf")
+    return terms.with_tfdf_weight(tf, materialize(terms.doc_freq(tf), "df")), lengths
+
+
+def merged_documents(spark, sf_dir):
+    turns = inputs.texts(spark, sf_dir, "conversations", "conv_id", "text")
+    tf, lengths = _postings(turns, "conv_id")
+    return terms.with_lengths(tf, lengths).select("doc_id", "term", "tf", "doc_len")
 
 
 def tfdf_postings(spark, sf_dir):
-    tf = _tf(spark, sf_dir)
-    weighted = terms.with_tfdf_weight(tf, terms.doc_freq(tf))
+    weighted, _ = _weighted(documents(spark, sf_dir))
     return weighted.select("doc_id", "term", "tf", F.round("weight", 9).alias("weight"))
 
 
 def doc_vectors(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    postings = terms.with_lengths(terms.term_freq(docs), terms.doc_lengths(docs))
-    vectors = terms.doc_vectors(postings, value="tf")
+    tf, lengths = _postings(documents(spark, sf_dir))
+    vectors = terms.doc_vectors(terms.with_lengths(tf, lengths), value="tf")
     entries = F.transform(
         F.array_sort(F.map_entries("vector")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
     )
@@ -105,11 +110,9 @@ def doc_vectors(spark, sf_dir):
 
 
 def doc_vectors_tfdf(spark, sf_dir):
-    tf = _tf(spark, sf_dir)
-    lengths = tf.groupBy("doc_id").agg(F.sum("tf").alias("doc_len"))
-    postings = terms.with_lengths(terms.with_tfdf_weight(tf, terms.doc_freq(tf)), lengths)
+    weighted, lengths = _weighted(documents(spark, sf_dir))
     total = F.aggregate(F.map_values("vector"), F.lit(0.0), lambda a, x: a + x)
-    return terms.doc_vectors(postings).select(
+    return terms.doc_vectors(terms.with_lengths(weighted, lengths)).select(
         "doc_id", F.size("vector").cast("bigint").alias("n_entries"), F.round(total, 6).alias("weight_sum")
     )
 
@@ -125,17 +128,23 @@ def bm25_idf_table(spark, sf_dir):
     )
 
 
+def _query_df(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Document frequencies of the query's terms only: other terms are dropped before the shuffle."""
+    names = [row["term"] for row in wanted.collect()]
+    return terms.doc_freq(terms.distinct_terms(docs).filter(F.col("term").isin(names)))
+
+
 def query_weights_tfdf(spark, sf_dir):
-    df = terms.doc_freq(terms.distinct_terms(documents(spark, sf_dir)))
-    weights = ranking.query_weights(ranking.query_terms(spark, QUERY), df, "tfdf")
+    wanted = ranking.query_terms(spark, QUERY)
+    weights = ranking.query_weights(wanted, _query_df(documents(spark, sf_dir), wanted), "tfdf")
     return weights.select("term", F.round("weight", 9).alias("weight"))
 
 
 def query_weights_bm25(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    df = terms.doc_freq(terms.distinct_terms(docs))
+    wanted = ranking.query_terms(spark, QUERY)
     stats = terms.corpus_stats(terms.doc_lengths(docs))
-    weights = ranking.query_weights(ranking.query_terms(spark, QUERY), df, "bm25", stats)
+    weights = ranking.query_weights(wanted, _query_df(docs, wanted), "bm25", stats)
     return weights.select("term", F.round("weight", 6).alias("weight"))
 
 
