@@ -1,16 +1,18 @@
 """Operators that split hot groups: same results as the plain form, and plans without a bottleneck."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from gleanrank.operators.captures import index_captures
 from gleanrank.operators.joins import join_counted
 from gleanrank.operators.numbering import batch_of, number_rows
 from gleanrank.operators.records import assemble_records, segment_lines
-from gleanrank.plans.search import document_scores
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().toString()
+from gleanrank.plans.index import build_index
+from gleanrank.plans.search import document_scores, index_scores, search
+from gleanrank.session import scratch_root
+from gleanrank.sources.tables import read_captures
 
 
 def test_join_counted_equals_plain_join(spark):
@@ -89,3 +91,53 @@ def test_search_without_index_reads_texts_once(spark, docs, tmp_path):
     assert "ReusedExchange" in final
     assert "BatchEvalPython" not in final and "ArrowEvalPython" not in final
     assert final.count("FileScan parquet") == 1
+
+
+def test_index_search_pushes_terms_to_the_scan(spark, docs, tmp_path):
+    path = str(tmp_path / "index")
+    build_index(docs, path, "bm25")
+    plan = index_scores(spark, path, "red whale", "bm25")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(term, [red,whale])" in plan or "PushedFilters: [In(term, [whale,red])" in plan
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_padding_skips_the_length_table_when_enough_match(spark, docs, tmp_path):
+    path = str(tmp_path / "index")
+    build_index(docs, path, "bm25")
+    hits = search(spark, path, "red", 3, "bm25")
+    assert hits.count() == 3
+    hits.collect()
+    final = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "/docs" not in final
+
+
+def test_captures_push_the_crawl_to_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "http://a.com/", "200", "f")], "crawl string, url string, status string, filename string")
+    rows.write.parquet(str(tmp_path / "captures"))
+    hits = index_captures(read_captures(spark, str(tmp_path / "captures")), "a.com", ["1", "2"])
+    assert "In(crawl, [1,2])" in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.count() == 1
+
+
+def test_ranges_cover_the_whole_order_key(spark):
+    scores = spark.range(100).select(F.col("id").alias("doc_id"), F.lit(0.0).alias("score"))
+    placed = scores.repartitionByRange(4, F.desc("score"), F.col("doc_id"))
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 60
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        scratch_root(Session())
+
+
+def test_index_build_drops_its_scratch_tables(spark, docs, tmp_path):
+    build_index(docs, str(tmp_path / "index"), "tfdf")
+    assert not list(Path(scratch_root(spark)).glob("index-*"))
