@@ -10,15 +10,18 @@ from gleanrank.session import materialize
 _PLACE_BITS = 33
 
 
-def number_rows(df: DataFrame, order: list[str | Column], name: str = "id", start: int = 1) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str | Column], name: str = "id", start: int = 1,
+                partitions: int | None = None) -> DataFrame:
     """Add `name` = start, start+1, ... in the given order, with no gap.
 
     Rows are range-partitioned on the whole order key, so a file, score or source that holds most of
     the rows still spreads over many tasks. Each row's partition and place are stored once; the only
-    thing summed up in order is one row count per partition.
+    thing summed up in order is one row count per partition. `partitions` defaults to the session's
+    number of shuffle partitions.
     """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(*order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )

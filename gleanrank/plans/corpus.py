@@ -19,20 +19,22 @@ def record_order(records: DataFrame) -> list[Column]:
     return [*files, F.col("block"), F.col("pos")]
 
 
-def number_documents(records: DataFrame, batch_size: int = 200) -> DataFrame:
+def number_documents(records: DataFrame, batch_size: int = 200,
+                     partitions: int | None = None) -> DataFrame:
     """(id, url, title, text, batch): ids 1, 2, ... in record order, batch = a group of ids."""
     names = ["file", "block", "pos"] + [n for n in ("wet_pos",) if n in records.columns]
     docs = record_fields(records.select(*names, "uri", "body"))
-    numbered = number_rows(docs, record_order(docs), name="id")
+    numbered = number_rows(docs, record_order(docs), name="id", partitions=partitions)
     return numbered.select(
         "id", "url", "title", "text", batch_of(F.col("id"), batch_size).alias("batch")
     )
 
 
 def build_corpus(records: DataFrame, out: str | None = None, batch_size: int = 200,
-                 format: str = "json", batch_folders: bool = True) -> DataFrame:
+                 format: str = "json", batch_folders: bool = True,
+                 partitions: int | None = None) -> DataFrame:
     """Turn records into documents and, given `out`, write them as a corpus."""
-    docs = number_documents(records, batch_size)
+    docs = number_documents(records, batch_size, partitions)
     if out is not None:
         write_corpus(docs if batch_folders else docs.drop("batch"), out, format)
     return docs

@@ -11,7 +11,7 @@ from gleanrank.operators.ranking import (
     query_weights, score, top_k, weights_from_summary, with_zero_scores,
 )
 from gleanrank.sinks.tables import write_ranking
-from gleanrank.sources.tables import read_df, read_lengths, read_postings, read_stats
+from gleanrank.sources.tables import read_df, read_lengths, read_postings, read_ranking, read_stats
 
 
 def index_scores(spark: SparkSession, index: str, query: str, model: str = "bm25") -> DataFrame:
@@ -33,7 +33,7 @@ def search(spark: SparkSession, index: str, query: str, n: int, model: str = "bm
     """The n best documents for a query: (rank, doc_id[, title, url], score).
 
     With `include_zero`, documents without a match fill the list up to n. `ranking` is a path that
-    receives the whole ranking. Titles come from `corpus`; the ids go to its reader as values, as they
+    receives the whole ranking, from which the list is then taken. Titles come from `corpus`; the ids go to its reader as values, as they
     are at most 1000.
     """
     check_top(n)
@@ -41,8 +41,9 @@ def search(spark: SparkSession, index: str, query: str, n: int, model: str = "bm
     if ranking is not None:
         everything = with_zero_scores(scores, read_lengths(spark, index)) if include_zero else scores
         write_ranking(everything, ranking)
+        scores = read_ranking(spark, ranking)
     best = scores.orderBy(F.desc("score"), "doc_id").limit(n)
-    if include_zero:
+    if include_zero and ranking is None:
         best = pad_with_zeros(best, read_lengths(spark, index), n)
     hits = add_rank(best)
     if corpus is None:

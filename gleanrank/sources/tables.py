@@ -23,17 +23,18 @@ def read_captures(spark: SparkSession, path: str, format: str = "parquet") -> Da
     return spark.read.schema(schemas.CAPTURES).format(format).load(path)
 
 
-def read_corpus(spark: SparkSession, path: str, format: str = "json", multi_line: bool = False) -> DataFrame:
+def read_corpus(spark: SparkSession, path: str, format: str = "json", multi_line: bool = False,
+                mode: str = "FAILFAST") -> DataFrame:
     """Documents (id, url, title, text) in every file below `path`.
 
     JSON lines by default; `multi_line` reads files that hold one JSON array. Ids are digits in a JSON
-    string or number.
+    string or number. A line that is not JSON stops the job, unless another reader `mode` is given.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     if format == "json":
         as_text = schemas.CORPUS.replace("id bigint", "id string")
-        docs = reader.schema(as_text).option("multiLine", multi_line).json(path)
-        return docs.withColumn("id", F.col("id").try_cast("bigint"))
+        docs = reader.schema(as_text).option("multiLine", multi_line).option("mode", mode).json(path)
+        return docs.withColumn("id", F.col("id").cast("bigint"))
     return reader.schema(schemas.CORPUS).format(format).load(path)
 
 
@@ -56,3 +57,8 @@ def read_lengths(spark: SparkSession, index: str) -> DataFrame:
 def read_stats(spark: SparkSession, index: str) -> DataFrame:
     """Corpus statistics of an index: one row (n_docs, avg_len)."""
     return spark.read.schema(schemas.STATS).parquet(f"{index}/stats")
+
+
+def read_ranking(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ranking: (doc_id, score)."""
+    return spark.read.schema(schemas.RANKING).parquet(path)

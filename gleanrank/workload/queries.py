@@ -18,7 +18,7 @@ from gleanrank.plans.search import document_scores, index_scores, search, search
 from gleanrank.session import materialize, new_scratch
 from gleanrank.sinks.tables import write_corpus, write_extracts, write_ranking, write_rejects
 from gleanrank.sources.records import read_extract_table, read_extracts, read_wet
-from gleanrank.sources.tables import read_corpus, read_df, read_postings, read_stats
+from gleanrank.sources.tables import read_corpus, read_df, read_postings, read_ranking, read_stats
 from gleanrank.workload import inputs
 from gleanrank.workload.inputs import CRAWLS, DOMAIN, table
 
@@ -187,7 +187,7 @@ def ranked_all(spark, sf_dir):
 def ranking_table(spark, sf_dir):
     path = new_scratch(spark, "ranking")
     write_ranking(rounded(document_scores(documents(spark, sf_dir), QUERY, "tfdf"), 9), path)
-    return spark.read.parquet(path)
+    return read_ranking(spark, path)
 
 
 # --- stored index --------------------------------------------------------------------------------

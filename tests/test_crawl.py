@@ -139,6 +139,14 @@ def test_corpus_forms(spark, tmp_path):
     assert [tuple(r) for r in array.orderBy("id").collect()] == expected
 
 
+def test_broken_corpus_line(spark, tmp_path):
+    (tmp_path / "a.txt").write_text('{"id": "1", "url": "u", "title": "t", "text": "x"}\n\n{"id": "2", "te\n')
+    with pytest.raises(Exception):
+        read_corpus(spark, str(tmp_path)).collect()
+    kept = read_corpus(spark, str(tmp_path), mode="DROPMALFORMED").collect()
+    assert [r.id for r in kept] == [1]
+
+
 @pytest.mark.parametrize("format", ["parquet", "text"])
 def test_from_archives_to_search(spark, tmp_path, format):
     wet = tmp_path / "data" / "crawl-data" / "c" / "segments" / "0" / "wet"

@@ -154,7 +154,9 @@ def test_ranking_does_not_depend_on_partitions(spark, docs):
 def test_whole_ranking_is_written_best_first(spark, index, tmp_path):
     model, path = index
     out = str(tmp_path / "ranking")
-    search(spark, path, "red whale", 2, model, ranking=out)
+    hits = search(spark, path, "red whale", 5, model, ranking=out)
+    plain = search(spark, path, "red whale", 5, model)
+    assert hits.orderBy("rank").collect() == plain.orderBy("rank").collect()
     rows = spark.read.parquet(out).withColumn("_f", F.col("_metadata.file_path")).orderBy("_f").collect()
     assert len(rows) == 6
     assert [r.score for r in rows] == sorted((r.score for r in rows), reverse=True)
