@@ -49,6 +49,10 @@ def extract_number(path: Column) -> Column:
     return F.regexp_extract(path, EXTRACT_NUMBER, 1).try_cast("bigint")
 
 
+# The end of a line and an empty line, whichever newline the file has.
+BLANK_LINE = r"(?:\r\n|\n|\r(?!\n)){2}"
+
+
 def unify_newlines(text: Column) -> Column:
     return F.regexp_replace(text, r"\r\n?", "\n")
 

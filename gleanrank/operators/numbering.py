@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gleanrank.functions.arithmetic import whole_div
 from gleanrank.session import materialize
 
 # monotonically_increasing_id keeps the row's place inside its partition in the low 33 bits.
@@ -45,4 +46,4 @@ def batch_of(number: Column, size: int, start: int = 1) -> Column:
     """Label of the fixed-size group that a row number falls in."""
     if size < 1:
         raise ValueError("batch size must be at least 1")
-    return F.floor((number - F.lit(start)) / F.lit(size)).cast("bigint")
+    return whole_div(number - F.lit(start), size)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gleanrank.functions.arithmetic import whole_div
 from gleanrank.functions.web import (
-    URI_HEADER, VERSION_LINE, in_domain, mentions, target_uri, text_of, title_of, unify_newlines,
+    BLANK_LINE, URI_HEADER, VERSION_LINE, in_domain, mentions, target_uri, text_of, title_of, unify_newlines,
 )
 
 
@@ -15,16 +16,15 @@ def parse_records(raw: DataFrame, value: str = "value") -> DataFrame:
     Headers end at the first blank line, so a missing or extra header moves nothing. The blank lines
     that close a record are not part of its body.
     """
-    plain = F.regexp_replace(unify_newlines(F.col(value)), rf"^{VERSION_LINE}\n", "")
-    halves = F.split(plain, "\n\n", 2)
+    # Only the first blank line is looked for here, and the filter needs the header alone: the rest of
+    # the text is copied, and rewritten once, for the records that are kept.
+    halves = F.split(F.col(value), BLANK_LINE, 2)
+    header = F.regexp_replace(unify_newlines(F.get("_halves", F.lit(0))), rf"^{VERSION_LINE}\n", "")
+    body = unify_newlines(F.coalesce(F.get("_halves", F.lit(1)), F.lit("")))
     kept = [name for name in raw.columns if name != value]
     return (
         raw.withColumn("_halves", halves)
-        .select(
-            *kept,
-            F.get("_halves", F.lit(0)).alias("header"),
-            F.regexp_replace(F.coalesce(F.get("_halves", F.lit(1)), F.lit("")), r"\n+$", "").alias("body"),
-        )
+        .select(*kept, header.alias("header"), F.regexp_replace(body, r"\n+$", "").alias("body"))
         .withColumn("uri", target_uri(F.col("header")))
         .filter(F.col("uri") != "")
         .select(*kept, "uri", "header", "body")
@@ -48,7 +48,7 @@ def segment_lines(lines: DataFrame, chunk: int = 1_000_000) -> DataFrame:
     # A URI line also puts a mark at its record's first line, where the window below meets it.
     marked = lines.select(
         "file", F.inline(F.when(is_uri, F.array(mark, own)).otherwise(F.array(own)))
-    ).withColumn("_chunk", F.floor(F.col("pos") / F.lit(chunk)))
+    ).withColumn("_chunk", whole_div(F.col("pos"), chunk))
 
     start = F.when(F.col("kind") == 0, F.col("pos"))
     before = Window.partitionBy("file").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gleanrank.functions.arithmetic import whole_div
 from gleanrank.functions.scoring import tfdf_weight
 from gleanrank.functions.text import run_lengths, run_starts, tokenize
 from gleanrank.operators.joins import join_counted
@@ -123,7 +124,7 @@ def doc_vectors(postings: DataFrame, value: str = "weight", max_entries: int = 1
     A document has no more terms than its length, so one with up to `max_entries` tokens is one row, part
     0; a longer one is dealt over as many parts as keep every map near that size.
     """
-    parts = F.floor(F.col("doc_len") / F.lit(max_entries)).cast("bigint") + 1
+    parts = whole_div(F.col("doc_len"), max_entries) + 1
     entry = F.struct("term", F.col(value).alias("value"))
     return (
         postings.withColumn("part", F.pmod(F.xxhash64("term"), parts))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gleanrank.functions.arithmetic import whole_div
 from gleanrank.session import new_scratch, spread
 
 DOMAIN = "example.net"
@@ -26,7 +27,7 @@ def page_url() -> Column:
 
 
 def archive_file() -> Column:
-    return F.concat(F.lit("wet="), F.floor(F.col("page_id") / 10).cast("string"))
+    return F.concat(F.lit("wet="), whole_div(F.col("page_id"), 10).cast("string"))
 
 
 def captures(pages: DataFrame) -> DataFrame:
