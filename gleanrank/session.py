@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.fileCompressionFactor": "8.0",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
