@@ -14,9 +14,13 @@ one of them must be equal in both. These cells are the join keys:
 * If at least t keys must agree, the t - 1 keys of highest hash can be left out on both sides (prefix filter).
 
 No true pair is lost at any of these steps. Equal sets are one class, found by a 128-bit digest, and only
-its representative is verified. Candidates are never expanded into all pairs of a key: each round compares
-one leader of each key with the members of other components, verifies by exact intersection, joins
-components, and drops the leader. Once the pairs still open are few, they are compared in one go.
+its representative is compared. A second sketch, of two to four bits an element, rejects most candidates: its
+Hamming distance, too, is at most the symmetric difference. What passes is verified by exact intersection.
+
+The pairs of a key are never written out. First, rounds of leaders: one document of each key is compared with
+those of other components, links join components, and the leader is dropped, as long as a round finds links.
+Large groups of copies are one component after that. What is still open in a key is compared sketch against
+sketch inside the key, in blocks of bounded size, and only pairs that pass leave it.
 """
 
 from __future__ import annotations
@@ -89,8 +93,8 @@ def _set_rows(shingle: int):
             digests = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests[:, 0]),
-                 pa.array(digests[:, 1])],
-                ["id", "n", "high", "low"],
+                 pa.array(digests[:, 1]), pa.array([bit_sketch(s) for s in sets], pa.binary())],
+                ["id", "n", "high", "low", "sketch"],
             )
     return run
 
@@ -157,8 +161,106 @@ def _open_rows(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
     )
 
 
-def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
-                 open_pairs_per_row: int = 2) -> tuple[DataFrame, DataFrame]:
+def bits_for(size: int) -> int:
+    """Bits of the comparison sketch of a set of this size: a power of two, at least two for each element."""
+    return 1 << max(7, int(np.ceil(np.log2(2 * max(size, 1)))))
+
+
+def bit_sketch(elements: np.ndarray) -> bytes:
+    """Bit i is the parity of the elements whose hash ends in i."""
+    bits = bits_for(len(elements))
+    odd = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch with fewer bits: parities of halves add up."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0) if len(sketch) > words else sketch
+
+
+def _may_be_similar(sizes: np.ndarray, sketches: np.ndarray, size: int, sketch: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets the distance of sketches (rows of one width) does not rule out."""
+    distance = np.bitwise_count(sketches ^ sketch).sum(axis=1, dtype=np.int64)
+    small, large = np.minimum(sizes, size), np.maximum(sizes, size)
+    return (distance * (100 + percent) <= (100 - percent) * (sizes + size)) & (100 * small >= percent * large)
+
+
+def _pair_filter(percent: int):
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source):
+            keep = []
+            for n, m, s, t in zip(*(batch.column(i).to_pylist() for i in range(2, 6))):
+                s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
+                words = min(len(s), len(t))
+                keep.append(bool(_may_be_similar(np.array([n]), _fold(s, words)[None], m, _fold(t, words), percent)[0]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _group_pairs(percent: int):
+    """Pairs of different components that the sketches do not rule out, for rows sorted by group:
+    (group, first, second, node, c, n, sketch); a row with `first` is compared with rows with `second`."""
+    def pairs(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        words = min(len(r[6]) for r in rows) // 8
+        table = np.stack([_fold(np.frombuffer(r[6], np.uint64), words) for r in rows])
+        first, second = (np.array([r[i] for r in rows], bool) for i in (1, 2))
+        node, c, n = (np.array([r[i] for r in rows], np.int64) for i in (3, 4, 5))
+        for i in np.flatnonzero(first):
+            ok = second & (c != c[i]) & ((node > node[i]) | ~first | ~second[i])
+            at = np.flatnonzero(ok)
+            for j in at[_may_be_similar(n[at], table[at], n[i], table[i], percent)]:
+                yield min(node[i], node[j]), max(node[i], node[j])
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        found: list[tuple[int, int]] = []
+
+        def batch_of(part: list[tuple[int, int]]) -> pa.RecordBatch:
+            part = list(dict.fromkeys(part))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([int(p[i]) for p in part], pa.int64()) for i in (0, 1)], ["a", "b"]
+            )
+
+        for batch in source:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    found += pairs(held)
+                    held = []
+                    if len(found) >= 10_000:
+                        yield batch_of(found)
+                        found = []
+                held.append(row)
+        if held:
+            found += pairs(held)
+        yield batch_of(found)
+
+    return run
+
+
+#: Rows of a key that are compared at once.
+BLOCK = 2000
+
+
+def _pairs_within(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b) of one key of `rows` (key, node, c) and different components that sketches let pass."""
+    counts = rows.groupBy("key").agg(F.count("*").alias("k")).select(
+        "key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.join(counts, "key").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    )
+    lower, upper = F.least("own", "other"), F.greatest("own", "other")
+    dealt = dealt.select(
+        F.xxhash64("key", lower, upper).alias("group"), (F.col("own") == lower).alias("first"),
+        (F.col("own") == upper).alias("second"), "node", "c",
+    ).join(sketches, "node")
+    grouped = dealt.select("group", "first", "second", "node", "c", "n", "sketch").repartition("group").sortWithinPartitions("group")
+    return grouped.mapInArrow(_group_pairs(percent), "a long, b long").distinct()
+
+
+def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5,
+                 percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """Link documents whose shingle sets have a Jaccard similarity of at least `percent` / 100.
 
     Returns (rows, links). rows: id, n_shingles, component_id for every row of `docs`, repeated rows and null
@@ -168,17 +270,16 @@ def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
     Defined cases: a null or empty text has no shingles and links with nothing. A row whose id is null is
     linked with nothing and its component_id is null. Rows that share an id are one document. Other columns
     of `docs` are ignored, whatever their names.
-
-    `open_pairs_per_row` is only about cost: above so many open pairs for each row, another round of leaders
-    runs before the open pairs are compared all at once. All pairs are settled either way.
     """
+    spark = docs.sparkSession
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sets = materialize(
-        source.mapInArrow(_set_rows(shingle), "id long, n long, high long, low long"), "shingle-sets"
+        source.mapInArrow(_set_rows(shingle), "id long, n long, high long, low long, sketch binary"), "shingle-sets"
     )
     # One representative for each set; `high` alone stands for it among the candidates.
-    reps = sets.filter("n > 0 and id is not null").groupBy("high", "low").agg(F.min("id").alias("node"))
-
+    reps = sets.filter("n > 0 and id is not null").groupBy("high", "low").agg(
+        F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
     keys = source.filter("id is not null").select("text").mapInArrow(_key_rows(shingle, percent), "key long, high long")
     one_key = Window.partitionBy("key")
     shared = materialize(
@@ -186,56 +287,43 @@ def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
         .filter("_lo <> _hi").select("key", "high").distinct(),
         "sketch-keys",
     )
-    candidates = materialize(shared.select("high").distinct().join(reps, "high").select("high", "node"), "candidates")
-    texts = materialize(
-        source.join(candidates.select(F.col("node").alias("id")).distinct(), "id")
-        .select(F.col("id").alias("node"), "text"),
-        "candidate-texts",
+    sketches = materialize(
+        shared.select("high").distinct().join(reps, "high").select("high", "node", "n", "sketch"), "sketches"
     )
     rows = materialize(
-        _open_rows(shared.join(candidates, "high").select("key", "node", F.col("node").alias("c")), None), "open-keys"
+        _open_rows(shared.join(sketches, "high").select("key", "node", F.col("node").alias("c")), None), "open-keys"
     )
-    spark, links, tried, comps = docs.sparkSession, [], [], None
-    count = sets.count()
-    while True:
-        groups = rows.groupBy("key", "c").agg(F.count("*").alias("k"))
-        left = groups.groupBy("key").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("p"))
-        total = left.agg(F.sum("p")).first()[0]
-        if not total:
-            break
-        last = total <= open_pairs_per_row * count
-        if last:
-            pairs = rows.alias("x").join(rows.alias("y"), F.expr("x.key = y.key and x.node < y.node and x.c <> y.c"))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        else:
-            leads = rows.groupBy("key").agg(F.min(F.struct("node", "c")).alias("lead"))
-            led = rows.join(leads, "key")
-            pairs = led.filter("c <> lead.c").select(F.col("lead.node").alias("a"), F.col("node").alias("b"))
-            rest = led.filter("node <> lead.node").select("key", "node")
-        pairs = pairs.distinct()
-        for earlier in tried:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+    sketches = sketches.select("node", "n", "sketch")
+    side = lambda to, n, sketch: sketches.select(F.col("node").alias(to), F.col("n").alias(n), F.col("sketch").alias(sketch))
+
+    def verified(pairs: DataFrame) -> DataFrame:
         pairs = materialize(pairs, "pairs")
-        tried.append(pairs)
-        links.append(materialize(_verified(pairs, texts, shingle, percent), "links"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        comps = components(every)
-        if last:
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+        texts = materialize(source.join(ids, "id").select(F.col("id").alias("node"), "text"), "candidate-texts")
+        return materialize(_verified(pairs, texts, shingle, percent), "links")
+
+    links = spark.createDataFrame([], "a long, b long")
+    while True:
+        leads = rows.groupBy("key").agg(F.min(F.struct("node", "c")).alias("lead"))
+        led = rows.join(leads, "key")
+        pairs = led.filter("c <> lead.c").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = pairs.join(side("a", "n", "s"), "a").join(side("b", "m", "t"), "b")
+        found = verified(pairs.select("a", "b", "n", "m", "s", "t").mapInArrow(_pair_filter(percent), "a long, b long"))
+        links = links.union(found)
+        comps = components(links)
+        rows = materialize(_open_rows(led.filter("node <> lead.node").select("key", "node"), comps), "open-keys")
+        if found.isEmpty():
             break
-        rows = materialize(_open_rows(rest, comps), "open-keys")
-    if not links:
-        links, comps = [spark.createDataFrame([], "a long, b long")], spark.createDataFrame([], "node long, component long")
-    every = links[0]
-    for more in links[1:]:
-        every = every.union(more)
-    of_set = reps.join(comps, "node", "left").select("high", "low", F.coalesce("component", "node").alias("_component"))
-    placed = sets.filter("n > 0 and id is not null").join(of_set, ["high", "low"])
-    # An id with several texts is one document: its least component counts.
-    result = placed.select("id", "n", "_component").union(
-        sets.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("_component"))
+    if not rows.isEmpty():
+        found = verified(_pairs_within(rows, sketches, percent))
+        if not found.isEmpty():
+            links = links.union(found)
+            comps = components(links)
+    of_set = reps.join(comps, "node", "left").select("high", "low", F.coalesce("component", "node").alias("component"))
+    placed = sets.filter("n > 0 and id is not null").select("id", "n", "high", "low").join(of_set, ["high", "low"])
+    result = placed.select("id", "n", "component").union(
+        sets.filter("n = 0 or id is null").select("id", "n", F.col("id").alias("component"))
     )
     return result.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("_component").alias("component_id")
-    ), every
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id")
+    ), links
