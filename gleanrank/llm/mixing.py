@@ -8,8 +8,9 @@ r of its words, and whose measure g is above or below the source's mean, is to b
 
 so that the expected words of a source are its target and no document is expected more than `max_copies`
 times. floor(e) copies are certain. The rest p = e - floor(e) is an inclusion probability: documents are put
-into the order of (random odds) / (odds of p), and one more copy goes to the first of them until the target is
-reached to within half a document. The size of the sample is counted in words, which is what the target is in.
+into the order of (random odds) / (odds of p), and one more copy goes to the first of them as long as the target is
+not exceeded. The size of the sample is counted in words, which is what the target is in. As documents are
+large, a gap remains; the one document left that fills it best, if any makes it smaller, is added.
 
 No source is sorted as a whole. The order value is cut into 1,024 parts and these again into 1,024: sums of the
 parts say in which of them the target is reached, and only the documents of that one part of a part are sorted.
@@ -134,7 +135,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     ranked = ranked.withColumn("v", F.when(drawable, high / (high + low)))
     cell = F.least(F.floor(F.col("v") * (PARTS * PARTS)), F.lit(PARTS * PARTS - 1)).cast("long")
     ranked = materialize(
-        ranked.select("doc_id", "source", "s", "size", "tie", "whole", "v", cell.alias("cell")), "mix-ranked"
+        ranked.select("doc_id", "source", "s", "size", "tie", "whole", "v", cell.alias("cell"), F.monotonically_increasing_id().alias("row")), "mix-ranked"
     ).withColumn("part", F.shiftright("cell", 10)).withColumn("sub", F.col("cell").bitwiseAND(PARTS - 1))
 
     drawn = ranked.filter("v is not null")
@@ -164,13 +165,22 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
         F.col("cell") < F.col("cut_cell")
     )
     # Only the documents of one part of a part of each source are sorted.
-    order = Window.partitionBy("s").orderBy("v", "doc_id", "tie", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("s").orderBy("v", "doc_id", "tie", "row").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before_part") + F.col("before_sub") + F.sum("size").over(order)
-    # The document that crosses the need stays if that ends nearer to it.
-    ends = placed.filter(is_end).withColumn("more", upto - F.col("size") / 2 <= F.col("need"))
+    ends = placed.filter(is_end).withColumn("more", upto <= F.col("need"))
     others = placed.filter(~is_end).withColumn("more", F.coalesce(F.col("v").isNotNull() & inside, F.lit(False)))
-    copies = F.col("whole") + F.col("more").cast("int")
-    return others.unionByName(ends).select(
+    drawn = others.unionByName(ends).withColumn("copies", F.col("whole") + F.col("more").cast("int"))
+    drawn = materialize(
+        drawn.select("doc_id", "source", "s", "size", "source_size", "target", "copies", "tie", "v", "more", "row"), "mix-drawn"
+    )
+    gaps = drawn.groupBy("s").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    miss = F.abs(F.col("gap") - F.col("size"))
+    fill = (
+        drawn.filter("v is not null and not more").join(gaps, "s").filter(miss < F.col("gap"))
+        .groupBy("s").agg(F.min(F.struct(miss.alias("miss"), "v", "doc_id", "tie", "row")).getField("row").alias("fill"))
+    )
+    copies = F.col("copies") + F.coalesce((F.col("row") == F.col("fill")).cast("int"), F.lit(0))
+    return drawn.join(fill, "s", "left").select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"), "tie",
     )

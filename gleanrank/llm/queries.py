@@ -4,22 +4,102 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gleanrank.llm.decontaminate import benchmark_leaks
+from gleanrank.llm.mixing import mix_sources
 from gleanrank.llm.parity_join import similar_sets
+from gleanrank.llm.token_files import token_digests, write_tokens
+from gleanrank.llm.toxicity import score_toxicity
+from gleanrank.llm.url_filter import filter_urls, host_of
+from gleanrank.session import new_scratch
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# Rules of the URL query: host, path, verdict.
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+# Hosts whose pages make up the list of blocked URLs.
+LISTED_HOSTS = "(^|[.])(ads-track|spam-farm|casino-win|adult-x|cheap-pills|free-bets)[.]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    listed = pages.filter(host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
+    return filter_urls(pages, rules, listed)
+
+
+def op2_source_mix(spark, sf_dir):
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op3_toxicity(spark, sf_dir):
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_decontamination(spark, sf_dir):
+    return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_token_files(spark, sf_dir):
+    path = new_scratch(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_digests(spark, path)
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
     return similar_sets(table(spark, sf_dir, "documents"))[0]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op7_ngram_jaccard_join,)
+    for f in (
+        op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op6_token_files, op7_ngram_jaccard_join,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+_QUERY = r"^[^?#]*\?([^#]*)"
+_AFTER = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+
+ORACLE: dict[str, str] = {
+    "op1_url_filter": f"""
+        WITH cut AS (SELECT page_id, coalesce({_AFTER}, '') AS rest FROM pages),
+        parts AS (
+            SELECT page_id, rest,
+                translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+                array_to_string(list_filter(string_split(regexp_extract(rest, '{_QUERY}', 1), '&'),
+                    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)')), '&') AS query
+            FROM cut),
+        canon AS (
+            SELECT page_id, host, path, CASE WHEN host = '' AND path = '' AND query = '' THEN '' ELSE
+                regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '')
+                || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS canonical
+            FROM parts),
+        listed AS (
+            SELECT DISTINCT canonical FROM canon
+            WHERE regexp_matches(host, '{LISTED_HOSTS}')),
+        ruled AS (
+            SELECT page_id, host, path, canonical,
+                CASE
+                    WHEN '.' || host LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                    WHEN '.' || host LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+                    WHEN '.' || host LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+                    WHEN '.' || host LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+                    WHEN '.' || host LIKE '%.org' AND path LIKE '/%' THEN 'org/'
+                END AS rule
+            FROM canon)
+        SELECT page_id, host, path, rule,
+            CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                WHEN canonical <> '' AND canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict,
+            canonical <> '' AND canonical IN (SELECT canonical FROM listed) AS listed
+        FROM ruled""",
+}

@@ -37,7 +37,7 @@ from gleanrank.session import materialize
 MAGIC, VERSION = b"TOKZ", 1
 NULL_ID = -(1 << 63)
 BLOCK_DOCUMENTS, BLOCK_BYTES = 512, 8 << 20
-_HEAD = struct.Struct("<4sI32sI")
+_HEAD = "<4sI32sI"
 #: Texts are cut at single spaces and newlines, which byte-level pre-tokenization cuts at as well. Not so
 #: inside longer runs of white space: a text with one of these is cut before a space and a visible sign only.
 _RUN = re.compile(r"\s[ \n](?:\s|\Z)")
@@ -167,7 +167,7 @@ def _image(ids: list[int | None], arrays: list[bytes], dictionary_hash: bytes, c
     frames = [compress(a) for a in arrays]
     ends = np.cumsum([len(f) for f in frames], dtype="<u8")
     return b"".join([
-        _HEAD.pack(MAGIC, VERSION, dictionary_hash, len(ids)),
+        struct.pack(_HEAD, MAGIC, VERSION, dictionary_hash, len(ids)),
         np.array([NULL_ID if i is None else i for i in ids], "<i8").tobytes(), ends.tobytes(),
         np.array([len(a) // 4 for a in arrays], "<u4").tobytes(), *frames,
     ])
@@ -175,12 +175,12 @@ def _image(ids: list[int | None], arrays: list[bytes], dictionary_hash: bytes, c
 
 def read_image(image: bytes, dictionary: bytes, only: int | None = None) -> Iterator[tuple[int | None, bytes]]:
     """(document id, ids as u32 bytes) of a block image, or of its documents with the id `only`."""
-    magic, version, digest, n = _HEAD.unpack_from(image)
+    magic, version, digest, n = struct.unpack_from(_HEAD, image)
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a token block of this version")
     if digest != hashlib.sha256(dictionary).digest():
         raise ValueError("the block was written with another dictionary")
-    at = _HEAD.size
+    at = struct.calcsize(_HEAD)
     ids = np.frombuffer(image, "<i8", n, at)
     ends = np.frombuffer(image, "<u8", n, at + 8 * n)
     counts = np.frombuffer(image, "<u4", n, at + 16 * n)

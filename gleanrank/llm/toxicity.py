@@ -1,38 +1,49 @@
 """Toxicity scores from class-conditional Kneser-Ney models (method 3).
 
-Two bigram models, one of toxic and one of ordinary texts, are compared on each document:
+Two models of the spelling of words, one of toxic and one of ordinary texts, are compared on each document.
+Rude expressions are rare and inflected, so the models run over the characters of each word, with contexts of
+up to `ORDER` - 1 characters and its start and end as symbols:
 
-    P_c(w | h) = max(count_c(h w) - D, 0) / count_c(h) + back_c(h) P_c(w)
-    P_c(w)     = max(cont_c(w) - D, 0) / cont_c + back_c P(w)
+    P_c(x | h) = max(n_c(h x) - D, 0) / n_c(h) + back_c(h) P_c(x | h without its first character)
 
-cont_c(w) is the number of different words that precede w in the class, and P(w) the share of w among the
-(document, word) pairs of the whole corpus: both classes fall back on the same counts, so a rare expression
-speaks for neither. The score is the length-normalised difference of the two log-likelihoods, turned into a
-probability by a logistic regression on labelled rows that the counts have not seen.
+n_c counts occurrences in the class at the longest context and, as Kneser and Ney do below it, the different
+words that hold the sequence. Contexts of `SHARED` - 1 characters and fewer are counted over the whole corpus and
+shared by both classes: what neither class has seen often enough speaks for neither.
+
+A document's evidence is the difference of the two log-likelihoods of its words, normalised by their number. A
+logistic regression, on labelled rows that the counts have not seen, turns the mean difference, and the mean and
+sum of what exceeds one unit a word (a few rude words in a long text), into a probability.
 
 Bounds. The class counts come from at most `max_class_rows` labelled rows of each class, the calibration from at
-most `max_fit_rows` of each; both are those of least hash of the id. The model keeps the words and bigrams that
-make up at least one part in `max_entries` of all that were counted, so it has at most that many entries and
-may be sent to every task. The fallback counts cover every document.
+most `max_fit_rows` of each: those of least hash of the id. The model keeps sequences that make up a certain
+share of all that were counted, which at most `max_entries` can reach; so it may be sent to every task. The
+shared counts cover every document.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import types
+import uuid
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gleanrank.llm.words import batches
+from gleanrank.llm.words import batches, mix
 from gleanrank.session import materialize
 
 DISCOUNT = 0.75
 THRESHOLD = 0.7
+ORDER, SHARED = 6, 3
+#: Words a worker process remembers the difference of, and the longest of them.
+_CACHE, _CACHED_LENGTH = 300_000, 64
 _WORD = re.compile(r"\w+")
+_PLACE = mix(np.arange(1, 2 * ORDER + 3, dtype=np.uint64) << np.uint64(40)) | np.uint64(1)
 
 
 def in_training(doc_id) -> F.Column:
@@ -40,102 +51,173 @@ def in_training(doc_id) -> F.Column:
     return F.crc32(F.col(doc_id).cast("string")) % 3 != 1
 
 
-def _hashes(text: str | None) -> np.ndarray:
-    """Hashes of the lower-cased words of a text; 0 is kept for the start of a text."""
-    words = _WORD.findall(text.lower()) if text else []
-    found = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    return found | np.uint64(1)
+def words_of(text: str | None) -> list[str]:
+    return _WORD.findall(text.lower()) if text else []
+
+
+def _symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words, each after its start symbols (1) and before its end (2), and the places to predict."""
+    start = "\x01" * (ORDER - 1)
+    text = start + ("\x02" + start).join(words) + "\x02" if words else ""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return codes, np.flatnonzero(codes != 1)
+
 
+def _sequence(codes: np.ndarray, at: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Hash of the characters from `first` to `last` places before each place of `at`."""
+    total = np.full(len(at), (last - first + 1) << 32, np.uint64)
+    for back in range(first, last + 1):
+        total += mix(codes[at - back] + _PLACE[back - first])  # the hash does not depend on what is predicted
+    return mix(total)
 
-def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each word, and the key of the two."""
-    before = np.r_[np.uint64(0), words[:-1]] if len(words) else words
-    return before, ((before << np.uint64(7)) | (before >> np.uint64(57))) ^ words
+
+def _grams(codes: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Key of each place's sequence of `order` characters, and of the context before it."""
+    context = _sequence(codes, at, 1, order - 1)
+    return mix(context + mix(codes[at] + np.uint64(order << 32))), context
 
 
 @dataclass
 class Model:
-    """Words and bigrams by sorted hash, with what the two classes say about them (columns: toxic, ordinary)."""
-
-    words: np.ndarray
-    word_p: np.ndarray  # P_c(w)
-    seen: np.ndarray  # count_c of the word as a context
-    back: np.ndarray  # back_c of the word as a context
-    bigrams: np.ndarray
-    bigram_n: np.ndarray  # max(count_c - D, 0)
-    weights: np.ndarray  # of the logistic regression: constant, mean difference, log of the length
-
-    def _find(self, table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(table, keys), max(0, len(table) - 1))
-        return at, (table[at] == keys if len(table) else np.zeros(len(keys), bool))
-
-    def differences(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log-likelihood difference and number of words of each text."""
-        every = [_hashes(t) for t in texts]
+    """Sequences and contexts by sorted hash, with what the classes say about them (columns: toxic, ordinary)."""
+
+    grams: np.ndarray
+    gram_n: np.ndarray  # max(n_c - D, 0)
+    contexts: np.ndarray
+    context_n: np.ndarray
+    back: np.ndarray
+    shared: np.ndarray  # sequences of SHARED characters in the corpus
+    shared_n: np.ndarray
+    shared_contexts: np.ndarray
+    shared_context_n: np.ndarray
+    shared_back: np.ndarray
+    single: np.ndarray  # characters by code point, and their share
+    single_p: np.ndarray
+    weights: np.ndarray
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
+
+    def _of_words(self, words: list[str]) -> np.ndarray:
+        """Log-likelihood difference of each word."""
+        codes, at = _symbols(words)
+        found = np.searchsorted(self.single, codes[at])
+        found = np.minimum(found, len(self.single) - 1)
+        p = np.where(self.single[found] == codes[at], self.single_p[found], 1e-7)
+        gram, context = _grams(codes, at, SHARED)
+        n = _value(self.shared_contexts, self.shared_context_n, context)
+        p = np.where(
+            n > 0, _value(self.shared, self.shared_n, gram) / np.maximum(n, 1)
+            + _value(self.shared_contexts, self.shared_back, context) * p, p,
+        )
+        both = np.stack([p, p], axis=1)
+        for order in range(SHARED + 1, ORDER + 1):
+            gram, context = _grams(codes, at, order)
+            n = _value(self.contexts, self.context_n, context)
+            both = np.where(
+                n > 0, _value(self.grams, self.gram_n, gram) / np.maximum(n, 1)
+                + _value(self.contexts, self.back, context) * both, both,
+            )
+        difference = np.log(both[:, 0]) - np.log(both[:, 1])
+        return np.bincount((np.cumsum(codes == 2) - (codes == 2))[at], difference, minlength=len(words))
+
+    def evidence(self, texts: list[str | None]) -> np.ndarray:
+        """Features of each text for the logistic regression."""
+        every = [words_of(t) for t in texts]
+        kept = sys.modules.setdefault("toxicity_words", types.ModuleType("toxicity_words")).__dict__
+        if kept.get("name") != self.name:
+            kept["name"], kept["words"] = self.name, {}
+        known = kept["words"]
+        new = list({w for words in every for w in words if w not in known})
+        fresh = {}
+        for start in range(0, len(new), 50_000):
+            part = new[start : start + 50_000]
+            fresh.update(zip(part, self._of_words(part).tolist()))
+        if len(known) < _CACHE:
+            known.update((w, v) for w, v in fresh.items() if len(w) <= _CACHED_LENGTH)
         n = np.array([len(w) for w in every], np.int64)
-        if n.sum() == 0 or len(self.words) == 0:
-            return np.zeros(len(texts)), n
-        pairs = [_pairs(w) for w in every]
-        words = np.concatenate(every)
-        before, keys = (np.concatenate([p[i] for p in pairs]) for i in (0, 1))
-        at, known = self._find(self.words, words)
-        # Words that the model does not hold say the same in both classes.
-        owner = np.repeat(np.arange(len(texts)), n)[known]
-        at, before, keys = at[known], before[known], keys[known]
-        context, has_context = self._find(self.words, before)
-        bigram, has_bigram = self._find(self.bigrams, keys)
-        p = self.word_p[at]
-        seen = np.where(has_context[:, None], self.seen[context], 0)
-        back = np.where(has_context[:, None], self.back[context], 1)
-        count = np.where(has_bigram[:, None], self.bigram_n[bigram], 0) if len(self.bigrams) else np.zeros_like(p)
-        p = np.where(seen > 0, count / np.maximum(seen, 1) + back * p, p)
-        total = np.bincount(owner, np.log(p[:, 0]) - np.log(p[:, 1]), minlength=len(texts))
-        return total / np.maximum(n, 1), n
+        value = np.fromiter((known[w] if w in known else fresh[w] for words in every for w in words), float, int(n.sum()))
+        owner = np.repeat(np.arange(len(texts)), n)
+        of_text = lambda v: np.bincount(owner, v, minlength=len(texts)) if len(v) else np.zeros(len(texts))
+        length, excess = np.maximum(n, 1), of_text(np.maximum(value - 1, 0))
+        mean = of_text(np.clip(value, -1, 8)) / length
+        return np.stack([np.ones(len(texts)), mean, np.sqrt(excess / length), np.log1p(excess), np.log1p(n)], axis=1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        mean, n = self.differences(texts)
-        return 1 / (1 + np.exp(-np.clip(_features(mean, n) @ self.weights, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights, -500, 500)))
 
 
-def _features(mean: np.ndarray, n: np.ndarray) -> np.ndarray:
-    return np.stack([np.ones(len(mean)), mean, mean * np.log1p(n), np.log1p(n)], axis=1)
+def _value(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The values of the keys that the sorted table holds, 0 for the others."""
+    if len(table) == 0:
+        return np.zeros((len(keys), *values.shape[1:]))
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    held = table[at] == keys
+    return np.where(held[:, None] if values.ndim > 1 else held, values[at], 0)
 
 
-def _bigram_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(before, word, toxic, ordinary) counts of each batch of (toxic, text)."""
+def _word_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, toxic, ordinary) occurrences in each batch of (toxic, text)."""
     for batch in batches(source):
-        parts = [(np.empty((0, 2), np.uint64), np.empty(0, bool))]
+        counts = (Counter(), Counter())
         for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = _hashes(text)
-            if len(words):
-                parts.append((np.stack([_pairs(words)[0], words], 1), np.full(len(words), toxic == 1)))
-        rows, toxic = (np.concatenate(x) for x in zip(*parts))
-        keys, at = np.unique(rows, axis=0, return_inverse=True) if len(rows) else (rows, np.empty(0, int))
-        counts = [np.bincount(at[mask], minlength=len(keys)) for mask in (toxic, ~toxic)]
+            counts[0 if toxic == 1 else 1].update(words_of(text))
+        words = list(counts[0] | counts[1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[:, 0].view(np.int64)), pa.array(keys[:, 1].view(np.int64)),
-             *(pa.array(c.astype(np.int64)) for c in counts)],
-            ["before", "word", "toxic", "ordinary"],
+            [pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in counts)],
+            ["word", "toxic", "ordinary"],
         )
 
 
-def _document_counts(table: np.ndarray):
-    """(place, n): in how many documents of this task each word of the model occurs; place -1: pairs of all words."""
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = np.zeros(len(table), np.int64), 0
-        for batch in batches(source):
-            for text in batch.column(0).to_pylist():
-                words = np.unique(_hashes(text))
-                total += len(words)
-                if len(words) and len(table):
-                    at = np.minimum(np.searchsorted(table, words), len(table) - 1)
-                    counts[at[table[at] == words]] += 1
-        place = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.r_[-1, place].astype(np.int64)), pa.array(np.r_[total, counts[place]].astype(np.int64))],
-            ["place", "n"],
+def _gram_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences of the words of each batch of (word, toxic, ordinary), with their counts in either class.
+
+    (gram, context, all occurrences, and what counts at this order: occurrences or different words)
+    """
+    for batch in batches(source):
+        counts = np.stack([batch.column(i).to_numpy() for i in (1, 2)], axis=1)
+        codes, at = _symbols(batch.column(0).to_pylist())
+        word = (np.cumsum(codes == 2) - (codes == 2))[at]
+        for order in range(SHARED + 1, ORDER + 1):
+            gram, context = _grams(codes, at, order)
+            keys, first, place = np.unique(gram, return_index=True, return_inverse=True)
+            if order == ORDER:
+                measure = counts[word]
+            else:
+                # A word that holds a sequence twice is one word.
+                measure = (counts[word] > 0).astype(np.int64)
+                again = np.unique(np.stack([word, place], axis=1), axis=0, return_index=True)[1]
+                mask = np.zeros(len(at), bool)
+                mask[again] = True
+                measure = measure * mask[:, None]
+            add = lambda v: np.bincount(place, v, minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.view(np.int64)), pa.array(context[first].view(np.int64)),
+                 pa.array(add(counts[word].sum(axis=1))), pa.array(add(measure[:, 0])), pa.array(add(measure[:, 1]))],
+                ["gram", "context", "n", "toxic", "ordinary"],
+            )
+
+
+def _corpus_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, context, last, n) over all words: sequences of SHARED characters and the character they end in."""
+    def out(words: Counter) -> pa.RecordBatch:
+        codes, at = _symbols(list(words))
+        times = np.fromiter(words.values(), np.int64, len(words))
+        gram, context = _grams(codes, at, SHARED) if len(at) else (codes, codes)
+        keys, first, place = np.unique(gram, return_index=True, return_inverse=True)
+        n = np.bincount(place, times[(np.cumsum(codes == 2) - (codes == 2))[at]], minlength=len(keys)) if len(at) else place
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(context[first].view(np.int64)),
+             pa.array(codes[at][first].astype(np.int64)), pa.array(n.astype(np.int64))],
+            ["gram", "context", "last", "n"],
         )
-    return run
+
+    words = Counter()
+    for batch in batches(source):
+        for text in batch.column(0).to_pylist():
+            words.update(words_of(text))
+        if len(words) > 200_000:
+            yield out(words)
+            words = Counter()
+    yield out(words)
 
 
 def _labelled(labels: DataFrame, rows: int, fitting: bool) -> DataFrame:
@@ -155,14 +237,14 @@ def _labelled(labels: DataFrame, rows: int, fitting: bool) -> DataFrame:
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton's method with a small ridge; class weights as they are in the sample."""
+    """Logistic regression by Newton's method with a small ridge."""
     weights = np.zeros(x.shape[1])
     scale = np.maximum(np.abs(x).max(axis=0), 1e-9)
     x = x / scale
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - y) + 1e-3 * weights
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(weights))
+        gradient = x.T @ (p - y) + 0.01 * weights
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.01 * np.eye(len(weights))
         step = np.linalg.solve(hessian, gradient)
         weights -= step
         if np.abs(step).max() < 1e-8:
@@ -170,78 +252,83 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights / scale
 
 
+def _unsigned(column) -> np.ndarray:
+    return column.to_numpy(np.int64).view(np.uint64)
+
+
+def _context_tables(gram: np.ndarray, of: np.ndarray, n: np.ndarray, contexts: np.ndarray, total: np.ndarray):
+    """Sorted tables of sequences and contexts: keys, discounted counts, context counts, and the weight left."""
+    kept = np.maximum(n - DISCOUNT, 0)
+    order, sort = np.argsort(contexts), np.argsort(gram)
+    contexts, total = contexts[order], total[order]
+    used = np.zeros_like(total)
+    if len(contexts) and len(of):
+        place = np.minimum(np.searchsorted(contexts, of), len(contexts) - 1)
+        held = contexts[place] == of
+        np.add.at(used, place[held], kept[held])
+    return gram[sort], kept[sort], contexts, total, 1 - used / np.maximum(total, 1)
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows: int = 25_000,
           max_fit_rows: int = 10_000, max_entries: int = 1 << 19) -> Model:
     """Learn a model from `docs` and the `toxic` marks of `labels`, both keyed by doc_id."""
     source = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     # At most 2 * max_class_rows ids: bounded, so it may be sent to every task.
     sample = source.join(F.broadcast(_labelled(labels, max_class_rows, False)), "id").select("toxic", "text")
-    counts = materialize(
-        sample.mapInArrow(_bigram_rows, "before long, word long, toxic long, ordinary long")
-        .groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")),
-        "bigrams",
+    words = sample.mapInArrow(_word_rows, "word string, toxic long, ordinary long").groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
+    )
+    grams = materialize(
+        words.mapInArrow(_gram_rows, "gram long, context long, n long, toxic long, ordinary long")
+        .groupBy("gram", "context").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "ordinary")]),
+        "toxic-sequences",
     )
-    total = counts.agg(F.sum(F.col("toxic") + F.col("ordinary"))).first()[0] or 0
-    # Words and bigrams: twice `total` counted, so at most max_entries reach this share.
-    least = max(2, -(-2 * total // max_entries))
-    has = lambda c: F.sum((F.col(c) > 0).cast("long"))
-    words = counts.groupBy("word").agg(
-        has("toxic").alias("toxic"), has("ordinary").alias("ordinary"), F.sum(F.col("toxic") + F.col("ordinary")).alias("n")
+    shared = materialize(
+        source.select("text").mapInArrow(_corpus_rows, "gram long, context long, last long, n long")
+        .groupBy("gram", "context", "last").agg(F.sum("n").alias("n")),
+        "corpus-sequences",
+    )
+
+    def frequent(table: DataFrame, key: str, columns: list[str]):
+        # Every place is counted once at each order, so at most max_entries keys reach this count.
+        total = table.agg(F.sum("n")).first()[0] or 0
+        sums = table.groupBy(key).agg(*[F.sum(c).alias(c) for c in dict.fromkeys(["n", *columns])])
+        return sums.filter(F.col("n") >= max(2, -(-total // max_entries))).toPandas()
+
+    class_grams = grams.groupBy("gram", "context").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "ordinary")])
+    total = grams.agg(F.sum("n")).first()[0] or 0
+    held = class_grams.filter(F.col("n") >= max(2, -(-total // max_entries))).toPandas()
+    held_contexts = frequent(grams, "context", ["toxic", "ordinary"])
+    both = ["toxic", "ordinary"]
+    tables = _context_tables(
+        _unsigned(held.gram), _unsigned(held.context), held[both].to_numpy(float),
+        _unsigned(held_contexts.context), held_contexts[both].to_numpy(float),
     )
-    contexts = counts.groupBy(F.col("before").alias("word")).agg(
-        F.sum("toxic").alias("seen_toxic"), F.sum("ordinary").alias("seen_ordinary"),
-        F.sum(F.col("toxic") + F.col("ordinary")).alias("n"),
+    corpus_total = shared.agg(F.sum("n")).first()[0] or 0
+    corpus = shared.filter(F.col("n") >= max(2, -(-corpus_total // max_entries))).toPandas()
+    corpus_contexts, singles = frequent(shared, "context", []), frequent(shared, "last", []).sort_values("last")
+    shared_tables = _context_tables(
+        _unsigned(corpus.gram), _unsigned(corpus.context), corpus.n.to_numpy(float),
+        _unsigned(corpus_contexts.context), corpus_contexts.n.to_numpy(float),
     )
-    unigrams = words.filter(F.col("n") >= least).toPandas()
-    contexts = contexts.filter(F.col("n") >= least).toPandas()
-    bigrams = counts.filter(F.col("toxic") + F.col("ordinary") >= least).toPandas()
-    continued = counts.agg(has("toxic"), has("ordinary")).first()
-
-    order = lambda df, *names: df.assign(key=df[names[0]].to_numpy().view(np.uint64)).sort_values("key")
-    unigrams, contexts = order(unigrams, "word"), order(contexts, "word")
-    table = unigrams.key.to_numpy(np.uint64)
-    spread = source.select("text").mapInArrow(_document_counts(table), "place long, n long")
-    in_documents = dict(spread.groupBy("place").agg(F.sum("n").alias("n")).toPandas().to_numpy().tolist())
-    shared = np.array([in_documents.get(i, 0) for i in range(len(table))], float)
-    shared = np.maximum(shared, 1) / max(in_documents.get(-1, 0), 1)
-
-    kept = np.maximum(unigrams[["toxic", "ordinary"]].to_numpy(float) - DISCOUNT, 0)
-    mass = np.maximum(np.array([continued[0] or 0, continued[1] or 0], float), 1)
-    left = 1 - kept.sum(axis=0) / mass
-    word_p = kept / mass + left * shared[:, None]
-
-    at = np.full(len(contexts), -1) if len(table) == 0 else np.searchsorted(table, contexts.key.to_numpy(np.uint64))
-    held = (at >= 0) & (at < len(table))
-    held[held] &= table[at[held]] == contexts.key.to_numpy(np.uint64)[held]
-    seen = np.zeros((len(table), 2))
-    seen[at[held]] = contexts[["seen_toxic", "seen_ordinary"]].to_numpy(float)[held]
-    before, word = (bigrams[c].to_numpy().view(np.uint64) for c in ("before", "word"))
-    n = np.maximum(bigrams[["toxic", "ordinary"]].to_numpy(float) - DISCOUNT, 0)
-    key = ((before << np.uint64(7)) | (before >> np.uint64(57))) ^ word
-    used = np.zeros((len(table), 2))
-    if len(table) and len(before):
-        owner = np.minimum(np.searchsorted(table, before), len(table) - 1)
-        is_word = table[owner] == before
-        np.add.at(used, owner[is_word], n[is_word])
-    by_key = np.argsort(key)
-    model = Model(table, word_p, seen, 1 - used / np.maximum(seen, 1), key[by_key], n[by_key], np.array([0.0, 1, 0, 0]))
-
-    def difference_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    single = np.r_[_unsigned(singles["last"]), np.uint64(1 << 40)]
+    single_p = np.r_[np.maximum(singles.n.to_numpy(float) / max(corpus_total, 1), 1e-7), 1e-7]
+    model = Model(*tables, *shared_tables, single, single_p, np.array([0.0, 1, 0, 0, 0]))
+
+    def evidence_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
-            mean, n = model.differences(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(mean, pa.float64()), pa.array(n, pa.int64())], ["toxic", "mean", "n"]
-            )
+            found = model.evidence(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist(), pa.list_(pa.float64()))], ["toxic", "x"])
 
     fitting = source.join(F.broadcast(_labelled(labels, max_fit_rows, True)), "id").select("toxic", "text")
-    fit = fitting.mapInArrow(difference_rows, "toxic int, mean double, n long").toPandas()
+    fit = fitting.mapInArrow(evidence_rows, "toxic int, x array<double>").toPandas()
     y = fit.toxic.to_numpy(float)
     if 0 < y.sum() < len(y):
-        model.weights = _fit(_features(fit["mean"].to_numpy(float), fit.n.to_numpy()), y)
+        model.weights = _fit(np.stack(fit.x.to_list()), y)
     else:
         # Nothing to tell the classes apart by: every text gets the share of toxic rows, 0 without rows.
         share = min(max(y.mean() if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        model.weights = np.array([np.log(share / (1 - share)), 0, 0, 0])
+        model.weights = np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
     return model
 
 
@@ -262,10 +349,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", **bou
     """(doc_id, held_out, score, predicted) for every row of `docs`.
 
     Defined cases: null and empty texts have no words and get the score of a text without evidence; a null
-    doc_id is held out of nothing (held_out false) and scored all the same; repeated rows are scored alike;
-    without labels of both classes every text gets the same score, below the threshold unless the
-    labels say toxic only. Labels that are null, or other than 0 and 1, are not learnt from; of several
-    labels of one id the toxic one counts. Other columns are ignored.
+    doc_id is not held out and scored all the same; repeated rows are scored alike; without labels of
+    both classes every text gets the same score, below the threshold unless the labels say toxic only.
+    Labels that are null, or other than 0 and 1, are not learnt from; of several labels of one id the toxic
+    one counts. Other columns are ignored.
     """
     scored = with_scores(docs, train(docs, labels, text, **bounds), text)
     return scored.select(
