@@ -13,6 +13,7 @@ from gleanrank.llm.parity_join import similar_sets
 from gleanrank.llm.token_files import token_digests, write_tokens
 from gleanrank.llm.toxicity import score_toxicity
 from gleanrank.llm.url_filter import filter_urls, host_of
+from gleanrank.llm.warc import read_pages, write_pages
 from gleanrank.session import new_scratch
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,10 +60,17 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return similar_sets(table(spark, sf_dir, "documents"))[0]
 
 
+def op10_warc(spark, sf_dir):
+    path = new_scratch(spark, "warc")
+    write_pages(table(spark, sf_dir, "pages"), path)
+    return read_pages(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op6_token_files, op7_ngram_jaccard_join,
+        op10_warc,
     )
 }
 
@@ -102,4 +110,14 @@ ORACLE: dict[str, str] = {
                 WHEN canonical <> '' AND canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END AS verdict,
             canonical <> '' AND canonical IN (SELECT canonical FROM listed) AS listed
         FROM ruled""",
+    "op10_warc": """
+        WITH bodies AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (
+            SELECT payload_digest, min(page_id) AS first FROM bodies WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, b.payload_digest,
+            CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM bodies b LEFT JOIN firsts f ON b.payload_digest = f.payload_digest""",
 }
