@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gleanrank.llm.decontaminate import benchmark_leaks
 from gleanrank.llm.mixing import mix_sources
 from gleanrank.llm.parity_join import similar_sets
+from gleanrank.llm.sentence_spans import remove_repeated_spans
 from gleanrank.llm.token_files import token_digests, write_tokens
 from gleanrank.llm.toxicity import score_toxicity
 from gleanrank.llm.url_filter import filter_urls, host_of
@@ -60,6 +61,10 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return similar_sets(table(spark, sf_dir, "documents"))[0]
 
 
+def op9_sentence_spans(spark, sf_dir):
+    return remove_repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark, sf_dir):
     path = new_scratch(spark, "warc")
     write_pages(table(spark, sf_dir, "pages"), path)
@@ -70,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op6_token_files, op7_ngram_jaccard_join,
-        op10_warc,
+        op9_sentence_spans, op10_warc,
     )
 }
 
