@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gleanrank.llm.words import batches
+from gleanrank.llm.words import batches, bound_batches
 
 PASSAGE = 48
 RANK, OVERSAMPLE = 128, 16
@@ -236,6 +236,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
                rules: Rules = Rules(), rank: int = RANK) -> DataFrame:
     """(row, leaks): every row of `docs`, all its columns in the struct `row`, with the items it leaks."""
     spark = docs.sparkSession
+    bound_batches(spark)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"), answer).distinct()
     texts = docs.select(F.col(text).cast("string").alias("text"))

@@ -17,10 +17,10 @@ No true pair is lost at any of these steps. Equal sets are one class, found by a
 its representative is compared. A second sketch, of two to four bits an element, rejects most candidates: its
 Hamming distance, too, is at most the symmetric difference. What passes is verified by exact intersection.
 
-The pairs of a key are never written out. First, rounds of leaders: one document of each key is compared with
-those of other components, links join components, and the leader is dropped, as long as a round finds links.
-Large groups of copies are one component after that. What is still open in a key is compared sketch against
-sketch inside the key, in blocks of bounded size, and only pairs that pass leave it.
+The pairs of a key are never written out. First, one document of each key, its leader, is compared with all
+others, links join components, and leaders are dropped. Large groups of copies are one component after that,
+and members of one component need no comparison. What is still open in a key is compared sketch against sketch
+inside the key, in blocks of bounded size, and only pairs that pass leave it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from gleanrank.llm.graph import components
-from gleanrank.llm.words import ascii_words, batches, mix, shingle_set
+from gleanrank.llm.words import ascii_words, batches, bound_batches, mix, shingle_set
 from gleanrank.session import materialize
 
 # Cells per element lie between this and twice this.
@@ -272,6 +272,7 @@ def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
     of `docs` are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     source = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sets = materialize(
         source.mapInArrow(_set_rows(shingle), "id long, n long, high long, low long, sketch binary"), "shingle-sets"
@@ -302,18 +303,15 @@ def similar_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", shingl
         texts = materialize(source.join(ids, "id").select(F.col("id").alias("node"), "text"), "candidate-texts")
         return materialize(_verified(pairs, texts, shingle, percent), "links")
 
-    links = spark.createDataFrame([], "a long, b long")
-    while True:
-        leads = rows.groupBy("key").agg(F.min(F.struct("node", "c")).alias("lead"))
-        led = rows.join(leads, "key")
-        pairs = led.filter("c <> lead.c").select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = pairs.join(side("a", "n", "s"), "a").join(side("b", "m", "t"), "b")
-        found = verified(pairs.select("a", "b", "n", "m", "s", "t").mapInArrow(_pair_filter(percent), "a long, b long"))
-        links = links.union(found)
-        comps = components(links)
-        rows = materialize(_open_rows(led.filter("node <> lead.node").select("key", "node"), comps), "open-keys")
-        if found.isEmpty():
-            break
+    # The leader of each key against the others. It need not find all links, only make large groups one component.
+    leads = rows.groupBy("key").agg(F.min(F.struct("node", "c")).alias("lead"))
+    led = rows.join(leads, "key").filter("node <> lead.node")
+    pairs = led.select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(side("a", "n", "s"), "a").join(side("b", "m", "t"), "b")
+    links = verified(pairs.select("a", "b", "n", "m", "s", "t").mapInArrow(_pair_filter(percent), "a long, b long"))
+    comps = components(links)
+    # Every leader has met all others of its key; what is open is among the rest.
+    rows = materialize(_open_rows(led.select("key", "node"), comps), "open-keys")
     if not rows.isEmpty():
         found = verified(_pairs_within(rows, sketches, percent))
         if not found.isEmpty():

@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gleanrank.llm.words import batches, mix
+from gleanrank.llm.words import batches, bound_batches, mix
 
 SENTENCES, WORDS, LONG_WORDS = 3, 12, 30
 CUT_ABOVE, CUT_EVERY = 40, 12
@@ -137,6 +137,7 @@ def remove_repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text
     stays. Rows that share an id are occurrences of one document: runs at the same place of it do not
     repeat each other. Null ids come last in the order, as one document. Other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     source = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).cast("string").alias("text")
     )

@@ -32,6 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
+from gleanrank.llm.words import bound_batches
 from gleanrank.session import materialize
 
 MAGIC, VERSION = b"TOKZ", 1
@@ -203,6 +204,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     one task; nulls come first. Null and empty texts have the end id alone.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     encoded = materialize(encode_documents(docs, tokenizer_path, end_id), "token-ids")
     dictionary = train_dictionary(encoded)
     digest = hashlib.sha256(dictionary).digest()

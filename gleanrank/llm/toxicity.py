@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gleanrank.llm.words import batches, mix
+from gleanrank.llm.words import batches, bound_batches, mix
 from gleanrank.session import materialize
 
 DISCOUNT = 0.75
@@ -272,6 +272,7 @@ def _context_tables(gram: np.ndarray, of: np.ndarray, n: np.ndarray, contexts: n
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows: int = 25_000,
           max_fit_rows: int = 10_000, max_entries: int = 1 << 19) -> Model:
     """Learn a model from `docs` and the `toxic` marks of `labels`, both keyed by doc_id."""
+    bound_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     # At most 2 * max_class_rows ids: bounded, so it may be sent to every task.
     sample = source.join(F.broadcast(_labelled(labels, max_class_rows, False)), "id").select("toxic", "text")

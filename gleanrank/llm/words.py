@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import SparkSession
 
 # Odd multipliers, one for each place in a shingle, from the golden-ratio sequence.
 _PLACE = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64) | 1 for i in range(64)], dtype=np.uint64)
@@ -40,6 +41,11 @@ def shingle_set(words: list[bytes], size: int = 5) -> np.ndarray:
     return np.unique(mix(total))
 
 
+def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Send at most so many rows at once to Python workers: whole texts are large, and the default is 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Non-empty batches of at most 4,096 rows and, but for single rows, about 16 MB."""
     for batch in source:
