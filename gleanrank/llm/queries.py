@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanrank.llm.decontaminate import benchmark_leaks
+from gleanrank.llm.license_scan import scan_licences
 from gleanrank.llm.mixing import mix_sources
 from gleanrank.llm.parity_join import similar_sets
 from gleanrank.llm.sentence_spans import remove_repeated_spans
@@ -61,6 +62,10 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return similar_sets(table(spark, sf_dir, "documents"))[0]
 
 
+def op8_licence_scan(spark, sf_dir):
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op9_sentence_spans(spark, sf_dir):
     return remove_repeated_spans(table(spark, sf_dir, "documents"))
 
@@ -75,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op6_token_files, op7_ngram_jaccard_join,
-        op9_sentence_spans, op10_warc,
+        op8_licence_scan, op9_sentence_spans, op10_warc,
     )
 }
 

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
@@ -43,8 +44,14 @@ _HEAD = "<4sI32sI"
 #: inside longer runs of white space: a text with one of these is cut before a space and a visible sign only.
 _RUN = re.compile(r"\s[ \n](?:\s|\Z)")
 _CUT = re.compile(r"(?= \S)")
+#: Letters and the ASCII signs behind them are two pieces, too.
+_WORD_AND_SIGNS = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]+)?")
+#: Fixed rule of byte-level vocabularies: visible Latin-1 characters stand for their bytes, the other bytes, in order,
+#: for the code points from 256.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 #: Cached pieces of a worker process; the rest is encoded each time.
-_CACHE = 300_000
+_CACHE = 500_000
 
 
 class Encoder:
@@ -68,6 +75,7 @@ class Encoder:
         )
         self.added = [t["content"] for t in told.get("added_tokens", [])]
         self.known: dict[str, bytes] = {}
+        self.seen: set[int] = set()
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -81,7 +89,8 @@ class Encoder:
             if i:
                 pieces.append("\n")
             words = line.split(" ")
-            pieces.append(words[0])
+            if words[0]:
+                pieces.append(words[0])
             pieces += [" " + w for w in words[1:]]
         return pieces
 
@@ -90,30 +99,39 @@ class Encoder:
         plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
         pieces = [self._pieces(t) if p else None for t, p in zip(texts, plain)]
         known = self.known
-        known[""] = b""
-        new = list({w for ws in pieces if ws for w in ws if w not in known})
-        fresh = dict(zip(new, self._whole(new))) if new else {}
-        if len(known) + len(fresh) <= _CACHE:
-            known.update(fresh)
-            fresh = known
-        elif fresh:
-            fresh = known | fresh if len(known) < 1000 else _Both(known, fresh)
-        else:
-            fresh = known
+        split = {}
+        for w in {w for ws in pieces if ws for w in ws if w not in known}:
+            shape = _WORD_AND_SIGNS.fullmatch(w)
+            split[w] = shape.groups("") if shape else None
+        parts = {p for ps in split.values() if ps for p in ps if p not in known}
+        told = {p: self._piece(p) for p in parts}
+        odd = [w for w, ps in split.items() if ps is None]
+        fresh = dict(zip(odd, self._whole(odd))) if odd else {}
+        look = lambda p: told[p] if p in told else known[p]
+        fresh.update((w, b"".join(map(look, ps))) for w, ps in split.items() if ps)
+        self._remember(fresh | told)
         whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]) if not all(plain) else ())
-        get = fresh.__getitem__
-        return [b"".join(map(get, ws)) if ws is not None else next(whole) for ws in pieces]
-
-
-class _Both(dict):
-    """Lookup in a full cache first, then among the pieces of this batch."""
-
-    def __init__(self, known: dict, fresh: dict):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, key):
-        return self.known[key]
+        get = known.get
+        return [b"".join([get(w) or fresh[w] for w in ws]) if ws is not None else next(whole) for ws in pieces]
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a text that is a single piece: byte-level symbols, straight into the merges."""
+        symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOLS)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4").tobytes()
+
+    def _remember(self, fresh: dict[str, bytes]) -> None:
+        """Keep what is met in a second batch; most words of a text are met once."""
+        if len(self.known) >= _CACHE:
+            return
+        seen = self.seen
+        for w, ids in fresh.items():
+            h = hash(w)
+            if h in seen:
+                self.known[w] = ids
+            else:
+                seen.add(h)
+        if len(seen) > 4 * _CACHE:
+            seen.clear()
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -130,7 +148,7 @@ def _slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBa
         yield batch.slice(start, step)
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
     """(doc_id, ids): the ids of every whole text and `end_id`, as little-endian u32 bytes."""
     end = np.array([end_id], "<u4").tobytes()
 
@@ -143,17 +161,18 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 0, text
                     [part.column(0), pa.array([i + end for i in ids], pa.binary())], ["doc_id", "ids"]
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, ids binary"
-    )
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")
 
 
-def train_dictionary(encoded: DataFrame, size: int = 64 << 10, sample_rows: int = 2000, sample_bytes: int = 8192) -> bytes:
-    """A zstandard dictionary from the first `sample_bytes` of at most `sample_rows` id arrays, those of least hash
-    of the id. With too few or too uniform samples it holds the samples' content as it is; without rows it
-    is empty."""
-    least = encoded.orderBy(F.xxhash64("doc_id"), "doc_id", F.crc32("ids")).limit(sample_rows)
-    samples = [bytes(r[0]) for r in least.select(F.expr(f"substring(ids, 1, {sample_bytes})")).collect()]
+def train_dictionary(docs: DataFrame, tokenizer_path: str, size: int = 64 << 10, sample_rows: int = 2000,
+                     sample_chars: int = 8192) -> bytes:
+    """A zstandard dictionary from the ids of the first `sample_chars` characters of at most `sample_rows`
+    documents, those of least hash of the id. With too few or too uniform samples it holds their content as it is;
+    without rows it is empty."""
+    least = docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text")).orderBy(
+        F.xxhash64("doc_id"), "doc_id", F.crc32("text")
+    ).limit(sample_rows)
+    samples = [bytes(r.ids) for r in encode_documents(least, tokenizer_path).select("ids").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
@@ -200,37 +219,40 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
                  partitions: int | None = None) -> None:
     """Encode every document of `docs` and write a token folder at `path`, in ascending doc_id order.
 
-    Rows are range-partitioned on the id and the bytes, so that neither a repeated id nor a null one gathers in
+    Rows are range-partitioned on the id and the text, so that neither a repeated id nor a null one gathers in
     one task; nulls come first. Null and empty texts have the end id alone.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    encoded = materialize(encode_documents(docs, tokenizer_path, end_id), "token-ids")
-    dictionary = train_dictionary(encoded)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    dictionary = train_dictionary(source, tokenizer_path)
     digest = hashlib.sha256(dictionary).digest()
     spark.createDataFrame([(digest.hex(), dictionary)], "hash string, dictionary binary").coalesce(1).write.parquet(
         f"{path}/dictionary"
     )
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("ids"), F.length("ids")]
-    ranged = encoded.repartitionByRange(partitions, *order) if partitions else encoded.repartitionByRange(*order)
+    end = np.array([end_id], "<u4").tobytes()
+    # Texts are shorter than their ids, so these are what is dealt out and sorted.
+    order = [F.col("doc_id").asc_nulls_first(), F.crc32("text"), F.length("text")]
+    ranged = source.repartitionByRange(partitions, *order) if partitions else source.repartitionByRange(*order)
 
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = _dictionary(dictionary)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, shared = worker_encoder(tokenizer_path), _dictionary(dictionary)
         compress = zstandard.ZstdCompressor(level=level, **({"dict_data": shared} if shared else {})).compress
-        block, part = 0, None
-        for batch in source:
+        block = 0
+        for batch in batches:
             for rows in _slices(batch, BLOCK_DOCUMENTS, BLOCK_BYTES):
-                part = rows.column(0)[0].as_py()
-                ids, arrays = rows.column(1).to_pylist(), rows.column(2).to_pylist()
+                ids = rows.column(1).to_pylist()
+                arrays = [a + end for a in encoder.encode([t or "" for t in rows.column(2).to_pylist()])]
                 real = [i for i in ids if i is not None]
                 yield pa.RecordBatch.from_pylist([{
-                    "part": part, "block": block, "documents": len(ids), "first_id": min(real, default=None),
-                    "last_id": max(real, default=None), "image": _image(ids, arrays, digest, compress),
+                    "part": rows.column(0)[0].as_py(), "block": block, "documents": len(ids),
+                    "first_id": min(real, default=None), "last_id": max(real, default=None),
+                    "image": _image(ids, arrays, digest, compress),
                 }], schema=_BLOCKS)
                 block += 1
 
     (
-        ranged.sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "ids")
+        ranged.sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "text")
         .mapInArrow(run, "part int, block int, documents int, first_id long, last_id long, image binary")
         .write.option("compression", "none").parquet(f"{path}/blocks")
     )
