@@ -4,20 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gleanrank.llm.decontaminate import without_leaks
+from gleanrank.llm.mixing import mixed_documents
 from gleanrank.llm.parity_join import similar_sets
-from gleanrank.session import materialize
+from gleanrank.llm.queries import TOKENIZER, table
+from gleanrank.llm.token_files import token_digests, write_tokens
+from gleanrank.llm.toxicity import without_toxic
+from gleanrank.session import materialize, new_scratch
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 3: documents whose score reaches the threshold go."""
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each component of similar documents, the one with the least id stays."""
-    kept = similar_sets(docs)[0].filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.filter("doc_id is null"))
+    """Operator 7: of each group of similar documents, the one with the least id stays.
+
+    Rows without an id are not compared and stay. Of rows that share an id one stays.
+    """
+    least = similar_sets(docs)[0].filter("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(least, "doc_id", "left_semi")
+    named = docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("rows_of_id"))
+    if named.filter("doc_id is not null and rows_of_id > 1").isEmpty():
+        one_each = kept
+    else:
+        one_each = kept.dropDuplicates(["doc_id"])
+    return one_each.select(docs.columns).union(docs.filter("doc_id is null"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that hold a benchmark item go."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: each document as often as the mix of sources takes it."""
+    return mixed_documents(docs)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: token files, and the digest of each document read back from them."""
+    path = new_scratch(spark, "pipeline-tokens")
+    write_tokens(docs, path, TOKENIZER)
+    return token_digests(spark, path)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
     ("ngram_jaccard_join", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("source_mix", source_mix),
+    ("token_files", token_files),
 ]
 
 # Trained models, iterated components and compressed files are beyond SQL; tests compare with brute force.
@@ -26,7 +66,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of `sf_dir`; the result of the last one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanrank.llm.decontaminate import benchmark_leaks
+from gleanrank.llm.embedding_forest import near_vectors
 from gleanrank.llm.license_scan import scan_licences
 from gleanrank.llm.mixing import mix_sources
 from gleanrank.llm.parity_join import similar_sets
@@ -52,6 +53,10 @@ def op4_decontamination(spark, sf_dir):
     return benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_files(spark, sf_dir):
     path = new_scratch(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
@@ -79,7 +84,7 @@ def op10_warc(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op6_token_files, op7_ngram_jaccard_join,
+        op1_url_filter, op2_source_mix, op3_toxicity, op4_decontamination, op5_embedding_near_dedup, op6_token_files, op7_ngram_jaccard_join,
         op8_licence_scan, op9_sentence_spans, op10_warc,
     )
 }
