@@ -10,6 +10,8 @@ ARCHIVE_HOST = "https://data.commoncrawl.org"
 VERSION_LINE = "WARC/1.0"
 URI_HEADER = "WARC-Target-URI"
 EXTRACT_NUMBER = r"Multi(-?\d+)\.txt$"
+# The folder that our own text extracts of a batch are written to.
+BATCH_FOLDER = r"/batch=(\d+)/[^/]*$"
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
@@ -40,13 +42,21 @@ def wet_url(filename: Column, prefix: str = ARCHIVE_HOST) -> Column:
 
 
 def wet_name(location: Column) -> Column:
-    """Base name of an extracted-text archive: what stands between `wet/` and `wet.gz`."""
-    return F.regexp_extract(location, r"wet/([^/]*)wet\.gz", 1)
+    """Base name of an extracted-text archive: what stands between `wet/` and a final `wet.gz`."""
+    return F.regexp_extract(location, r"wet/([^/]*)wet\.gz$", 1)
+
+
+def plain_path(location: Column, encoded: bool = False) -> Column:
+    """A location without its scheme; `encoded` ones (as Spark reports read files) are decoded first."""
+    if encoded:
+        location = F.url_decode(F.replace(location, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(location, r"^[A-Za-z][A-Za-z0-9+.-]*:(?://)?", "")
 
 
 def extract_number(path: Column) -> Column:
-    """The number in an extract file's name, null where it has none."""
-    return F.regexp_extract(path, EXTRACT_NUMBER, 1).try_cast("bigint")
+    """The number in an extract file's name or of its batch folder, null where it has none."""
+    named, batch = (F.regexp_extract(path, pattern, 1).try_cast("bigint") for pattern in (EXTRACT_NUMBER, BATCH_FOLDER))
+    return F.coalesce(named, batch)
 
 
 # The end of a line and an empty line, whichever newline the file has.

@@ -19,7 +19,7 @@ def parse_records(raw: DataFrame, value: str = "value") -> DataFrame:
     # Only the first blank line is looked for here, and the filter needs the header alone: the rest of
     # the text is copied, and rewritten once, for the records that are kept.
     halves = F.split(F.col(value), BLANK_LINE, 2)
-    header = F.regexp_replace(unify_newlines(F.get("_halves", F.lit(0))), rf"^{VERSION_LINE}\n", "")
+    header = F.regexp_replace(unify_newlines(F.get("_halves", F.lit(0))), rf"^(?:{VERSION_LINE})?\n", "")
     body = unify_newlines(F.coalesce(F.get("_halves", F.lit(1)), F.lit("")))
     kept = [name for name in raw.columns if name != value]
     return (
@@ -84,6 +84,11 @@ def filter_domain(records: DataFrame, word: str, strict: bool = False) -> DataFr
     return records.filter(domain_test(F.col("uri"), word, strict))
 
 
+def may_mention(text: Column, word: str, strict: bool = False) -> Column:
+    """False only for raw records that `filter_domain` would drop: their text does not hold the word."""
+    return F.lower(text).contains(word.lower()) if strict else text.contains(word)
+
+
 def domain_test(uri: Column, word: str, strict: bool = False) -> Column:
     return in_domain(uri, word) if strict else mentions(uri, word)
 

@@ -81,7 +81,7 @@ def distinct_terms(docs: DataFrame, id_col: str = "id", text_col: str = "text",
     """The set of terms of each document: (doc_id, term)."""
     if unique_ids:
         return _exploded(docs, id_col, text_col, distinct=True)
-    return _exploded(docs, id_col, text_col).dropDuplicates(["doc_id", "term"])
+    return _exploded(docs, id_col, text_col, distinct=True).dropDuplicates(["doc_id", "term"])
 
 
 def doc_freq(terms: DataFrame) -> DataFrame:
@@ -118,16 +118,20 @@ def with_tfdf_weight(tf: DataFrame, df: DataFrame) -> DataFrame:
     return joined.withColumn("weight", tfdf_weight(F.col("tf"), F.col("df"))).drop("df")
 
 
-def doc_vectors(postings: DataFrame, value: str = "weight", max_entries: int = 1_000_000) -> DataFrame:
-    """(doc_id, part, doc_len, vector): each document's terms as a map.
+def doc_vectors(postings: DataFrame, lengths: DataFrame, value: str = "weight", parts: int = 1) -> DataFrame:
+    """(doc_id, part, doc_len, vector): each document of `lengths` with its terms as a map, empty for none.
 
-    A document has no more terms than its length, so one with up to `max_entries` tokens is one row, part
-    0; a longer one is dealt over as many parts as keep every map near that size.
+    With `parts` above 1 the terms of every document are dealt over so many rows, for corpora whose longest
+    documents have too many terms for one map.
     """
-    parts = whole_div(F.col("doc_len"), max_entries) + 1
     entry = F.struct("term", F.col(value).alias("value"))
-    return (
-        postings.withColumn("part", F.pmod(F.xxhash64("term"), parts))
-        .groupBy("doc_id", "doc_len", "part")
+    maps = (
+        postings.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int"))
+        .groupBy("doc_id", "part")
         .agg(F.map_from_entries(F.collect_list(entry)).alias("vector"))
     )
+    kind = maps.schema["vector"].dataType
+    rows = lengths.select("doc_id", "doc_len", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    return rows.join(maps, ["doc_id", "part"], "left").select(
+        "doc_id", "part", "doc_len", F.coalesce("vector", F.create_map().cast(kind)).alias("vector")
+    )

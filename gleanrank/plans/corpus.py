@@ -22,18 +22,24 @@ def record_order(records: DataFrame) -> list[Column]:
 def number_documents(records: DataFrame, batch_size: int = 200,
                      partitions: int | None = None) -> DataFrame:
     """(id, url, title, text, batch): ids 1, 2, ... in record order, batch = a group of ids."""
-    names = ["file", "block", "pos"] + [n for n in ("wet_pos",) if n in records.columns]
-    docs = record_fields(records.select(*names, "uri", "body"))
-    numbered = number_rows(docs, record_order(docs), name="id", partitions=partitions)
+    place = ["file", "block", "pos"]
+    names = place + [n for n in ("wet_pos",) if n in records.columns]
+    # Only places are sorted and stored; bodies move once, to the number of their place.
+    places = records.select(*names)
+    numbers = number_rows(places, record_order(places), name="id", partitions=partitions).select(*place, "id")
+    numbered = record_fields(records.select(*place, "uri", "body")).join(numbers, place)
     return numbered.select(
         "id", "url", "title", "text", batch_of(F.col("id"), batch_size).alias("batch")
     )
 
 
 def build_corpus(records: DataFrame, out: str | None = None, batch_size: int = 200,
-                 format: str = "json", batch_folders: bool = True,
+                 format: str = "json", batch_folders: bool = False,
                  partitions: int | None = None) -> DataFrame:
-    """Turn records into documents and, given `out`, write them as a corpus."""
+    """Turn records into documents and, given `out`, write them as a corpus.
+
+    `batch_folders` writes a folder for each batch of ids: for small corpora, as each holds a file or more.
+    """
     docs = number_documents(records, batch_size, partitions)
     if out is not None:
         write_corpus(docs if batch_folders else docs.drop("batch"), out, format)

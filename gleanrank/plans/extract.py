@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanrank import schemas
-from gleanrank.functions.web import wet_name
+from gleanrank.functions.web import plain_path
 from gleanrank.operators.captures import index_captures, rejected_captures, wet_locations
 from gleanrank.operators.numbering import batch_of, number_rows
 from gleanrank.operators.records import filter_domain
@@ -15,29 +15,30 @@ from gleanrank.session import materialize
 from gleanrank.sinks.tables import write_extracts, write_rejects
 from gleanrank.sources.records import read_wet
 
-# One short row per archive: at this many, the table to broadcast stays near 100 MB.
-MAX_BROADCAST_ARCHIVES = 1_000_000
-
 
 def domain_records(spark: SparkSession, captures: DataFrame, archives: str, word: str,
-                   strict: bool = False, batch_size: int = 50, newline: str = "\r\n") -> DataFrame:
+                   strict: bool = False, batch_size: int = 50) -> DataFrame:
     """Records of a domain out of the archives that hold the given captures.
 
     Each archive is read once, however many captures point to it. The archive paths go to the driver,
     as the file reader takes paths; they are as many as the files it then has to list. An archive's
-    batch is that of its first capture.
+    batch is that of its first capture. Archives are told apart by their whole path, so `archives` has to be
+    absolute; a file that was read and is not among the locations stops the job.
     """
     wets = materialize(wet_locations(captures, archives), "wet-locations")
     paths = [row["wet"] for row in wets.select("wet").toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], schemas.EXTRACTS)
-    batches = wets.select("name", "wet_pos", batch_of(F.col("wet_pos"), batch_size, start=0).alias("batch"))
-    if len(paths) <= MAX_BROADCAST_ARCHIVES:
-        batches = F.broadcast(batches)
-    found = filter_domain(read_wet(spark, paths, newline), word, strict)
+    batches = wets.select(
+        plain_path(F.col("wet")).alias("path"), "wet_pos",
+        batch_of(F.col("wet_pos"), batch_size, start=0).alias("batch"),
+    )
+    found = filter_domain(read_wet(spark, paths, word, strict), word, strict)
+    lost = F.raise_error(F.concat(F.lit("read, but not among the located archives: "), "file"))
     return (
-        found.withColumn("name", wet_name(F.col("file")))
-        .join(batches, "name")
+        found.withColumn("path", plain_path(F.col("file"), encoded=True))
+        .join(batches, "path", "left")
+        .withColumn("wet_pos", F.when(F.col("wet_pos").isNull(), lost.cast("bigint")).otherwise(F.col("wet_pos")))
         .select("file", "block", "pos", "uri", "header", "body", "wet_pos", "batch")
     )
 
@@ -45,7 +46,7 @@ def domain_records(spark: SparkSession, captures: DataFrame, archives: str, word
 def extract_domain(spark: SparkSession, captures: DataFrame, archives: str, domain: str,
                    out: str, crawls: Sequence[str] | None = None, rejects: str | None = None,
                    word: str | None = None, strict: bool = False, only_ok: bool = False,
-                   batch_size: int = 50, newline: str = "\r\n", format: str = "parquet") -> None:
+                   batch_size: int = 50, format: str = "parquet") -> None:
     """Look a domain up in the index and append its records to `out`.
 
     Captures with another status than 200 go to `rejects`, and are still extracted unless `only_ok`. The
@@ -59,5 +60,5 @@ def extract_domain(spark: SparkSession, captures: DataFrame, archives: str, doma
         write_rejects(rejected_captures(hits), rejects)
     if only_ok:
         hits = hits.filter(F.col("status") == "200")
-    records = domain_records(spark, hits, archives, word or domain, strict, batch_size, newline)
+    records = domain_records(spark, hits, archives, word or domain, strict, batch_size)
     write_extracts(records, out, format)

@@ -16,19 +16,21 @@ def write_rejects(rejects: DataFrame, path: str) -> None:
 
 
 def write_extracts(records: DataFrame, path: str, format: str = "parquet") -> None:
-    """Append domain records below one folder per batch.
+    """Append domain records.
 
-    Parquet keeps each record's place in its archive. `text` writes the records out in full, in the form
-    that `read_extracts` and other archive tools read.
+    Parquet keeps each record's place in its archive and its batch as columns. `text` writes the records out in
+    full, in the form that `read_extracts` and other archive tools read: below one folder per batch, whose
+    number and whose files' names keep the order.
     """
     if format == "text":
         whole = F.concat(
             F.lit(VERSION_LINE + "\n"), "header", F.lit("\n\n"), "body", F.lit("\n")
         )
-        ordered = records.sortWithinPartitions("batch", "file", "block", "pos")
+        order = ["batch", *(n for n in ("wet_pos",) if n in records.columns), "file", "block", "pos"]
+        ordered = records.repartitionByRange(*order).sortWithinPartitions(*order)
         ordered.select("batch", whole.alias("value")).write.mode("append").partitionBy("batch").text(path)
     else:
-        records.write.mode("append").partitionBy("batch").format(format).save(path)
+        records.write.mode("append").format(format).save(path)
 
 
 def write_corpus(docs: DataFrame, path: str, format: str = "json") -> None:

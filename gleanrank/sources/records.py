@@ -8,34 +8,39 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 from gleanrank import schemas
 from gleanrank.functions.web import VERSION_LINE
-from gleanrank.operators.records import parse_records
+from gleanrank.operators.records import may_mention, parse_records
 
 
-def _read_records(reader: DataFrameReader, paths: str | Sequence[str], newline: str) -> DataFrame:
-    # The separator is a whole version line, so the words in running text cut nothing.
-    separated = reader.option("lineSep", newline + VERSION_LINE + newline)
+def _read_records(reader: DataFrameReader, paths: str | Sequence[str], word: str | None, strict: bool) -> DataFrame:
+    # A version token at the start of a line stands in archives with either newline, and not in running text.
+    separated = reader.option("lineSep", "\n" + VERSION_LINE)
     raw = separated.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
     )
-    return parse_records(raw)
+    # The URI is part of the raw text: a plain search of it spares most records the parsing.
+    return parse_records(raw if word is None else raw.filter(may_mention(F.col("value"), word, strict)))
 
 
-def read_wet(spark: SparkSession, paths: str | Sequence[str], newline: str = "\r\n") -> DataFrame:
+def read_wet(spark: SparkSession, paths: str | Sequence[str], word: str | None = None,
+             strict: bool = False) -> DataFrame:
     """Records of extracted-text archives, plain or gzip: (file, block, pos, uri, header, body).
 
+    Lines may end in LF or CRLF, also differently from file to file. With `word`, records whose raw text does
+    not hold it (in any case under `strict`) are left out before they are parsed. A line of a text that
+    starts with the version token ends its record: the separator cannot tell it from a record's start.
     `pos` rises with the place of a record inside its block, `block` with the place of the block inside
     its file. A gzip archive is one block, read by one task.
     """
-    return _read_records(spark.read, paths, newline)
+    return _read_records(spark.read, paths, word, strict)
 
 
-def read_extracts(spark: SparkSession, folder: str, newline: str = "\n") -> DataFrame:
+def read_extracts(spark: SparkSession, folder: str) -> DataFrame:
     """Records of all `.txt` extract files below a folder, in the columns of `read_wet`."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt")
-    return _read_records(reader, folder, newline)
+    return _read_records(reader, folder, None, False)
 
 
 def read_extract_table(spark: SparkSession, path: str) -> DataFrame:

@@ -26,8 +26,17 @@ def page_url() -> Column:
     return F.when(F.col("page_id") % 5 == 0, F.concat("url", F.lit("?ref=" + DOMAIN))).otherwise(F.col("url"))
 
 
-def archive_file() -> Column:
-    return F.concat(F.lit("wet="), whole_div(F.col("page_id"), 10).cast("string"))
+def archive_path(kind: str) -> Column:
+    """Path of a page's archive, `kind` being warc (raw) or wet (extracted text); ten pages share one.
+
+    Two segments have archives of the same names; one name holds a space, and one archive is not compressed.
+    """
+    archive = whole_div(F.col("page_id"), 10)
+    name = F.when(archive == 4, "part 2").otherwise(F.concat(F.lit("part-"), whole_div(archive, 2).cast("string")))
+    ending = F.when(archive == 6, ".warc").otherwise(".warc.gz" if kind == "warc" else ".warc.wet.gz")
+    return F.concat(
+        F.lit("crawl-data/main/segments/"), (archive % 2).cast("string"), F.lit(f"/{kind}/"), name, ending
+    )
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -37,7 +46,7 @@ def captures(pages: DataFrame) -> DataFrame:
         F.when(F.col("page_id") % 2 == 0, CRAWLS[1]).otherwise(CRAWLS[0]).alias("crawl"),
         page_url().alias("url"),
         F.when(F.col("page_id") % 7 == 0, "404").otherwise("200").alias("status"),
-        F.concat(F.lit("crawl-data/main/segments/0/warc/"), archive_file(), F.lit(".warc.gz")).alias("filename"),
+        archive_path("warc").alias("filename"),
     )
 
 
@@ -79,16 +88,27 @@ def record_lines(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame) -> str:
-    """Write the pages as gzip archives below a scratch folder, and return that folder."""
+    """Write the pages as archive files below a scratch folder, every second one with LF, and return that folder."""
     root = new_scratch(pages.sparkSession, "archives")
-    whole = F.concat(F.lit("WARC/1.0\r\n"), record_text("\r\n"))
-    (
-        pages.select(F.concat(archive_file(), F.lit(".warc.wet.gz")).alias("_dir"), "page_id", whole.alias("value"))
-        .withColumn("wet", F.substring_index("_dir", "=", -1))
-        .repartitionByRange("wet", "page_id")
-        .sortWithinPartitions("wet", "page_id")
-        .select("wet", "value")
-        .write.partitionBy("wet").option("compression", "gzip").option("lineSep", "\r\n")
-        .text(f"{root}/crawl-data/main/segments/0/wet")
+    crlf, lf = (F.concat(F.lit("WARC/1.0" + end), record_text(end)) for end in ("\r\n", "\n"))
+    rows = pages.select(
+        archive_path("wet").alias("path"), "page_id",
+        F.when(whole_div(F.col("page_id"), 10) % 2 == 0, crlf).otherwise(lf).alias("value"),
     )
+
+    def write(table):
+        import gzip
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        path = table.column("path")[0].as_py()
+        data = "".join(table.sort_by("page_id").column("value").to_pylist()).encode()
+        store, base = fs.FileSystem.from_uri(root)
+        store.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+        with store.open_output_stream(f"{base}/{path}", compression=None) as out:
+            out.write(gzip.compress(data) if path.endswith(".gz") else data)
+        return pa.table({"path": [path]})
+
+    rows.groupBy("path").applyInArrow(write, "path string").count()
     return root

@@ -55,6 +55,7 @@ BM25_SCORES = f"""scores AS (SELECT docs.doc_id, round(coalesce(s.score, 0), 6)
   ) s ON docs.doc_id = s.doc_id)"""
 
 DOCS = _terms("documents", "doc_id")
+DOCS_AND_EMPTY = _terms("(SELECT doc_id, text FROM documents UNION ALL SELECT -1, '')", "doc_id")
 PAGES = _terms("pages", "page_id", "html")
 TFDF = f"{DOCS}, {_query(QUERY)}, {TFDF_SCORES}"
 BM25 = f"{DOCS}, {_query(QUERY)}, {BM25_SCORES}"
@@ -80,7 +81,8 @@ OF_DOMAIN = f"({HOST} = '{DOMAIN}' OR {HOST} LIKE '%.{DOMAIN}')"
 
 CRAWL = f"""WITH p AS (SELECT page_id, html,
     CASE WHEN page_id % 5 = 0 THEN url || '?ref={DOMAIN}' ELSE url END AS url,
-    'crawl-data/main/segments/0/warc/wet=' || (page_id // 10) || '.warc.gz' AS filename,
+    'crawl-data/main/segments/' || (page_id // 10 % 2) || '/warc/' || CASE WHEN page_id // 10 = 4 THEN 'part 2'
+    ELSE 'part-' || (page_id // 10 // 2) END || CASE WHEN page_id // 10 = 6 THEN '.warc' ELSE '.warc.gz' END AS filename,
     regexp_extract(html, '<title>([^<]*)</title>', 1) AS raw_title FROM pages),
 captures AS (SELECT page_id AS pos,
     CASE WHEN page_id % 2 = 0 THEN '{CRAWLS[1]}' ELSE '{CRAWLS[0]}' END AS crawl, url,
@@ -103,11 +105,12 @@ ORACLE: dict[str, str] = {
     "tfdf_postings":
         f"{DOCS} SELECT doc_id, tf.term, tf, round({TFDF_WEIGHT}, 9) AS weight FROM tf JOIN df ON tf.term = df.term",
     "doc_vectors":
-        f"{DOCS} SELECT tf.doc_id, doc_len, string_agg(term || '=' || tf, ' ' ORDER BY term) AS vector "
-        f"{POSTINGS} GROUP BY tf.doc_id, doc_len",
+        f"{DOCS_AND_EMPTY} SELECT len.doc_id, doc_len, coalesce(string_agg(term || '=' || tf, ' ' ORDER BY term), '') "
+        "AS vector FROM len LEFT JOIN tf ON tf.doc_id = len.doc_id GROUP BY len.doc_id, doc_len",
     "doc_vectors_tfdf":
-        f"{DOCS} SELECT doc_id, CAST(count(*) AS BIGINT) AS n_entries, round(sum({TFDF_WEIGHT}), 6) AS weight_sum "
-        "FROM tf JOIN df ON tf.term = df.term GROUP BY doc_id",
+        f"{DOCS_AND_EMPTY} SELECT len.doc_id, doc_len, coalesce(string_agg(tf.term || '=' || "
+        f"CAST(round({TFDF_WEIGHT} * 1e6::DOUBLE) AS BIGINT), ' ' ORDER BY tf.term), '') AS vector "
+        "FROM len LEFT JOIN (tf JOIN df ON tf.term = df.term) ON tf.doc_id = len.doc_id GROUP BY len.doc_id, doc_len",
     "bm25_idf": f"{DOCS} SELECT term, df, round({IDF}, 6) AS idf FROM df CROSS JOIN stats",
     "query_weights_tfdf":
         f"{DOCS}, {_query(QUERY)} SELECT q.term, round(CAST(qtf AS DOUBLE) / df, 9) AS weight "
@@ -146,7 +149,7 @@ ORACLE: dict[str, str] = {
     "wet_locations":
         f"{CRAWL} SELECT 'https://data.commoncrawl.org/' || replace(replace(filename, '/warc/', '/wet/'), "
         "'.warc.gz', '.warc.wet.gz') AS wet, "
-        "replace(replace(filename, 'crawl-data/main/segments/0/warc/', ''), '.gz', '.') AS name, "
+        "regexp_extract(filename, '/warc/([^/]*warc[.])gz$', 1) AS name, "
         "CAST(min(pos) AS BIGINT) AS wet_pos FROM captures GROUP BY filename",
     "wet_scan": f"{CRAWL} SELECT url AS uri, body FROM records",
     "domain_records":
@@ -161,6 +164,7 @@ ORACLE: dict[str, str] = {
         "SELECT page_id AS id, url, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, "
         "html AS text FROM pages",
     "extract_roundtrip": f"{CRAWL} SELECT url, title, text FROM fields",
+    "extract_order": f"{CRAWL} SELECT row_number() OVER (ORDER BY page_id) AS id, url, title FROM fields",
     "domain_corpus":
         f"""{CRAWL}, wets AS (SELECT filename, min(pos) AS wet_pos FROM captures
   WHERE {OF_DOMAIN} AND crawl IN ({IN_CRAWLS}) GROUP BY filename),

@@ -11,7 +11,7 @@ from gleanrank.functions.text import tokenize
 from gleanrank.operators import captures as cap
 from gleanrank.operators import ranking, records as rec, terms
 from gleanrank.operators.numbering import batch_of, number_rows
-from gleanrank.plans.corpus import number_documents, record_order
+from gleanrank.plans.corpus import build_corpus, record_order
 from gleanrank.plans.extract import extract_domain
 from gleanrank.plans.index import build_index
 from gleanrank.plans.search import document_scores, index_scores, search, search_documents
@@ -100,9 +100,15 @@ def tfdf_postings(spark, sf_dir):
     return weighted.select("doc_id", "term", "tf", F.round("weight", 9).alias("weight"))
 
 
+def _with_empty(docs: DataFrame) -> DataFrame:
+    """The documents and one without a text, whose id is -1."""
+    empty = docs.sparkSession.createDataFrame([(-1, "")], "id bigint, text string")
+    return docs.select("id", "text").union(empty)
+
+
 def doc_vectors(spark, sf_dir):
-    tf, lengths = _postings(documents(spark, sf_dir))
-    vectors = terms.doc_vectors(terms.with_lengths(tf, lengths), value="tf")
+    tf, lengths = _postings(_with_empty(documents(spark, sf_dir)))
+    vectors = terms.doc_vectors(tf, lengths, value="tf")
     entries = F.transform(
         F.array_sort(F.map_entries("vector")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
     )
@@ -110,19 +116,20 @@ def doc_vectors(spark, sf_dir):
 
 
 def doc_vectors_tfdf(spark, sf_dir):
-    weighted, lengths = _weighted(documents(spark, sf_dir))
-    total = F.aggregate(F.map_values("vector"), F.lit(0.0), lambda a, x: a + x)
-    return terms.doc_vectors(terms.with_lengths(weighted, lengths)).select(
-        "doc_id", F.size("vector").cast("bigint").alias("n_entries"), F.round(total, 6).alias("weight_sum")
+    weighted, lengths = _weighted(_with_empty(documents(spark, sf_dir)))
+    entries = F.transform(
+        F.array_sort(F.map_entries("vector")),
+        lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 1e6).cast("bigint").cast("string")),
     )
+    return terms.doc_vectors(weighted, lengths).select("doc_id", "doc_len", F.array_join(entries, " ").alias("vector"))
 
 
 # --- query weights, scores, ranking --------------------------------------------------------------
 
 def bm25_idf_table(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    df = terms.doc_freq(terms.distinct_terms(docs))
-    stats = terms.corpus_stats(terms.doc_lengths(docs))
+    tf, lengths = _postings(docs)
+    df, stats = terms.doc_freq(tf), terms.corpus_stats(lengths)
     return df.crossJoin(F.broadcast(stats)).select(
         "term", "df", F.round(bm25_idf(F.col("n_docs"), F.col("df")), 6).alias("idf")
     )
@@ -252,7 +259,7 @@ def wet_locations(spark, sf_dir):
 
 def wet_scan(spark, sf_dir):
     root = inputs.write_archives(table(spark, sf_dir, "pages"))
-    scanned = read_wet(spark, f"{root}/crawl-data/main/segments/0/wet")
+    scanned = read_wet(spark, f"{root}/crawl-data/main/segments/*/wet/*")
     return scanned.select("uri", "body")
 
 
@@ -301,12 +308,25 @@ def extract_roundtrip(spark, sf_dir):
     return rec.record_fields(read_extracts(spark, path).select("uri", "body"))
 
 
+def extract_order(spark, sf_dir):
+    path = new_scratch(spark, "extracts")
+    found = rec.parse_records(inputs.records(table(spark, sf_dir, "pages")))
+    write_extracts(
+        found.select(
+            F.lit("pages").alias("file"), F.lit(0).alias("block"), F.col("page_id").alias("pos"), "uri",
+            "header", "body", batch_of(F.col("page_id"), 10, start=0).alias("batch"),
+        ),
+        path, format="text",
+    )
+    return build_corpus(read_extracts(spark, path)).select("id", "url", "title")
+
+
 def domain_corpus(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     root = inputs.write_archives(pages)
     out = new_scratch(spark, "domain")
     extract_domain(spark, inputs.captures(pages), root, DOMAIN, out, CRAWLS)
-    return number_documents(read_extract_table(spark, out))
+    return build_corpus(read_extract_table(spark, out))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -319,6 +339,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         index_scores_tfdf, index_roundtrip_search, index_roundtrip_tfdf, captures_by_domain,
         captures_per_crawl, rejected_captures, wet_locations, wet_scan, domain_records,
         domain_records_strict, record_fields, sequential_ids, corpus_roundtrip, extract_roundtrip,
-        domain_corpus,
+        domain_corpus, extract_order,
     )
 } | {"bm25_idf": bm25_idf_table}

@@ -74,6 +74,36 @@ def test_wet_records(spark, tmp_path, kind):
     ]
 
 
+@pytest.mark.parametrize("kind", ["plain", "gzip"])
+def test_either_newline_in_one_read(spark, tmp_path, kind):
+    for number, end in enumerate(["\r\n", "\n", "\n", "\r\n"]):
+        text = WARCINFO + "".join(record(f"http://a/{number}/{k}", f"t{k}\n\nlast") for k in range(3))
+        data = text.replace("\r\n", end).encode()
+        name = f"{number}.warc.wet" + (".gz" if kind == "gzip" else "")
+        (tmp_path / name).write_bytes(gzip.compress(data) if kind == "gzip" else data)
+    rows = read_wet(spark, str(tmp_path)).collect()
+    assert sorted((r.uri, r.body) for r in rows) == [
+        (f"http://a/{n}/{k}", f"t{k}\n\nlast") for n in range(4) for k in range(3)]
+
+
+def test_same_names_odd_names_and_plain_archives(spark, tmp_path):
+    """Equal names in two segments, a space, a percent sign, a plus, and an uncompressed archive: each record once."""
+    files = ["s1/warc/f.warc.gz", "s2/warc/f.warc.gz", "s1/warc/x y.warc.gz", "s1/warc/x%20y.warc.gz",
+             "s2/warc/a+b.warc.gz", "s2/warc/x.arc"]
+    rows = []
+    for n, file in enumerate(files):
+        wet = tmp_path / "data" / "a" / "b" / "c" / file.replace("/warc/", "/wet/").replace("warc.gz", "warc.wet.gz")
+        wet.parent.mkdir(parents=True, exist_ok=True)
+        data = record(f"https://example.com/{n}", "A").encode()
+        wet.write_bytes(gzip.compress(data) if file.endswith(".gz") else data)
+        rows.append(("1", f"https://example.com/{n}", "200", f"a/b/c/{file}"))
+    captures = spark.createDataFrame(rows, "crawl string, url string, status string, filename string")
+    out = str(tmp_path / "out")
+    extract_domain(spark, captures, str(tmp_path / "data"), "example.com", out)
+    assert sorted(r.uri for r in read_extract_table(spark, out).collect()) == [
+        f"https://example.com/{n}" for n in range(len(files))]
+
+
 def test_split_plain_archive_keeps_every_record(spark, tmp_path):
     path = tmp_path / "big.warc.wet"
     path.write_text("".join(record(f"http://a/{k}", f"title {k}\n" + "word " * (k % 50)) for k in range(3000)), newline="")
@@ -115,7 +145,7 @@ def test_extract_files_in_number_order(spark, tmp_path):
         text = "\n-----#\n" + "".join(record(f"http://h/{number}/{k}", f"t{number}-{k}\nb") for k in range(3))
         (folder / f"CC-Multi{number}.txt").write_text(text.replace("\r\n", "\n"))
         (folder / "notes.log").write_text("WARC-Target-URI: no")
-    docs = build_corpus(read_extracts(spark, str(tmp_path)), str(tmp_path / "out"), batch_size=4)
+    docs = build_corpus(read_extracts(spark, str(tmp_path)), str(tmp_path / "out"), batch_size=4, batch_folders=True)
     rows = docs.orderBy("id").collect()
     assert [r.id for r in rows] == list(range(1, 10))
     assert [r.title for r in rows] == [f"t{n}-{k}" for n in (9, 10, 100) for k in range(3)]
@@ -173,8 +203,7 @@ def test_from_archives_to_search(spark, tmp_path, format):
     corpus = read_corpus(spark, corpus_path)
     ids = {r.title + r.url[-1]: r.id for r in corpus.collect()}
     assert sorted(ids.values()) == [1, 2, 3, 4, 5, 6]
-    if format == "parquet":
-        assert ids["Post 00"] < ids["Ref0"] < ids["Post 11"] < ids["Post 22"]
+    assert ids["Post 00"] < ids["Ref0"] < ids["Post 11"] < ids["Post 22"]
     build_index(corpus, index, "bm25")
     hits = search(spark, index, "Whale", 2, "bm25", corpus=corpus).orderBy("rank").collect()
     assert [(h.title, h.url) for h in hits] == [

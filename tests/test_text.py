@@ -90,12 +90,13 @@ def test_equal_ids_are_merged(spark):
 def test_vectors_hold_each_term_once(spark, docs):
     tf = terms.term_freq(docs)
     weighted = terms.with_tfdf_weight(tf, terms.doc_freq(tf))
-    postings = terms.with_lengths(weighted, terms.doc_lengths(docs))
-    whole = {r.doc_id: r for r in terms.doc_vectors(postings).collect()}
-    assert set(whole) == {1, 2, 3, 5, 6} and all(r.part == 0 for r in whole.values())
+    lengths = terms.doc_lengths(docs)
+    whole = {r.doc_id: r for r in terms.doc_vectors(weighted, lengths).collect()}
+    assert set(whole) == {1, 2, 3, 4, 5, 6} and all(r.part == 0 for r in whole.values())
+    assert whole[4].vector == {} and whole[4].doc_len == 0
     assert whole[5].vector == {"red": pytest.approx(3 / 3), "whale": pytest.approx(1 / 2)}
-    split = terms.doc_vectors(postings, max_entries=2).collect()
-    assert {r.part for r in split if r.doc_id == 6} <= {0, 1, 2}
+    split = terms.doc_vectors(weighted, lengths, parts=3).collect()
+    assert sorted((r.doc_id, r.part) for r in split) == [(d, p) for d in range(1, 7) for p in range(3)]
     together = {}
     for r in split:
         assert not together.get(r.doc_id, {}).keys() & r.vector.keys()
