@@ -16,6 +16,7 @@ from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gleanrank.llm.words import least_by_hash
 from gleanrank.session import materialize
 
 NONE, UNKNOWN = "none", "unknown"
@@ -102,11 +103,15 @@ def _templates(spark: SparkSession) -> DataFrame:
 def train(docs: DataFrame, text: str = "text", sample: int = 10_000, false_share: float = 1e-4) -> tuple[PipelineModel, float]:
     """The classifier, and the probability from which a family counts.
 
-    `sample` bounds the paragraphs of the corpus used in training, and those used in the calibration: those of
-    least hash among paragraphs that hold no word of licences.
+    `sample` bounds the documents that ordinary paragraphs are taken from (those of least hash of the id), the
+    paragraphs used in training, and those used in the calibration: of least hash among paragraphs that hold
+    no word of licences.
     """
     spark = docs.sparkSession
-    lines = docs.select(F.explode(F.split(F.col(text).cast("string"), r"\n")).alias("line"))
+    some = least_by_hash(
+        docs.select("doc_id", F.col(text).cast("string").alias("text")), F.xxhash64("doc_id"), sample, docs.count()
+    )
+    lines = some.select(F.explode(F.split("text", r"\n")).alias("line"))
     plain = lines.filter("line <> ''").filter(~F.lower("line").rlike("licen|copyright|all rights|redistribut"))
     least = plain.select("line", F.xxhash64("line").alias("at")).orderBy("at", "line").limit(2 * sample)
     drawn = materialize(least.select(words_of(F.substring("line", 1, 2000)).alias("words"), "at"), "plain-paragraphs")

@@ -33,7 +33,7 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
-from gleanrank.llm.words import bound_batches
+from gleanrank.llm.words import bound_batches, least_by_hash
 from gleanrank.session import materialize
 
 MAGIC, VERSION = b"TOKZ", 1
@@ -51,7 +51,7 @@ _WORD_AND_SIGNS = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]+)?")
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 #: Cached pieces of a worker process; the rest is encoded each time.
-_CACHE = 500_000
+_CACHE = 900_000
 
 
 class Encoder:
@@ -109,7 +109,7 @@ class Encoder:
         fresh = dict(zip(odd, self._whole(odd))) if odd else {}
         look = lambda p: told[p] if p in told else known[p]
         fresh.update((w, b"".join(map(look, ps))) for w, ps in split.items() if ps)
-        self._remember(fresh | told)
+        self._remember(told, {w: ids for w, ids in fresh.items() if w not in told})
         whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]) if not all(plain) else ())
         get = known.get
         return [b"".join([get(w) or fresh[w] for w in ws]) if ws is not None else next(whole) for ws in pieces]
@@ -117,14 +117,16 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         """Ids of a text that is a single piece: byte-level symbols, straight into the merges."""
         symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOLS)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(symbols)], "<u4").tobytes()
+        tokens = self.tokenizer.model.tokenize(symbols)
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
-    def _remember(self, fresh: dict[str, bytes]) -> None:
-        """Keep what is met in a second batch; most words of a text are met once."""
+    def _remember(self, words: dict[str, bytes], others: dict[str, bytes]) -> None:
+        """Keep words as long as there is room, and words with signs if they are met in a second batch."""
         if len(self.known) >= _CACHE:
             return
+        self.known.update(words)
         seen = self.seen
-        for w, ids in fresh.items():
+        for w, ids in others.items():
             h = hash(w)
             if h in seen:
                 self.known[w] = ids
@@ -169,9 +171,8 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, size: int = 64 << 10,
     """A zstandard dictionary from the ids of the first `sample_chars` characters of at most `sample_rows`
     documents, those of least hash of the id. With too few or too uniform samples it holds their content as it is;
     without rows it is empty."""
-    least = docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text")).orderBy(
-        F.xxhash64("doc_id"), "doc_id", F.crc32("text")
-    ).limit(sample_rows)
+    pieces = docs.select("doc_id", F.substring("text", 1, sample_chars).alias("text"))
+    least = least_by_hash(pieces, F.xxhash64("doc_id"), sample_rows, docs.count())
     samples = [bytes(r.ids) for r in encode_documents(least, tokenizer_path).select("ids").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gleanrank.llm.words import batches, bound_batches, mix
+from gleanrank.llm.words import batches, bound_batches, least_by_hash, mix
 from gleanrank.session import materialize
 
 DISCOUNT = 0.75
@@ -230,10 +230,12 @@ def _labelled(labels: DataFrame, rows: int, fitting: bool) -> DataFrame:
     )
     fifth = F.pmod("_at", F.lit(5)) == 0
     part = known.filter(fifth if fitting else ~fifth)
-    return (
-        part.filter("toxic = 1").orderBy("_at", "id").limit(rows)
-        .union(part.filter("toxic = 0").orderBy("_at", "id").limit(rows)).select("id", "toxic")
-    )
+    counts = dict(part.groupBy("toxic").count().collect())
+    drawn = [
+        least_by_hash(part.filter(F.col("toxic") == toxic), F.xxhash64("_at"), rows, counts.get(toxic, 0))
+        for toxic in (1, 0)
+    ]
+    return drawn[0].union(drawn[1]).select("id", "toxic")
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Odd multipliers, one for each place in a shingle, from the golden-ratio sequence.
 _PLACE = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % (1 << 64) | 1 for i in range(64)], dtype=np.uint64)
@@ -46,6 +46,17 @@ def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def least_by_hash(rows: DataFrame, hashed: Column, wanted: int, count: int) -> DataFrame:
+    """The `wanted` rows of `rows`, of which there are `count`, whose hash is least in its low 40 bits.
+
+    Rows well above the expected bound go before the sort, so about twice as many as wanted ever meet, however
+    many partitions there are; on few rows all are kept.
+    """
+    low = F.pmod(hashed, F.lit(1 << 40))
+    most = (1 << 40) if count <= 4 * wanted else int((1 << 40) * (2 * wanted + 100) / count)
+    return rows.withColumn("_low", low).filter(F.col("_low") < most).orderBy("_low", *rows.columns).limit(wanted).drop("_low")
+
+
 def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Non-empty batches of at most 4,096 rows and, but for single rows, about 16 MB."""
     for batch in source:
