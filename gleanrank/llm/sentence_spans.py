@@ -89,17 +89,18 @@ def span_hashes(sentences: list[str]) -> tuple[list[tuple[int, int]], np.ndarray
 
 def _span_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(source):
-        parts: list[list] = [[], [], [], [], []]
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        parts: list[list] = [[], [], [], [], [], []]
+        for doc, tie, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
             runs, key, check = span_hashes([text[a:b] for a, b in sentences_of(text)])
             if runs:
                 first, last = (np.array(x, np.int32) for x in zip(*runs))
-                for part, value in zip(parts, (key.view(np.int64), check, np.full(len(runs), doc, np.int64), first, last)):
+                row = np.full(len(runs), doc, np.int64), np.full(len(runs), tie, np.int32)
+                for part, value in zip(parts, (key.view(np.int64), check, *row, first, last)):
                     part.append(value)
-        kinds = (np.int64, np.int32, np.int64, np.int32, np.int32)
+        kinds = (np.int64, np.int32, np.int64, np.int32, np.int32, np.int32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.empty(0, k), *p])) for p, k in zip(parts, kinds)],
-            ["key", "check", "doc", "start", "stop"],
+            ["key", "check", "doc", "tie", "start", "stop"],
         )
 
 
@@ -134,27 +135,33 @@ def remove_repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text
 
     Defined cases: null and empty texts have no sentences, and the text stays as it is. Documents too short for
     a run are never changed. Of equal runs that overlap within a document, what the first of them covers
-    stays. Rows that share an id are occurrences of one document: runs at the same place of it do not
-    repeat each other. Null ids come last in the order, as one document. Other columns are ignored.
+    stays. Rows that share id and text are occurrences of one document: runs at the same place of it do not
+    repeat each other. Rows that share an id only are documents of their own, in the order of a hash of the
+    text; null ids come last in the order. Other columns are ignored.
     """
     bound_batches(docs.sparkSession)
     source = docs.select(
-        F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).cast("string").alias("text")
+        F.coalesce(F.col(id).cast("long"), F.lit(_LAST)).alias("doc"),
+        F.coalesce(F.hash(F.col(text).cast("string")), F.lit(0)).alias("tie"), F.col(text).cast("string").alias("text"),
     )
-    spans = source.mapInArrow(_span_rows, "key long, check int, doc long, start int, stop int")
-    place = F.struct("doc", "start", "stop")
+    spans = source.mapInArrow(_span_rows, "key long, check int, doc long, tie int, start int, stop int")
+    place = F.struct("doc", "tie", "start", "stop")
     firsts = (
         spans.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .filter("first.doc <> last.doc or first.start <> last.start").select("key", "check", "first")
+        .filter("struct(first.doc, first.tie, first.start) <> struct(last.doc, last.tie, last.start)")
+        .select("key", "check", "first")
     )
     # The side with one row for each run is the small one; adaptive execution splits frequent runs of the other.
-    later = spans.join(firsts, ["key", "check"]).filter("doc <> first.doc or start <> first.start")
-    begin = F.when(F.col("doc") == F.col("first.doc"), F.greatest(F.col("start"), F.col("first.stop") + 1)).otherwise(F.col("start"))
-    ranges = later.withColumn("start", begin).filter("start <= stop").groupBy("doc").agg(
+    later = spans.join(firsts, ["key", "check"]).filter(
+        "doc <> first.doc or tie <> first.tie or start <> first.start"
+    )
+    same = (F.col("doc") == F.col("first.doc")) & (F.col("tie") == F.col("first.tie"))
+    begin = F.when(same, F.greatest(F.col("start"), F.col("first.stop") + 1)).otherwise(F.col("start"))
+    ranges = later.withColumn("start", begin).filter("start <= stop").groupBy("doc", "tie").agg(
         F.collect_set(F.struct("start", "stop")).alias("ranges"),
         F.collect_set(F.when(F.col("first.doc") != _LAST, F.col("first.doc"))).alias("first_docs"),
     )
-    joined = source.join(ranges, "doc", "left")
+    joined = source.join(ranges, ["doc", "tie"], "left")
     packed = joined.select(F.struct("doc", "first_docs").alias("row"), "text", "ranges")
     kept = packed.mapInArrow(
         _without,
