@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 # Public download host of the archives, header names of an archive record, and the
@@ -13,7 +15,8 @@ EXTRACT_NUMBER = r"Multi(-?\d+)\.txt$"
 # The folder that our own text extracts of a batch are written to.
 BATCH_FOLDER = r"/batch=(\d+)/[^/]*$"
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
+_BEFORE_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
+_HOST = _BEFORE_HOST + r"([^/:?#]+)"
 
 
 def host(url: Column) -> Column:
@@ -22,9 +25,8 @@ def host(url: Column) -> Column:
 
 
 def in_domain(url: Column, domain: str) -> Column:
-    """True for the domain itself and each of its subdomains."""
-    name = domain.lower()
-    return (host(url) == name) | host(url).endswith("." + name)
+    """True for the domain itself and each of its subdomains, in one pass over the URL."""
+    return F.coalesce(url.rlike(rf"(?i){_BEFORE_HOST}(?:[^/:?#]*\.)?{re.escape(domain)}(?:[/:?#]|$)"), F.lit(False))
 
 
 def mentions(uri: Column, word: str) -> Column:

@@ -10,7 +10,7 @@ from gleanrank.operators.terms import (
     with_tfdf_weight,
 )
 from gleanrank.session import drop_scratch, materialize, new_scratch
-from gleanrank.sinks.tables import write_df, write_lengths, write_postings, write_stats
+from gleanrank.sinks.tables import write_df, write_lengths, write_postings, write_stats, write_titles
 from gleanrank.sources.tables import path_exists, read_df, read_lengths
 
 
@@ -19,7 +19,8 @@ def build_index(docs: DataFrame, index: str, model: str = "bm25", id_col: str =
     """Build an index at a path that does not exist yet.
 
     The texts are read and tokenised once, into a scratch table of term counts; document frequencies,
-    lengths, statistics and the sorted postings are all made from its columns.
+    lengths, statistics and the sorted postings are all made from its columns. Where the documents have a
+    `title` and a `url`, these are stored as well, for `search(titles=True)`.
     """
     check_model(model)
     spark = docs.sparkSession
@@ -41,6 +42,8 @@ def build_index(docs: DataFrame, index: str, model: str = "bm25", id_col: str =
         write_df(counted, index, sizes["terms"])
         write_lengths(heads, index, heads.count())
         write_stats(corpus_stats(read_lengths(spark, index)), index)
+        if {"title", "url"} <= set(docs.columns):
+            write_titles(docs.select(F.col(id_col).alias("doc_id"), "title", "url"), index, heads.count())
         if model == "tfdf":
             weighted = with_tfdf_weight(postings, read_df(spark, index))
             postings = materialize(weighted, "weighted", f"{scratch}/weighted")

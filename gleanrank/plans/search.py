@@ -11,7 +11,9 @@ from gleanrank.operators.ranking import (
     query_weights, score, top_k, weights_from_summary, with_zero_scores,
 )
 from gleanrank.sinks.tables import write_ranking
-from gleanrank.sources.tables import read_df, read_lengths, read_postings, read_ranking, read_stats
+from gleanrank.sources.tables import (
+    read_df, read_lengths, read_postings, read_ranking, read_stats, read_titles,
+)
 
 
 def index_scores(spark: SparkSession, index: str, query: str, model: str = "bm25") -> DataFrame:
@@ -29,12 +31,12 @@ def index_scores(spark: SparkSession, index: str, query: str, model: str = "bm25
 
 def search(spark: SparkSession, index: str, query: str, n: int, model: str = "bm25",
            corpus: DataFrame | None = None, include_zero: bool = True,
-           ranking: str | None = None) -> DataFrame:
+           ranking: str | None = None, titles: bool = False) -> DataFrame:
     """The n best documents for a query: (rank, doc_id[, title, url], score).
 
     With `include_zero`, documents without a match fill the list up to n. `ranking` is a path that
-    receives the whole ranking, from which the list is then taken. Titles come from `corpus`; the ids go to its reader as values, as they
-    are at most 1000.
+    receives the whole ranking, from which the list is then taken. With `titles`, titles and urls come from the
+    index, otherwise from `corpus` if it is given; the ids go to the reader as values, as they are at most 1000.
     """
     check_top(n)
     scores = index_scores(spark, index, query, model)
@@ -46,6 +48,8 @@ def search(spark: SparkSession, index: str, query: str, n: int, model: str = "bm
     if include_zero and ranking is None:
         best = pad_with_zeros(best, read_lengths(spark, index), n)
     hits = add_rank(best)
+    if titles:
+        corpus = read_titles(spark, index)
     if corpus is None:
         return hits
     rows = hits.collect()

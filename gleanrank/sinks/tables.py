@@ -74,6 +74,12 @@ def write_lengths(lengths: DataFrame, index: str, rows: int) -> None:
     write_sorted(lengths.select("doc_id", "doc_len"), f"{index}/docs", ["doc_id"], rows)
 
 
+def write_titles(docs: DataFrame, index: str, rows: int) -> None:
+    """Title and url of each document, one row per id, sorted by id: a search reads those of its hits."""
+    one = docs.groupBy("doc_id").agg(F.min(F.struct("title", "url")).alias("_doc"))
+    write_sorted(one.select("doc_id", "_doc.title", "_doc.url"), f"{index}/titles", ["doc_id"], rows)
+
+
 def write_stats(stats: DataFrame, index: str) -> None:
     stats.write.mode("errorifexists").parquet(f"{index}/stats")
 

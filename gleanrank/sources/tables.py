@@ -54,6 +54,12 @@ def read_lengths(spark: SparkSession, index: str) -> DataFrame:
     return spark.read.schema(schemas.DOC_LENGTHS).parquet(f"{index}/docs")
 
 
+def read_titles(spark: SparkSession, index: str) -> DataFrame:
+    """Titles and urls of an index whose documents had them: (id, title, url)."""
+    titles = spark.read.schema("doc_id bigint, title string, url string").parquet(f"{index}/titles")
+    return titles.withColumnRenamed("doc_id", "id")
+
+
 def read_stats(spark: SparkSession, index: str) -> DataFrame:
     """Corpus statistics of an index: one row (n_docs, avg_len)."""
     return spark.read.schema(schemas.STATS).parquet(f"{index}/stats")

@@ -129,6 +129,9 @@ ORACLE: dict[str, str] = {
         f"{_top(f'{PAGES}, {_query(PAGE_QUERY)}, {BM25_SCORES}', 10)} SELECT rank, "
         "'Id: ' || doc_id || '    Title: ' || trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) "
         "|| '    URL: ' || url || '   Score: ' || score AS line FROM top JOIN pages ON doc_id = page_id",
+    "index_titles":
+        f"{_top(f'{PAGES}, {_query(PAGE_QUERY)}, {BM25_SCORES}', 10)} SELECT rank, doc_id, "
+        "trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, url, score FROM top JOIN pages ON doc_id = page_id",
     "ranked_all": f"{BM25} SELECT row_number() OVER (ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores",
     "ranking_table": f"{TFDF} SELECT score, doc_id FROM scores",
     "index_df": f"{DOCS} SELECT term, df FROM df",

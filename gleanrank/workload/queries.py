@@ -187,6 +187,12 @@ def search_pages_top10(spark, sf_dir):
     return ranking.format_results(ranking.attach_titles(ranking.top_k(scores, 10), corpus))
 
 
+def index_titles(spark, sf_dir):
+    index = new_scratch(spark, "index-titles")
+    build_index(page_corpus(spark, sf_dir), index, "bm25")
+    return rounded(search(spark, index, PAGE_QUERY, 10, "bm25", titles=True), 6)
+
+
 def ranked_all(spark, sf_dir):
     return ranking.rank_all(rounded(document_scores(documents(spark, sf_dir), QUERY, "bm25"), 6))
 
@@ -339,6 +345,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         index_scores_tfdf, index_roundtrip_search, index_roundtrip_tfdf, captures_by_domain,
         captures_per_crawl, rejected_captures, wet_locations, wet_scan, domain_records,
         domain_records_strict, record_fields, sequential_ids, corpus_roundtrip, extract_roundtrip,
-        domain_corpus, extract_order,
+        domain_corpus, extract_order, index_titles,
     )
 } | {"bm25_idf": bm25_idf_table}
