@@ -126,7 +126,10 @@ def train(docs: DataFrame, text: str = "text", sample: int = 10_000, false_share
     among = among.select("family", F.slice(F.concat("around", words_of(F.col("template")), "around"), 1, WINDOW).alias("words"))
     label = F.array_position(F.array(*map(F.lit, CLASSES)), F.col("family")) - 1
     rows = alone.union(among).union(ordinary.select(F.lit(NONE).alias("family"), "words"))
-    rows = materialize(_with_terms(rows.withColumn("label", label.cast("double"))).select("label", "terms"), "licence-rows")
+    # A bounded sample: few partitions, as each step of the fit is a pass over all of them.
+    rows = materialize(
+        _with_terms(rows.withColumn("label", label.cast("double"))).select("label", "terms").coalesce(4), "licence-rows"
+    ).coalesce(4)
     stages = [
         HashingTF(inputCol="terms", outputCol="counts", numFeatures=_FEATURES, binary=True),
         Normalizer(inputCol="counts", outputCol="features"),
