@@ -31,43 +31,47 @@ def parse_records(raw: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def segment_lines(lines: DataFrame, chunk: int = 1_000_000) -> DataFrame:
+def segment_lines(lines: DataFrame, chunk: int = 1_000_000, word: str | None = None,
+                  strict: bool = False) -> DataFrame:
     """Cut (file, pos, line) rows into records: adds `rec`, the position where the line's record starts.
 
     A record starts two lines above its target-URI line and ends where the next one starts, or with the
-    file. Lines before the first record are dropped. A file is worked on in chunks of `chunk` positions,
-    so no task holds a whole file; what a chunk has to know about the ones before it is one number.
+    file. Lines before the first record are dropped, and with `word` those of records of other domains
+    (see `filter_domain`), before any record is put together. A file is worked on in chunks of `chunk`
+    positions, so no task holds a whole file; what a chunk has to know about the ones before it is one start.
     """
     is_uri = F.col("line").startswith(URI_HEADER)
-    own = F.struct(F.col("pos").alias("pos"), F.lit(1).alias("kind"), F.col("line").alias("line"))
-    mark = F.struct(
-        F.greatest(F.col("pos") - 2, F.lit(0)).alias("pos"),
-        F.lit(0).alias("kind"),
-        F.lit(None).cast("string").alias("line"),
-    )
+    start = F.greatest(F.col("pos") - 2, F.lit(0))
+    nothing = F.lit(None).cast("string")
+    own = F.struct(F.col("pos").alias("pos"), F.lit(1).alias("kind"), F.col("line").alias("line"), nothing.alias("uri"))
+    mark = F.struct(start.alias("pos"), F.lit(0).alias("kind"), nothing.alias("line"), F.col("line").alias("uri"))
     # A URI line also puts a mark at its record's first line, where the window below meets it.
     marked = lines.select(
         "file", F.inline(F.when(is_uri, F.array(mark, own)).otherwise(F.array(own)))
     ).withColumn("_chunk", whole_div(F.col("pos"), chunk))
 
-    start = F.when(F.col("kind") == 0, F.col("pos"))
     before = Window.partitionBy("file").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        marked.groupBy("file", "_chunk")
-        .agg(F.max(start).alias("_last"))
-        .select("file", "_chunk", F.max("_last").over(before).alias("_carried"))
+    # Starts come from URI lines alone; every chunk of a file needs a row.
+    latest = F.max(F.when(is_uri, F.struct(start.alias("pos"), F.col("line").alias("uri")))).alias("_last")
+    chunks = lines.select("file", whole_div(F.col("pos"), chunk).alias("_chunk")).distinct()
+    of_mark = lines.filter(is_uri).groupBy("file", whole_div(start, chunk).alias("_chunk")).agg(latest)
+    carried = chunks.join(of_mark, ["file", "_chunk"], "full").select(
+        "file", "_chunk", F.max("_last").over(before).alias("_carried")
     )
     inside = (
         Window.partitionBy("file", "_chunk").orderBy("pos", "kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        marked.withColumn("_start", F.max(start).over(inside))
+    placed = (
+        marked.withColumn("_start", F.max(F.when(F.col("kind") == 0, F.struct("pos", "uri"))).over(inside))
         .filter(F.col("kind") == 1)
         .join(carried, ["file", "_chunk"])
-        .select("file", F.coalesce("_start", "_carried").alias("rec"), "pos", "line")
-        .filter(F.col("rec").isNotNull())
+        .withColumn("_rec", F.coalesce("_start", "_carried"))
+        .filter(F.col("_rec").isNotNull())
     )
+    if word is not None:
+        placed = placed.filter(domain_test(target_uri(F.col("_rec.uri")), word, strict))
+    return placed.select("file", F.col("_rec.pos").alias("rec"), "pos", "line")
 
 
 def assemble_records(segments: DataFrame) -> DataFrame:

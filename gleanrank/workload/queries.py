@@ -270,7 +270,8 @@ def wet_scan(spark, sf_dir):
 
 
 def domain_records(spark, sf_dir):
-    found = rec.assemble_records(rec.segment_lines(inputs.record_lines(table(spark, sf_dir, "pages"))))
+    found = rec.assemble_records(rec.segment_lines(
+        inputs.record_lines(table(spark, sf_dir, "pages")), word=DOMAIN))
     return rec.filter_domain(found, DOMAIN).select("file", "uri", "body")
 
 
