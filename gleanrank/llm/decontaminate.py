@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +80,7 @@ class Index:
         words = words_of(text)
         if not words or not self.passages:
             return []
-        place = np.fromiter((self.places.get(w, -1) for w in words), np.int64, len(words))
+        place = np.array(list(map(self.places.get, words, repeat(-1))), np.int64)
         known = np.flatnonzero(place >= 0)
         if len(known) == 0:
             return []
@@ -133,12 +134,14 @@ def _cut(words: list[str]) -> list[list[str]]:
 
 
 def _document_frequencies(docs: DataFrame, places: dict[str, int]) -> tuple[np.ndarray, int]:
+    vocabulary = set(places)
+
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, rows = np.zeros(len(places), np.int64), 0
         for batch in batches(source):
             for text in batch.column(0).to_pylist():
                 rows += 1
-                held = [places[w] for w in set(words_of(text)) if w in places]
+                held = list(map(places.get, vocabulary.intersection(words_of(text))))
                 counts[held] += 1
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[rows, counts[at]])], ["place", "n"])
