@@ -4,9 +4,12 @@ Benchmark items are cut into passages of at most `PASSAGE` words. TF-IDF passage
 document frequencies counted over all documents) are reduced by a distributed randomised SVD: each product of
 the passage matrix with a thin matrix is a Spark job over passage rows, whose partial sums meet by blocks of words;
 the driver only factorises thin matrices. Each document is read as windows of two steps of `PASSAGE` words, so any
-passage lies within one window. A window is folded into the latent space and compared with all passages by
-cosine; candidates are verified on their words: by the longest common subsequence with the passage, and, for
-paraphrases that keep less of it, by the passage's answer.
+passage lies within one window. A window and a passage are compared if the window holds enough of the passage's
+words, counted on its rarest ones: whatever keeps `paraphrase` of a passage in order passes that test. What passes
+is folded into the latent space and compared by cosine, and verified on its words: by the longest common subsequence
+with the passage, and, for paraphrases that keep less of it, by the passage's answer. The cosine opens the whole
+window to the comparison; without it, as for short passages in running text or where the rank is too small for
+the block, the words must stand in a part of the window of twice the passage's length.
 
 Items are taken in blocks of `block_items`; the words, the reduced matrix and the passages of one block are what
 every task holds, and their number is bounded by the block.
@@ -15,6 +18,7 @@ every task holds, and their number is bounded by the block.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -74,6 +78,10 @@ class Index:
     passages: list[list[str]]
     answers: list[list[str]]
     rules: Rules
+    first: np.ndarray  # of each word, where its row in the next two begins
+    holders: np.ndarray  # passages among whose rarest words it is
+    times: np.ndarray  # how often
+    wanted: np.ndarray  # how many of its rarest words a passage must find in a window
 
     def leaks(self, text: str | None) -> list[tuple[int, int | None, float, float, bool]]:
         """(first word of the window, item, cosine, share of the passage, answer found), the best for each item."""
@@ -87,34 +95,49 @@ class Index:
         steps = -(-len(words) // PASSAGE)
         step = known // PASSAGE
         place = place[known]
-        starts = np.flatnonzero(np.r_[True, step[1:] != step[:-1]])
-        sums = np.zeros((steps, self.basis.shape[1]), np.float32)
-        sums[step[starts]] = np.add.reduceat(self.basis[place], starts, axis=0)
-        windows = max(1, steps - 1)
-        folded = sums[:windows] + sums[1 : windows + 1] if steps > 1 else sums
-        # Length of each window's TF-IDF vector: each word's count in the window, squared.
-        lengths = self._lengths(step, place, steps)
-        cosines = folded @ self.latent.T / np.maximum(lengths, 1e-9)[:, None]
         best: dict = {}
-        for w, p in zip(*np.nonzero(cosines >= self.rules.cosine * self.reach)):
-            found = self._verify(words[w * PASSAGE : (w + 2) * PASSAGE], p)
+        for w, p, cosine in self._candidates(step, place, steps):
+            window = words[w * PASSAGE : (w + 2) * PASSAGE]
+            found = self._verify(window, p, cosine >= self.rules.cosine * self.reach[p])
             if found:
-                item, row = self.items[p], (int(w) * PASSAGE, self.items[p], float(cosines[w, p]), *found)
+                item, row = self.items[p], (w * PASSAGE, self.items[p], cosine, *found)
                 if item not in best or (row[3], row[2]) > (best[item][3], best[item][2]):
                     best[item] = row
         return list(best.values())
 
-    def _lengths(self, step: np.ndarray, place: np.ndarray, steps: int) -> np.ndarray:
-        """Square root of the sum of (count x idf) squared over the words of each window of two steps."""
-        windows = max(1, steps - 1)
+    def _candidates(self, step: np.ndarray, place: np.ndarray, steps: int) -> Iterator[tuple[int, int, float]]:
+        """(window, passage, cosine) of the pairs that share enough words."""
+        windows, words = max(1, steps - 1), len(self.idf)
         # Each word stands in the window that starts at its step and in the one before.
         at = np.concatenate([step, step - 1]) if steps > 1 else step
         of = np.concatenate([place, place]) if steps > 1 else place
         ok = (at >= 0) & (at < windows)
-        key, count = np.unique(at[ok] * len(self.idf) + of[ok], return_counts=True)
-        return np.sqrt(np.bincount(key // len(self.idf), (count * self.idf[key % len(self.idf)]) ** 2, minlength=windows))
-
-    def _verify(self, window: list[str], p: int) -> tuple[float, bool] | None:
+        key, count = np.unique(at[ok] * words + of[ok], return_counts=True)
+        window, word = key // words, key % words
+        many = self.first[word + 1] - self.first[word]
+        # A bounded number of windows, and so of counters, at once.
+        stride = max(1, (1 << 22) // len(self.passages))
+        for start in range(0, windows, stride):
+            part = slice(*np.searchsorted(window, [start, start + stride]))
+            n = many[part]
+            if not n.sum():
+                continue
+            entry = np.arange(n.sum()) + np.repeat(self.first[word[part]] - np.r_[0, np.cumsum(n)[:-1]], n)
+            pair = np.repeat(window[part] - start, n) * len(self.passages) + self.holders[entry]
+            held = np.bincount(
+                pair, np.minimum(np.repeat(count[part], n), self.times[entry]),
+                minlength=min(stride, windows - start) * len(self.passages),
+            ).reshape(-1, len(self.passages))
+            last = -1
+            for w, p in np.argwhere(held >= self.wanted).tolist():
+                if w != last:
+                    last, (a, b) = w, np.searchsorted(window, [start + w, start + w + 1])
+                    length = np.sqrt(((count[a:b] * self.idf[word[a:b]]) ** 2).sum())
+                    folded = (count[a:b] @ self.basis[word[a:b]]) / max(length, 1e-9)
+                yield start + w, p, float(folded @ self.latent[p])
+
+    def _verify(self, window: list[str], p: int, near: bool) -> tuple[float, bool] | None:
+        """(share, answer found) of a leak; in all of the window if it is `near` the passage, or in a part that fits."""
         passage, answer = self.passages[p], self.answers[p]
         if len(passage) < self.rules.shortest:
             text, sought = " ".join(["", *window, ""]), " ".join(["", *passage, ""])
@@ -122,8 +145,21 @@ class Index:
         share = common_subsequence(passage, window) / len(passage)
         if share < self.rules.paraphrase:
             return None
-        has_answer = bool(answer) and common_subsequence(answer, window) >= self.rules.answer * len(answer)
-        return (share, has_answer) if share >= self.rules.subsequence or has_answer else None
+        width = 2 * len(passage)
+        if near or width >= len(window):
+            parts = [window]
+        else:
+            # Steps of half a passage, and the end.
+            starts = [*range(0, len(window) - width, max(1, len(passage) // 2)), len(window) - width]
+            parts = [window[i : i + width] for i in starts]
+        found = []
+        for part in parts:
+            share = common_subsequence(passage, part) / len(passage)
+            if share >= self.rules.paraphrase:
+                has_answer = bool(answer) and common_subsequence(answer, window) >= self.rules.answer * len(answer)
+                if share >= self.rules.subsequence or has_answer:
+                    found.append((share, has_answer))
+        return max(found, default=None)
 
 
 def _cut(words: list[str]) -> list[list[str]]:
@@ -199,6 +235,24 @@ def latent_basis(rows: DataFrame, height: int, count: int, rank: int = RANK, see
     return q @ vectors[:, best]
 
 
+def _rarest(passages: list[list[str]], places: dict[str, int], idf: np.ndarray, rules: Rules) -> tuple[np.ndarray, ...]:
+    """`first`, `holders`, `times` and `wanted` of an index.
+
+    A passage of n words of which at least m stand in a window has, among any n - m + k of its words, k that do. The
+    n - m + k rarest are held, with k of about m / 2, so that common words are in few rows.
+    """
+    entries, wanted = [], []
+    for p, passage in enumerate(passages):
+        n = len(passage)
+        m = n if n < rules.shortest else min(n, max(1, int(np.ceil(rules.paraphrase * n - 1e-9))))
+        k = (m + 1) // 2
+        rare = sorted((places[w] for w in passage), key=lambda w: (-idf[w], w))[: n - m + k]
+        entries += [(w, p, c) for w, c in Counter(rare).items()]
+        wanted.append(k)
+    word, holders, times = np.array(sorted(entries), np.int64).T
+    return np.searchsorted(word, np.arange(len(idf) + 1)), holders, times, np.array(wanted)
+
+
 def build_index(spark: SparkSession, docs: DataFrame, items: list[tuple], rules: Rules = Rules(), rank: int = RANK) -> Index:
     """An index of `items`, (item_id, text, answer or None); document frequencies from `docs` (one text column)."""
     ids, passages, answers = [], [], []
@@ -215,7 +269,7 @@ def build_index(spark: SparkSession, docs: DataFrame, items: list[tuple], rules:
     places = {w: i for i, w in enumerate(sorted({w for p in passages for w in p}))}
     if not passages:
         empty = np.zeros((0, 1))
-        return Index(places, np.zeros(0), empty, empty, np.zeros(0), [], [], [], rules)
+        return Index(places, np.zeros(0), empty, empty, np.zeros(0), [], [], [], rules, *[np.zeros(0, np.int64)] * 4)
     n, total = _document_frequencies(docs, places)
     idf = np.log((1 + total) / (1 + n)) + 1
     rows = []
@@ -228,7 +282,7 @@ def build_index(spark: SparkSession, docs: DataFrame, items: list[tuple], rules:
     latent = np.stack([np.array(v) @ basis[np.array(p)] for p, v in rows])
     return Index(
         places, idf, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32), (latent**2).sum(axis=1),
-        ids, passages, answers, rules,
+        ids, passages, answers, rules, *_rarest(passages, places, idf, rules),
     )
 
 
@@ -241,7 +295,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
     spark = docs.sparkSession
     bound_batches(spark)
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"), answer).distinct()
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"), answer.alias("answer")).distinct()
     texts = docs.select(F.col(text).cast("string").alias("text"))
     result = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.array().cast(LEAK).alias("leaks")
@@ -267,7 +321,8 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
         told = rows.select("row", "leaks", F.col("row").getField(text).cast("string").alias("text"))
         return told.mapInArrow(run, schema).select("row", F.concat("leaks", "found").alias("leaks"))
 
-    for item in items.toLocalIterator():
+    # In a fixed order, so that blocks hold the same items in every run.
+    for item in items.orderBy("item_id", "text", "answer").toLocalIterator():
         block.append(tuple(item))
         if len(block) == block_items:
             result, block = searched(result, block), []

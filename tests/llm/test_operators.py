@@ -175,6 +175,23 @@ def test_decontamination(spark):
     assert decontaminate.benchmark_leaks(docs.limit(0), bench).count() == 0
 
 
+def test_short_passages_of_a_large_block(spark):
+    """Many more passages than the rank, shorter than a window: each is found, also with a word in six gone."""
+    rng = np.random.default_rng(44)
+    items = {i: prose(3000 + i, int(rng.integers(4, 30)), 3000) for i in range(1500)}
+    rows, planted = [], set()
+    for i in range(200):
+        words, item = prose(i, 250, 3000).split(), items[i].split()
+        if i % 2 and len(item) >= 12:
+            item = [w for k, w in enumerate(item) if k % 6 != 3]
+        at = int(rng.integers(0, 250))
+        rows.append((i, " ".join(words[:at] + item + words[at:])))
+        planted.add((i, i))
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_leaks(documents(spark, rows), bench).collect()}
+    assert planted <= got and len(got) <= len(planted) + 2
+
+
 def test_latent_basis(spark):
     rng = np.random.default_rng(3)
     table = rng.standard_normal((60, 5)) @ rng.standard_normal((5, 40))
