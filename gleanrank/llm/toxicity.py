@@ -15,9 +15,9 @@ logistic regression, on labelled rows that the counts have not seen, turns the m
 sum of what exceeds one unit a word (a few rude words in a long text), into a probability.
 
 Bounds. The class counts come from at most `max_class_rows` labelled rows of each class, the calibration from at
-most `max_fit_rows` of each: those of least hash of the id. The model keeps sequences that make up a certain
-share of all that were counted, which at most `max_entries` can reach; so it may be sent to every task. The
-shared counts cover every document.
+most `max_fit_rows` of each: those of least hash of the id. The model keeps every sequence of those rows, however
+rare, so its size is bounded by the rows; it is sent to every task. The shared counts cover every document. Of them,
+those in a context that no sampled row holds cannot tell the classes apart, as both back off alike there, and stay out.
 """
 
 from __future__ import annotations
@@ -170,7 +170,7 @@ def _word_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _gram_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sequences of the words of each batch of (word, toxic, ordinary), with their counts in either class.
 
-    (gram, context, all occurrences, and what counts at this order: occurrences or different words)
+    (gram, context, and what counts at this order: occurrences or different words)
     """
     for batch in batches(source):
         counts = np.stack([batch.column(i).to_numpy() for i in (1, 2)], axis=1)
@@ -191,8 +191,8 @@ def _gram_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             add = lambda v: np.bincount(place, v, minlength=len(keys)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(context[first].view(np.int64)),
-                 pa.array(add(counts[word].sum(axis=1))), pa.array(add(measure[:, 0])), pa.array(add(measure[:, 1]))],
-                ["gram", "context", "n", "toxic", "ordinary"],
+                 pa.array(add(measure[:, 0])), pa.array(add(measure[:, 1]))],
+                ["gram", "context", "toxic", "ordinary"],
             )
 
 
@@ -258,62 +258,46 @@ def _unsigned(column) -> np.ndarray:
     return column.to_numpy(np.int64).view(np.uint64)
 
 
-def _context_tables(gram: np.ndarray, of: np.ndarray, n: np.ndarray, contexts: np.ndarray, total: np.ndarray):
+def _context_tables(gram: np.ndarray, of: np.ndarray, n: np.ndarray):
     """Sorted tables of sequences and contexts: keys, discounted counts, context counts, and the weight left."""
     kept = np.maximum(n - DISCOUNT, 0)
-    order, sort = np.argsort(contexts), np.argsort(gram)
-    contexts, total = contexts[order], total[order]
-    used = np.zeros_like(total)
-    if len(contexts) and len(of):
-        place = np.minimum(np.searchsorted(contexts, of), len(contexts) - 1)
-        held = contexts[place] == of
-        np.add.at(used, place[held], kept[held])
+    sort = np.argsort(gram)
+    contexts, place = np.unique(of, return_inverse=True)
+    total, used = (np.zeros((len(contexts), *n.shape[1:])) for _ in range(2))
+    np.add.at(total, place, n)
+    np.add.at(used, place, kept)
     return gram[sort], kept[sort], contexts, total, 1 - used / np.maximum(total, 1)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows: int = 25_000,
-          max_fit_rows: int = 10_000, max_entries: int = 1 << 19) -> Model:
+          max_fit_rows: int = 10_000) -> Model:
     """Learn a model from `docs` and the `toxic` marks of `labels`, both keyed by doc_id."""
     bound_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     # At most 2 * max_class_rows ids: bounded, so it may be sent to every task.
     sample = source.join(F.broadcast(_labelled(labels, max_class_rows, False)), "id").select("toxic", "text")
-    words = sample.mapInArrow(_word_rows, "word string, toxic long, ordinary long").groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
+    words = materialize(
+        sample.mapInArrow(_word_rows, "word string, toxic long, ordinary long").groupBy("word").agg(
+            F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")
+        ),
+        "toxic-words",
     )
-    grams = materialize(
-        words.mapInArrow(_gram_rows, "gram long, context long, n long, toxic long, ordinary long")
-        .groupBy("gram", "context").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "ordinary")]),
-        "toxic-sequences",
+    both = ["toxic", "ordinary"]
+    held = (
+        words.mapInArrow(_gram_rows, "gram long, context long, toxic long, ordinary long")
+        .groupBy("gram", "context").agg(*[F.sum(c).cast("int").alias(c) for c in both]).toPandas()
     )
+    tables = _context_tables(_unsigned(held.gram), _unsigned(held.context), held[both].to_numpy(float))
+    counted = "gram long, context long, last long, n long"
     shared = materialize(
-        source.select("text").mapInArrow(_corpus_rows, "gram long, context long, last long, n long")
-        .groupBy("gram", "context", "last").agg(F.sum("n").alias("n")),
+        source.select("text").mapInArrow(_corpus_rows, counted).groupBy("gram", "context", "last").agg(F.sum("n").alias("n")),
         "corpus-sequences",
     )
-
-    def frequent(table: DataFrame, key: str, columns: list[str]):
-        # Every place is counted once at each order, so at most max_entries keys reach this count.
-        total = table.agg(F.sum("n")).first()[0] or 0
-        sums = table.groupBy(key).agg(*[F.sum(c).alias(c) for c in dict.fromkeys(["n", *columns])])
-        return sums.filter(F.col("n") >= max(2, -(-total // max_entries))).toPandas()
-
-    class_grams = grams.groupBy("gram", "context").agg(*[F.sum(c).alias(c) for c in ("n", "toxic", "ordinary")])
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    held = class_grams.filter(F.col("n") >= max(2, -(-total // max_entries))).toPandas()
-    held_contexts = frequent(grams, "context", ["toxic", "ordinary"])
-    both = ["toxic", "ordinary"]
-    tables = _context_tables(
-        _unsigned(held.gram), _unsigned(held.context), held[both].to_numpy(float),
-        _unsigned(held_contexts.context), held_contexts[both].to_numpy(float),
-    )
     corpus_total = shared.agg(F.sum("n")).first()[0] or 0
-    corpus = shared.filter(F.col("n") >= max(2, -(-corpus_total // max_entries))).toPandas()
-    corpus_contexts, singles = frequent(shared, "context", []), frequent(shared, "last", []).sort_values("last")
-    shared_tables = _context_tables(
-        _unsigned(corpus.gram), _unsigned(corpus.context), corpus.n.to_numpy(float),
-        _unsigned(corpus_contexts.context), corpus_contexts.n.to_numpy(float),
-    )
+    singles = shared.groupBy("last").agg(F.sum("n").alias("n")).toPandas().sort_values("last")
+    sampled = words.select("word").mapInArrow(_corpus_rows, counted).select("context").distinct()
+    corpus = shared.join(sampled, "context", "left_semi").groupBy("gram", "context").agg(F.sum("n").alias("n")).toPandas()
+    shared_tables = _context_tables(_unsigned(corpus.gram), _unsigned(corpus.context), corpus.n.to_numpy(float))
     single = np.r_[_unsigned(singles["last"]), np.uint64(1 << 40)]
     single_p = np.r_[np.maximum(singles.n.to_numpy(float) / max(corpus_total, 1), 1e-7), 1e-7]
     model = Model(*tables, *shared_tables, single, single_p, np.array([0.0, 1, 0, 0, 0]))

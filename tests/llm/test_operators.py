@@ -133,6 +133,20 @@ def test_toxicity(spark):
     assert toxicity.score_toxicity(docs.limit(0), marks).count() == 0
 
 
+def test_rare_spellings_are_kept(spark):
+    """Every sequence of the sample is in the model, with its count, even those met once."""
+    rows = [(i, f"plain words {prose(i, 20)}" + (f" zk{chr(97 + i % 26)}{chr(97 + i // 26)}q" if i % 2 else "")) for i in range(400)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    drawn = {r.id for r in toxicity._labelled(marks, 25_000, False).collect()}
+    model = toxicity.train(documents(spark, rows), marks)
+    for order in range(toxicity.SHARED + 1, toxicity.ORDER + 1):
+        words = sorted({w for i, t in rows if i in drawn for w in t.split()})
+        grams = toxicity._grams(*toxicity._symbols(words), order)
+        assert np.isin(grams[0], model.grams).all() and np.isin(grams[1], model.contexts).all()
+    rare = [w for i, t in rows if i in drawn and i % 2 for w in t.split()[-1:]]
+    assert len(rare) == len(set(rare)) and (model._of_words(rare) > 1).all()
+
+
 # ---- 4 decontamination ---------------------------------------------------------------------------------------
 
 
