@@ -3,9 +3,9 @@
 Every run of several consecutive sentences is hashed, and equal hashes meet in one aggregation over all documents.
 The first occurrence, by document id and place, stays; sentences covered by any later one are removed.
 
-A run starts at a sentence and goes on until it has `SENTENCES` sentences and `WORDS` words, or `LONG_WORDS` words
-in whatever number of sentences; likewise backwards from each sentence. So a repeated passage is covered from its
-first whole sentence to its last, whatever the length of its sentences. Sentences of more than `CUT_ABOVE` words
+A run starts at a sentence and goes on until it has `SENTENCES` sentences, however short, or `LONG_WORDS` words in
+fewer; likewise backwards from each sentence. So a repeated passage is covered from its first whole sentence to its
+last, whatever the length of its sentences. In scripts without spaces two signs count as a word. Sentences of more than `CUT_ABOVE` words
 are cut behind words that a hash picks, at the same words wherever they occur.
 """
 
@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from gleanrank.llm.words import batches, bound_batches, mix
 
-SENTENCES, WORDS, LONG_WORDS = 3, 12, 30
+SENTENCES, LONG_WORDS = 3, 30
 CUT_ABOVE, CUT_EVERY = 40, 12
 _BOUNDARY = re.compile(r"(?<=[.!?。！？…])\s+|\n\s*|(?<=[。！？])")
 _TOKEN = re.compile(r"\S+")
+#: Signs of Thai, Lao, Burmese, Khmer, Chinese and Japanese.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _LAST = (1 << 63) - 1  # stands for a null id in the order of occurrences
 
 
@@ -63,18 +65,21 @@ def runs_of(counts: list[int]) -> list[tuple[int, int]]:
         return runs
     i = np.arange(n)
     # Forwards: last sentence such that the run holds enough; n stands for none.
-    enough = np.maximum(i + SENTENCES - 1, np.searchsorted(total, total[:-1] + WORDS) - 1)
-    last = np.minimum(enough, np.maximum(i, np.searchsorted(total, total[:-1] + LONG_WORDS) - 1))
+    last = np.minimum(i + SENTENCES - 1, np.maximum(i, np.searchsorted(total, total[:-1] + LONG_WORDS) - 1))
     # Backwards: first sentence such that the run up to i holds enough.
-    before = np.minimum(i - SENTENCES + 1, np.searchsorted(total, total[1:] - WORDS, "right") - 1)
-    first = np.maximum(before, np.minimum(i, np.searchsorted(total, total[1:] - LONG_WORDS, "right") - 1))
+    first = np.maximum(i - SENTENCES + 1, np.minimum(i, np.searchsorted(total, total[1:] - LONG_WORDS, "right") - 1))
     return sorted({*zip(i[last < n].tolist(), last[last < n].tolist()), *zip(first[first >= 0].tolist(), i[first >= 0].tolist())})
 
 
+def _length(sentence: str, words: list[str]) -> int:
+    """Words of a sentence, or half its signs of scripts without spaces if those are more."""
+    return len(words) if sentence.isascii() else max(len(words), len(_UNSPACED.findall(sentence)) // 2)
+
+
 def span_hashes(sentences: list[str]) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
     """The runs of a document, a 64-bit hash of each and an independent 32-bit one."""
     plain = [s.lower().split() for s in sentences]
-    runs = runs_of([len(w) for w in plain])
+    runs = runs_of([_length(s, w) for s, w in zip(sentences, plain)])
     keys = np.fromiter(
         (xxhash.xxh3_64_intdigest(" ".join(w).encode("utf-8", "surrogatepass")) for w in plain), np.uint64, len(plain)
     )

@@ -389,6 +389,23 @@ def test_sentence_spans(spark):
     assert sentence_spans.remove_repeated_spans(documents(spark, rows).limit(0)).count() == 0
 
 
+def test_short_and_unspaced_sentences(spark):
+    """Repeated passages of 3 to 11 one-token sentences, of two long ones, and of three of one word each."""
+    rng = np.random.default_rng(9)
+    chinese = lambda n: "".join(chr(int(c)) for c in rng.integers(0x4E00, 0x9000, n)) + "。"
+    rows, passages = [], {}
+    for k, n in enumerate([3, 4, 8, 11, 2]):
+        passages[k] = "".join(chinese(40 if n == 2 else 9) for _ in range(n))
+    passages[5] = "Alpha. Beta. Gamma. "
+    for k, passage in passages.items():
+        rows += [(10 * k + j, chinese(12) + passage + chinese(12)) for j in range(2)]
+    got = {r.doc_id: r for r in sentence_spans.remove_repeated_spans(documents(spark, rows)).collect()}
+    for k, passage in passages.items():
+        first, second = rows[2 * k][1], rows[2 * k + 1][1]
+        assert got[10 * k].text == first and got[10 * k].removed == []
+        assert got[10 * k + 1].text == second.replace(passage, "") and got[10 * k + 1].first_docs == [10 * k]
+
+
 # ---- 10 WARC -------------------------------------------------------------------------------------------------
 
 
