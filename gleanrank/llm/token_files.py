@@ -41,8 +41,9 @@ NULL_ID = -(1 << 63)
 BLOCK_DOCUMENTS, BLOCK_BYTES = 512, 8 << 20
 _HEAD = "<4sI32sI"
 #: Texts are cut at single spaces and newlines, which byte-level pre-tokenization cuts at as well. Not so
-#: inside longer runs of white space: a text with one of these is cut before a space and a visible sign only.
-_RUN = re.compile(r"\s[ \n](?:\s|\Z)")
+#: inside longer runs of white space, also those that begin with the newline: a text with one of these is cut before a
+#: space and a visible sign only.
+_RUN = re.compile(r"\s[ \n](?:\s|\Z)|\n[^\S \n](?:\s|\Z)")
 _CUT = re.compile(r"(?= \S)")
 #: Letters and the ASCII signs behind them are two pieces, too.
 _WORD_AND_SIGNS = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]+)?")

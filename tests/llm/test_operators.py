@@ -282,6 +282,20 @@ def test_token_files(spark):
     assert token_files.token_digests(spark, empty).count() == 0
 
 
+def test_white_space_of_all_kinds():
+    from tokenizers import Tokenizer
+
+    told, encoder = Tokenizer.from_file(TOKENIZER), token_files.Encoder(TOKENIZER)
+    signs = list(" \n\n  \t\r\v\f\x1c\x1f\x85\xa0\u1680\u2003\u2028\u2029\u202f\u3000") + ["word", "a", ".", "7", "'s", "é"]
+    rng = np.random.default_rng(66)
+    texts = ["".join(rng.choice(signs, int(rng.integers(1, 12)))) for _ in range(30_000)]
+    texts += ["word.\n\xa0\xa0next", "word.\n\xa0 next", "word\n\xa0", "word\n\xa0\nnext"]
+    for start in range(0, len(texts), 1000):
+        part = texts[start : start + 1000]
+        whole = [e.ids for e in told.encode_batch(part, add_special_tokens=False)]
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode(part)] == whole
+
+
 # ---- 7 Jaccard join ------------------------------------------------------------------------------------------
 
 
