@@ -21,18 +21,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group of similar documents, the one with the least id stays.
+    """Operator 7: of each group of similar documents, the one with the least id stays; nulls come last.
 
-    Rows without an id are not compared and stay. Of rows that share an id one stays.
+    Where ids are null or repeated, rows are compared under a stored number of their own.
     """
-    least = similar_sets(docs)[0].filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(least, "doc_id", "left_semi")
-    named = docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("rows_of_id"))
-    if named.filter("doc_id is not null and rows_of_id > 1").isEmpty():
-        one_each = kept
-    else:
-        one_each = kept.dropDuplicates(["doc_id"])
-    return one_each.select(docs.columns).union(docs.filter("doc_id is null"))
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("rows_of_id")).filter("doc_id is null or rows_of_id > 1")
+    if repeated.isEmpty():
+        least = similar_sets(docs)[0].filter("doc_id = component_id").select("doc_id")
+        return docs.join(least, "doc_id", "left_semi").select(docs.columns)
+    numbered = materialize(
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("number")),
+        "pipeline-numbered",
+    )
+    sets = similar_sets(numbered.select(F.col("number").alias("doc_id"), "row.text"))[0]
+    place = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", "number")
+    least = (
+        numbered.join(sets.select(F.col("doc_id").alias("number"), "component_id"), "number")
+        .groupBy("component_id").agg(F.min(place).alias("first")).select("first.number")
+    )
+    return numbered.join(least, "number", "left_semi").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -341,6 +341,18 @@ def test_jaccard_join(spark, monkeypatch):
     assert parity_join.similar_sets(documents(spark, rows).limit(0))[0].count() == 0
 
 
+def test_near_duplicates_without_good_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (prose(7000 + k, 60, 50_000) for k in range(4))
+    rows = [(None, a), (None, a), (1, b), (None, b), (5, c), (5, d), (6, d), (9, ""), (None, None)]
+    docs = documents(spark, rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    expected = [(None, a), (1, b), (5, c), (5, d), (9, ""), (None, None)]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_sketch_keys_meet():
     rng = np.random.default_rng(8)
     for size in [4, 5, 9, 20, 63, 64, 100, 333, 1500]:
