@@ -18,6 +18,7 @@ another algorithm than byte-pair encoding, is refused.
 from __future__ import annotations
 
 import re
+import string
 import sys
 import types
 from collections.abc import Iterator
@@ -29,8 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 from gleanrank.llm.words import batches, bound_batches
 
 SPACE = "▁"
-#: Parts of texts that a worker process remembers, and the longest of them; the rest is encoded each time.
-_CACHE, _CACHED_LENGTH = 700_000, 64
+#: Parts of texts that a worker process remembers in each of two generations, and the longest of them; the rest is encoded
+#: each time it is met.
+_CACHE, _CACHED_LENGTH = 250_000, 64
+#: Where parts may end: Latin letters, and ASCII signs and digits.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u024f", re.escape(string.punctuation + string.digits)
 
 
 class PieceTable:
@@ -60,18 +64,27 @@ class PieceTable:
         self.bytes = [self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.met = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}  # characters that stand together
         self.alone = "\n" not in "".join(self.met)
-        # Spaces begin a part, unless some piece has one behind another character.
+        # Spaces begin a part, unless some piece has one behind another character. So do ASCII signs behind Latin letters, and
+        # letters behind signs, unless a piece joins them.
         inner = any(SPACE in pair[1] and pair[0] != SPACE for pair in self.met)
+        kind = lambda c: _LETTERS if re.match(f"[{_LETTERS}]", c) else _SIGNS if re.match(f"[{_SIGNS}]", c) else c
+        joined = any({*map(kind, pair)} == {_LETTERS, _SIGNS} for pair in self.met)
         line = "\n" if self.alone else ""
-        self.parts = None if inner else re.compile(f"{SPACE}*[^{SPACE}{line}]+|{SPACE}+" + (f"|{line}" if line else ""))
+        one = lambda a, b: f"{SPACE}*[{a}]+(?=[{b}{SPACE}{line}]|\\Z)"
+        kinds = [] if joined else [one(_LETTERS, _SIGNS), one(_SIGNS, _LETTERS)]
+        kinds += [f"{SPACE}*[^{SPACE}{line}]+", f"{SPACE}+", *line]
+        self.parts = None if inner else re.compile("|".join(kinds))
         self.histories: dict[str, tuple[tuple[str, ...], tuple[str, ...], bool]] = {}
         self.automaton = ahocorasick.Automaton()
-        for p in self.ids:
-            if len(p) > 1 and self._history(p)[2]:
-                self.automaton.add_word(p, p)
+        self.whole = {p for p in self.ids if len(p) > 1 and self._history(p)[2]}
+        # With each token, the tokens before it that are known to be compatible, or not.
+        self.before: dict[str, dict[str, bool]] = {p: {} for p in self.whole}
+        self.tested = 0
+        for p, before in self.before.items():
+            self.automaton.add_word(p, (p, len(p), before))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """The symbols after all merges. For short sequences: the vocabulary's own pieces, and pairs of them."""
@@ -103,49 +116,46 @@ class PieceTable:
 
     def compatible(self, one: str, other: str) -> bool:
         """Whether merging the characters of both tokens gives these two."""
-        answer = self.pairs.get((one, other))
-        if answer is None:
-            if one[-1] + other[0] not in self.met:
-                answer = True
-            else:
-                score = self.score
-                # Without a merge across the border both come to be as they do alone.
-                across = any(a + b in score for a in self._history(one)[1] for b in self._history(other)[0])
-                answer = not across or self.merged([*one, *other]) == [one, other]
-            if len(self.pairs) >= _CACHE:
-                self.pairs.clear()
-            self.pairs[one, other] = answer
-        return answer
-
-    def last_tokens(self, text: str) -> list[str]:
-        """The last token of the encoding of each prefix of a text that is not empty; the first entry is empty."""
+        if one[-1] + other[0] not in self.met:
+            return True
+        score = self.score
+        # Without a merge across the border both come to be as they do alone.
+        across = any(a + b in score for a in self._history(one)[1] for b in self._history(other)[0])
+        return not across or self.merged([*one, *other]) == [one, other]
+
+    def _test(self, one: str, other: str, known: dict[str, bool]) -> bool:
+        if self.tested >= 2 * _CACHE:
+            self.tested = 0
+            for told in self.before.values():
+                told.clear()
+        self.tested += 1
+        known[one] = self.compatible(one, other)
+        return known[one]
+
+    def last_tokens(self, text: str) -> list[str | None]:
+        """The last token of the encoding of each prefix of a text; None stands for its last character alone."""
         found: list[str | None] = [None] * (len(text) + 1)
-        found[0] = ""
-        pairs, compatible, done = self.pairs, self.compatible, 0
-
-        def alone(end: int) -> None:
-            # A character by itself, in the vocabulary or not, where no longer token fits.
-            for place in range(done, end):
-                if found[place + 1] is None:
-                    found[place + 1] = text[place]
-
-        for end, token in self.automaton.iter(text):
-            if end > done:
-                alone(end)
-                done = end
-            if found[end + 1] is None:
-                before = found[end + 1 - len(token)]
-                if not before or pairs.get((before, token)) or ((before, token) not in pairs and compatible(before, token)):
-                    found[end + 1] = token
-        alone(len(text))
+        for end, (token, length, known) in self.automaton.iter(text):
+            end += 1
+            if found[end] is None:
+                start = end - length
+                if start:
+                    before = found[start] or text[start - 1]
+                    fits = known.get(before)
+                    if not (self._test(before, token, known) if fits is None else fits):
+                        continue
+                found[end] = token
         return found
 
     def tokens(self, text: str) -> list[str]:
         """The tokens of a text, recovered backwards from the last tokens of its prefixes."""
+        if len(text) == 1 or text in self.whole:
+            return [text]
         found, at, out = self.last_tokens(text), len(text), []
         while at:
-            out.append(found[at])
-            at -= len(found[at])
+            token = found[at] or text[at - 1]
+            out.append(token)
+            at -= len(token)
         return out[::-1]
 
     def _token_ids(self, token: str) -> list[int]:
@@ -154,11 +164,12 @@ class PieceTable:
 
     def _part(self, part: str) -> bytes:
         """Ids of a part of a text, cut where characters meet that stand together in no piece."""
-        ids, start, met = [], 0, self.met
-        for i in range(1, len(part) + 1):
-            if i == len(part) or part[i - 1 : i + 1] not in met:
-                ids += [x for t in self.tokens(part[start:i]) for x in self._token_ids(t)]
-                start = i
+        met, ids, start = self.met, [], 0
+        cuts = [i for i, pair in enumerate(zip(part, part[1:]), 1) if "".join(pair) not in met]
+        for cut in (*cuts, len(part)):
+            for token in self.tokens(part[start:cut]):
+                ids += self._token_ids(token)
+            start = cut
         return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:
@@ -168,14 +179,18 @@ class PieceTable:
             return head + tail
         whole = SPACE + text.replace(" ", SPACE)
         parts = self.parts.findall(whole) if self.parts else [whole]
-        known = self.known
-        for part in set(parts).difference(known):
-            if len(known) >= _CACHE:
-                known.clear()
-            if len(part) <= _CACHED_LENGTH:
-                known[part] = self._part(part)
-        get = known.get
-        return b"".join([head, *[get(p) or self._part(p) for p in parts], tail])
+        if len(self.known) >= _CACHE:
+            # Parts that were met again since the last change are kept, the others forgotten.
+            self.older, self.known = self.known, {}
+        known, older, now = self.known, self.older, {}
+        for part in set(parts):
+            ids = known.get(part)
+            if ids is None:
+                ids = older.get(part) or self._part(part)
+                if len(part) <= _CACHED_LENGTH:
+                    known[part] = ids
+            now[part] = ids
+        return b"".join([head, *map(now.__getitem__, parts), tail])
 
     def decode(self, ids: bytes) -> str:
         """The text of little-endian u32 ids, as the model's own decoder gives it."""
