@@ -6,9 +6,10 @@ up to `ORDER` - 1 characters and its start and end as symbols:
 
     P_c(x | h) = max(n_c(h x) - D, 0) / n_c(h) + back_c(h) P_c(x | h without its first character)
 
-n_c counts occurrences in the class at the longest context and, as Kneser and Ney do below it, the different
-words that hold the sequence. Contexts of `SHARED` - 1 characters and fewer are counted over the whole corpus and
-shared by both classes: what neither class has seen often enough speaks for neither.
+n_c counts occurrences in the class at the longest context. Below it n counts, as Kneser and Ney do, the different
+characters in front of the sequence (occurrences, if the sequence holds the start of the word). Down to contexts of `SHARED` characters they are counted in the class,
+below that over the whole corpus, and shared by both classes: what neither class has seen often enough speaks for
+neither. The last level is a character's share of all different pairs of characters.
 
 A document's evidence is the difference of the two log-likelihoods of its words, normalised by their number. A
 logistic regression, on labelled rows that the counts have not seen, turns the mean difference, and the mean and
@@ -16,8 +17,9 @@ sum of what exceeds one unit a word (a few rude words in a long text), into a pr
 
 Bounds. The class counts come from at most `max_class_rows` labelled rows of each class, the calibration from at
 most `max_fit_rows` of each: those of least hash of the id. The model keeps every sequence of those rows, however
-rare, so its size is bounded by the rows; it is sent to every task. The shared counts cover every document. Of them,
-those in a context that no sampled row holds cannot tell the classes apart, as both back off alike there, and stay out.
+rare, so its size is bounded by the rows and their length; it goes to the driver as Arrow columns (24 bytes for a sequence) and
+is sent to every task. The shared counts cover every document. Of them, those in a context that no sampled row holds
+cannot tell the classes apart, as both back off alike there, and stay out.
 """
 
 from __future__ import annotations
@@ -40,6 +42,9 @@ from gleanrank.session import materialize
 DISCOUNT = 0.75
 THRESHOLD = 0.7
 ORDER, SHARED = 6, 3
+_CLASS, _CORPUS, _BOTH = range(SHARED + 1, ORDER + 1), range(2, SHARED + 1), ["toxic", "ordinary"]
+#: Probability of a character that the corpus does not have.
+UNSEEN = 1e-7
 #: Words a worker process remembers the difference of, and the longest of them.
 _CACHE, _CACHED_LENGTH = 300_000, 64
 _WORD = re.compile(r"\w+")
@@ -78,46 +83,47 @@ def _grams(codes: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, n
 
 
 @dataclass
-class Model:
-    """Sequences and contexts by sorted hash, with what the classes say about them (columns: toxic, ordinary)."""
+class Level:
+    """Sequences of one length and their contexts, by sorted hash. Class levels have a column for each class."""
 
+    order: int
     grams: np.ndarray
-    gram_n: np.ndarray  # max(n_c - D, 0)
+    kept: np.ndarray  # max(n - D, 0)
     contexts: np.ndarray
-    context_n: np.ndarray
-    back: np.ndarray
-    shared: np.ndarray  # sequences of SHARED characters in the corpus
-    shared_n: np.ndarray
-    shared_contexts: np.ndarray
-    shared_context_n: np.ndarray
-    shared_back: np.ndarray
+    total: np.ndarray  # n of the context's sequences
+    back: np.ndarray  # the weight left for the level below
+
+    def probability(self, gram: np.ndarray, context: np.ndarray, below: np.ndarray) -> np.ndarray:
+        total = _value(self.contexts, self.total, context)
+        own = _value(self.grams, self.kept, gram) / np.maximum(total, 1) + _value(self.contexts, self.back, context) * below
+        return np.where(total > 0, own, below)
+
+
+@dataclass
+class Model:
+    """Levels from pairs of characters up; those up to SHARED are the corpus's, the others the classes'."""
+
+    levels: list[Level]
     single: np.ndarray  # characters by code point, and their share
     single_p: np.ndarray
     weights: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def _of_words(self, words: list[str]) -> np.ndarray:
-        """Log-likelihood difference of each word."""
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """Log-likelihoods of each word in the two classes (toxic, ordinary)."""
         codes, at = _symbols(words)
-        found = np.searchsorted(self.single, codes[at])
-        found = np.minimum(found, len(self.single) - 1)
-        p = np.where(self.single[found] == codes[at], self.single_p[found], 1e-7)
-        gram, context = _grams(codes, at, SHARED)
-        n = _value(self.shared_contexts, self.shared_context_n, context)
-        p = np.where(
-            n > 0, _value(self.shared, self.shared_n, gram) / np.maximum(n, 1)
-            + _value(self.shared_contexts, self.shared_back, context) * p, p,
-        )
-        both = np.stack([p, p], axis=1)
-        for order in range(SHARED + 1, ORDER + 1):
-            gram, context = _grams(codes, at, order)
-            n = _value(self.contexts, self.context_n, context)
-            both = np.where(
-                n > 0, _value(self.grams, self.gram_n, gram) / np.maximum(n, 1)
-                + _value(self.contexts, self.back, context) * both, both,
-            )
-        difference = np.log(both[:, 0]) - np.log(both[:, 1])
-        return np.bincount((np.cumsum(codes == 2) - (codes == 2))[at], difference, minlength=len(words))
+        p = _value(self.single, self.single_p, codes[at])
+        p = np.where(p > 0, p, UNSEEN)
+        for level in self.levels:
+            if level.kept.ndim > p.ndim:
+                p = np.stack([p, p], axis=1)
+            p = level.probability(*_grams(codes, at, level.order), p)
+        owner = (np.cumsum(codes == 2) - (codes == 2))[at]
+        return np.stack([np.bincount(owner, np.log(p[:, i]), minlength=len(words)) for i in (0, 1)], axis=1)
+
+    def _differences(self, words: list[str]) -> np.ndarray:
+        both = self.of_words(words)
+        return both[:, 0] - both[:, 1]
 
     def evidence(self, texts: list[str | None]) -> np.ndarray:
         """Features of each text for the logistic regression."""
@@ -128,9 +134,9 @@ class Model:
         known = kept["words"]
         new = list({w for words in every for w in words if w not in known})
         fresh = {}
-        for start in range(0, len(new), 50_000):
-            part = new[start : start + 50_000]
-            fresh.update(zip(part, self._of_words(part).tolist()))
+        for start in range(0, len(new), 20_000):
+            part = new[start : start + 20_000]
+            fresh.update(zip(part, self._differences(part).tolist()))
         if len(known) < _CACHE:
             known.update((w, v) for w, v in fresh.items() if len(w) <= _CACHED_LENGTH)
         n = np.array([len(w) for w in every], np.int64)
@@ -139,7 +145,7 @@ class Model:
         of_text = lambda v: np.bincount(owner, v, minlength=len(texts)) if len(v) else np.zeros(len(texts))
         length, excess = np.maximum(n, 1), of_text(np.maximum(value - 1, 0))
         mean = of_text(np.clip(value, -1, 8)) / length
-        return np.stack([np.ones(len(texts)), mean, np.sqrt(excess / length), np.log1p(excess), np.log1p(n)], axis=1)
+        return np.stack([np.ones(len(texts)), mean, np.sqrt(excess / length), np.log1p(excess)], axis=1)
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights, -500, 500)))
@@ -167,59 +173,54 @@ def _word_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _gram_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sequences of the words of each batch of (word, toxic, ordinary), with their counts in either class.
+def _suffixes(codes: np.ndarray, at: np.ndarray, orders: range) -> list[np.ndarray]:
+    """Sequence and context of each place, and whether the word's start is among them, from the longest order down."""
+    return [x for order in reversed(orders) for x in (*_grams(codes, at, order), (codes[at - order + 1] == 1).astype(np.uint64))]
 
-    (gram, context, and what counts at this order: occurrences or different words)
-    """
+
+def _columns(orders: range) -> list[str]:
+    return [f"{kind}{order}" for order in reversed(orders) for kind in ("gram", "context", "start")]
+
+
+def _class_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences of ORDER characters in the words of each batch of (word, toxic, ordinary), with their occurrences in
+    either class, and their suffixes down to the shortest of the class levels."""
     for batch in batches(source):
-        counts = np.stack([batch.column(i).to_numpy() for i in (1, 2)], axis=1)
         codes, at = _symbols(batch.column(0).to_pylist())
         word = (np.cumsum(codes == 2) - (codes == 2))[at]
-        for order in range(SHARED + 1, ORDER + 1):
-            gram, context = _grams(codes, at, order)
-            keys, first, place = np.unique(gram, return_index=True, return_inverse=True)
-            if order == ORDER:
-                measure = counts[word]
-            else:
-                # A word that holds a sequence twice is one word.
-                measure = (counts[word] > 0).astype(np.int64)
-                again = np.unique(np.stack([word, place], axis=1), axis=0, return_index=True)[1]
-                mask = np.zeros(len(at), bool)
-                mask[again] = True
-                measure = measure * mask[:, None]
-            add = lambda v: np.bincount(place, v, minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(context[first].view(np.int64)),
-                 pa.array(add(measure[:, 0])), pa.array(add(measure[:, 1]))],
-                ["gram", "context", "toxic", "ordinary"],
-            )
+        found = _suffixes(codes, at, _CLASS)
+        _, first, place = np.unique(found[0], return_index=True, return_inverse=True)
+        n = [np.bincount(place, batch.column(i).to_numpy()[word], minlength=len(first)).astype(np.int64) for i in (1, 2)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*[f[first].view(np.int64) for f in found], *n)], [*_columns(_CLASS), *_BOTH])
 
 
 def _corpus_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, context, last, n) over all words: sequences of SHARED characters and the character they end in."""
+    """Sequences of SHARED + 1 characters in all words, with their suffixes, the character they end in, and their occurrences."""
     def out(words: Counter) -> pa.RecordBatch:
         codes, at = _symbols(list(words))
         times = np.fromiter(words.values(), np.int64, len(words))
-        gram, context = _grams(codes, at, SHARED) if len(at) else (codes, codes)
-        keys, first, place = np.unique(gram, return_index=True, return_inverse=True)
-        n = np.bincount(place, times[(np.cumsum(codes == 2) - (codes == 2))[at]], minlength=len(keys)) if len(at) else place
+        found = [_grams(codes, at, SHARED + 1)[0], *_suffixes(codes, at, _CORPUS)] if len(at) else [codes] * (1 + 3 * len(_CORPUS))
+        _, first, place = np.unique(found[0], return_index=True, return_inverse=True)
+        n = np.bincount(place, times[(np.cumsum(codes == 2) - (codes == 2))[at]], minlength=len(first))
         return pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(context[first].view(np.int64)),
-             pa.array(codes[at][first].astype(np.int64)), pa.array(n.astype(np.int64))],
-            ["gram", "context", "last", "n"],
+            [*(pa.array(f[first].view(np.int64)) for f in found), pa.array(codes[at][first].astype(np.int64)), pa.array(n.astype(np.int64))],
+            ["longer", *_columns(_CORPUS), "last", "n"],
         )
 
-    words = Counter()
+    words: Counter = Counter()
     for batch in batches(source):
         for text in batch.column(0).to_pylist():
             words.update(words_of(text))
-        if len(words) > 200_000:
-            yield out(words)
-            words = Counter()
+            if len(words) > 200_000:
+                yield out(words)
+                words = Counter()
     yield out(words)
 
 
+def _longs(columns: list[str]) -> str:
+    return ", ".join(f"{c} long" for c in columns)
+
+
 def _labelled(labels: DataFrame, rows: int, fitting: bool) -> DataFrame:
     """(id, toxic) of at most `rows` rows of each class; one in five ids is kept for the calibration."""
     known = (
@@ -254,19 +255,54 @@ def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights / scale
 
 
-def _unsigned(column) -> np.ndarray:
-    return column.to_numpy(np.int64).view(np.uint64)
-
-
-def _context_tables(gram: np.ndarray, of: np.ndarray, n: np.ndarray):
-    """Sorted tables of sequences and contexts: keys, discounted counts, context counts, and the weight left."""
-    kept = np.maximum(n - DISCOUNT, 0)
+def _level(rows: DataFrame, order: int, counts: list[str]) -> Level:
+    """The level of a table of (gram, context, counts). It goes to the driver as Arrow columns."""
+    table = rows.select(F.col(f"gram{order}"), F.col(f"context{order}"), *counts).toArrow()
+    gram, of = (table.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+    n = np.stack([table.column(c).to_numpy() for c in counts], axis=1).astype(np.float32)
+    kept = np.maximum(n - np.float32(DISCOUNT), 0)
     sort = np.argsort(gram)
     contexts, place = np.unique(of, return_inverse=True)
-    total, used = (np.zeros((len(contexts), *n.shape[1:])) for _ in range(2))
-    np.add.at(total, place, n)
-    np.add.at(used, place, kept)
-    return gram[sort], kept[sort], contexts, total, 1 - used / np.maximum(total, 1)
+    total, used = (
+        np.stack([np.bincount(place, x[:, i], minlength=len(contexts)) for i in range(n.shape[1])], axis=1) for x in (n, kept)
+    )
+    back = (1 - used / np.maximum(total, 1)).astype(np.float32)
+    if len(counts) == 1:
+        kept, total, back = kept[:, 0], total[:, 0], back[:, 0]
+    return Level(order, gram[sort], kept[sort], contexts, total.astype(np.float32), back)
+
+
+def _continued(rows: DataFrame, orders: range, order: int, counts: list[str], extra: list[str]) -> DataFrame:
+    """The counts of sequences of `order` characters, from the rows of one more: the different characters in front, or
+    occurrences where the sequence holds the start of a word, in front of which there is only that."""
+    keys = [c for c in _columns(orders) if int(c[-1]) <= order] + extra
+    each = lambda c: F.when(F.col(f"start{order}") == 1, F.col(c)).otherwise((F.col(c) > 0).cast("long"))
+    return rows.groupBy(*keys).agg(*[F.sum(each(c)).alias(c) for c in counts])
+
+
+def language_levels(words: DataFrame, texts: DataFrame) -> tuple[list[Level], np.ndarray, np.ndarray]:
+    """The levels from `words` (word, toxic, ordinary) of the labelled sample and `texts`, one column with the corpus, and
+    characters with their share."""
+    class_rows = words.mapInArrow(_class_rows, _longs([*_columns(_CLASS), *_BOTH]))
+    longest = materialize(class_rows.groupBy(*_columns(_CLASS)).agg(*[F.sum(c).alias(c) for c in _BOTH]), "toxic-sequences")
+    levels, rows = [_level(longest, ORDER, _BOTH)], longest
+    for order in reversed(_CLASS[:-1]):
+        rows = _continued(rows, _CLASS, order, _BOTH, [])
+        levels.append(_level(rows, order, _BOTH))
+
+    keys = ["longer", *_columns(_CORPUS), "last"]
+    schema = _longs([*keys, "n"])
+    corpus = texts.mapInArrow(_corpus_rows, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
+    rows = materialize(corpus, "corpus-sequences")
+    sampled = materialize(words.select("word").mapInArrow(_corpus_rows, schema).select(*[c for c in _columns(_CORPUS) if "context" in c]).distinct(), "toxic-contexts")
+    for order in reversed(_CORPUS):
+        rows = _continued(rows, _CORPUS, order, ["n"], ["last"])
+        # Where no sampled word has the context, both classes back off alike.
+        held = sampled.select(f"context{order}").distinct()
+        levels.append(_level(rows.join(held, f"context{order}", "left_semi"), order, ["n"]))
+    singles = rows.groupBy("last").agg(F.count("*").alias("n")).orderBy("last").toArrow()
+    n = singles.column("n").to_numpy().astype(float)
+    return levels[::-1], singles.column("last").to_numpy().view(np.uint64), n / max(n.sum(), 1)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows: int = 25_000,
@@ -282,25 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows
         ),
         "toxic-words",
     )
-    both = ["toxic", "ordinary"]
-    held = (
-        words.mapInArrow(_gram_rows, "gram long, context long, toxic long, ordinary long")
-        .groupBy("gram", "context").agg(*[F.sum(c).cast("int").alias(c) for c in both]).toPandas()
-    )
-    tables = _context_tables(_unsigned(held.gram), _unsigned(held.context), held[both].to_numpy(float))
-    counted = "gram long, context long, last long, n long"
-    shared = materialize(
-        source.select("text").mapInArrow(_corpus_rows, counted).groupBy("gram", "context", "last").agg(F.sum("n").alias("n")),
-        "corpus-sequences",
-    )
-    corpus_total = shared.agg(F.sum("n")).first()[0] or 0
-    singles = shared.groupBy("last").agg(F.sum("n").alias("n")).toPandas().sort_values("last")
-    sampled = words.select("word").mapInArrow(_corpus_rows, counted).select("context").distinct()
-    corpus = shared.join(sampled, "context", "left_semi").groupBy("gram", "context").agg(F.sum("n").alias("n")).toPandas()
-    shared_tables = _context_tables(_unsigned(corpus.gram), _unsigned(corpus.context), corpus.n.to_numpy(float))
-    single = np.r_[_unsigned(singles["last"]), np.uint64(1 << 40)]
-    single_p = np.r_[np.maximum(singles.n.to_numpy(float) / max(corpus_total, 1), 1e-7), 1e-7]
-    model = Model(*tables, *shared_tables, single, single_p, np.array([0.0, 1, 0, 0, 0]))
+    model = Model(*language_levels(words, source.select("text")), np.array([0.0, 1, 0, 0]))
 
     def evidence_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(source):
@@ -308,14 +326,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.tolist(), pa.list_(pa.float64()))], ["toxic", "x"])
 
     fitting = source.join(F.broadcast(_labelled(labels, max_fit_rows, True)), "id").select("toxic", "text")
-    fit = fitting.mapInArrow(evidence_rows, "toxic int, x array<double>").toPandas()
-    y = fit.toxic.to_numpy(float)
+    fit = fitting.mapInArrow(evidence_rows, "toxic int, x array<double>").toArrow()
+    y = fit.column("toxic").to_numpy().astype(float)
     if 0 < y.sum() < len(y):
-        model.weights = _fit(np.stack(fit.x.to_list()), y)
+        model.weights = _fit(np.array(fit.column("x").to_pylist()), y)
     else:
         # Nothing to tell the classes apart by: every text gets the share of toxic rows, 0 without rows.
         share = min(max(y.mean() if len(y) else 0.0, 1e-6), 1 - 1e-6)
-        model.weights = np.array([np.log(share / (1 - share)), 0, 0, 0, 0])
+        model.weights = np.array([np.log(share / (1 - share)), 0, 0, 0])
     return model
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,12 +140,74 @@ def test_rare_spellings_are_kept(spark):
     marks = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id bigint, quality int, toxic int")
     drawn = {r.id for r in toxicity._labelled(marks, 25_000, False).collect()}
     model = toxicity.train(documents(spark, rows), marks)
-    for order in range(toxicity.SHARED + 1, toxicity.ORDER + 1):
+    for level in model.levels[toxicity.SHARED - 1 :]:
         words = sorted({w for i, t in rows if i in drawn for w in t.split()})
-        grams = toxicity._grams(*toxicity._symbols(words), order)
-        assert np.isin(grams[0], model.grams).all() and np.isin(grams[1], model.contexts).all()
+        grams = toxicity._grams(*toxicity._symbols(words), level.order)
+        assert np.isin(grams[0], level.grams).all() and np.isin(grams[1], level.contexts).all()
     rare = [w for i, t in rows if i in drawn and i % 2 for w in t.split()[-1:]]
-    assert len(rare) == len(set(rare)) and (model._of_words(rare) > 1).all()
+    assert len(rare) == len(set(rare)) and (model._differences(rare) > 1).all()
+
+
+def kneser_ney(by_class, corpus):
+    """Log-likelihood of words in each class by plain counting: `by_class` and `corpus` are counters of words."""
+    def tables(words, orders):
+        pad = "\x01" * (toxicity.ORDER - 1)
+        raw = {o: Counter() for o in (*orders, orders[-1] + 1)}
+        for w, n in words.items():
+            text = pad + w + "\x02"
+            for o in raw:
+                for i in range(len(pad), len(text)):
+                    raw[o][text[i - o + 1 : i + 1]] += n
+        out = {}
+        for o in orders:
+            if o == toxicity.ORDER:
+                out[o] = raw[o]
+                continue
+            out[o] = Counter()
+            for g in raw[o + 1]:
+                out[o][g[1:]] += raw[o][g[1:]] if g[1] == "\x01" else 1
+            out[o] = Counter({g: raw[o][g] if g[0] == "\x01" else n for g, n in out[o].items()})
+        return out
+
+    classes = [tables(c, range(toxicity.SHARED + 1, toxicity.ORDER + 1)) for c in by_class]
+    shared = tables(corpus, range(1, toxicity.SHARED + 1))
+
+    def p(counts, order, text, i):
+        if order == 1:
+            return shared[1][text[i]] / sum(shared[1].values()) if text[i] in shared[1] else toxicity.UNSEEN
+        table = (shared if order <= toxicity.SHARED else counts)[order]
+        gram, context = text[i - order + 1 : i + 1], text[i - order + 1 : i]
+        of = [n for g, n in table.items() if g[:-1] == context]
+        below = p(counts, order - 1, text, i)
+        if not of:
+            return below
+        d = toxicity.DISCOUNT
+        return max(table[gram] - d, 0) / sum(of) + (1 - sum(max(n - d, 0) for n in of) / sum(of)) * below
+
+    def of_word(w):
+        text = "\x01" * (toxicity.ORDER - 1) + w + "\x02"
+        return [sum(np.log(p(c, toxicity.ORDER, text, i)) for i in range(toxicity.ORDER - 1, len(text))) for c in classes]
+    return of_word
+
+
+def test_levels_are_kneser_ney(spark):
+    rng = np.random.default_rng(33)
+    spell = lambda: "".join(rng.choice(list("abcdé"), rng.integers(1, 9)))
+    corpus = [spell() for _ in range(120)]
+    toxic, ordinary = Counter(corpus[:40] * 2 + corpus[:5]), Counter(corpus[30:80])
+    rows = [(w, toxic[w], ordinary[w]) for w in {*toxic, *ordinary}]
+    texts = spark.createDataFrame([(" ".join(corpus),), (" ".join(corpus[:60]),), (None,)], "text string").repartition(3)
+    levels, single, share = toxicity.language_levels(spark.createDataFrame(rows, "word string, toxic long, ordinary long").repartition(3), texts)
+    model = toxicity.Model(levels, single, share, np.zeros(4))
+    of_word = kneser_ney([toxic, ordinary], Counter(corpus + corpus[:60]))
+    words = sorted({*corpus[:80], *[spell() for _ in range(40)]})
+    words = [w for w in words if set(zip("\x01" + w, w)) <= {p for c in corpus[:80] for p in zip("\x01" + c, c)}]
+    got = model.of_words(words)
+    for w, (a, b) in zip(words, got):
+        # Levels of the corpus whose context no sampled word has are left out, for both classes alike.
+        assert a - b == pytest.approx(of_word(w)[0] - of_word(w)[1], rel=1e-4, abs=1e-4)
+        if w in toxic or w in ordinary:
+            assert [a, b] == pytest.approx(of_word(w), rel=1e-4)
 
 
 # ---- 4 decontamination ---------------------------------------------------------------------------------------
