@@ -14,7 +14,7 @@ from gleanrank.llm.license_scan import scan_licences
 from gleanrank.llm.mixing import mix_sources
 from gleanrank.llm.parity_join import similar_sets
 from gleanrank.llm.sentence_spans import remove_repeated_spans
-from gleanrank.llm.sentencepiece_table import decode_pieces, encode_pieces
+from gleanrank.llm.sentencepiece_table import encode_pieces
 from gleanrank.llm.spelling import spelling_variants, word_counts
 from gleanrank.llm.token_files import token_digests, write_tokens
 from gleanrank.llm.toxicity import score_toxicity
@@ -94,7 +94,7 @@ def op12_filter_audit(spark, sf_dir):
 
 
 def op13_sentencepiece(spark, sf_dir):
-    told = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), PIECES), PIECES)
+    told = encode_pieces(table(spark, sf_dir, "documents"), PIECES, decoded=True)
     return told.select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),

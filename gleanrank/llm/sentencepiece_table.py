@@ -32,7 +32,7 @@ from gleanrank.llm.words import batches, bound_batches
 SPACE = "▁"
 #: Parts of texts that a worker process remembers in each of two generations, and the longest of them; the rest is encoded
 #: each time it is met.
-_CACHE, _CACHED_LENGTH = 250_000, 64
+_CACHE, _CACHED_LENGTH = 150_000, 64
 #: Where parts may end: Latin letters, and ASCII signs and digits.
 _LETTERS, _SIGNS = "A-Za-z\u00c0-\u024f", re.escape(string.punctuation + string.digits)
 
@@ -205,9 +205,11 @@ def worker_table(path: str) -> PieceTable:
     return kept[path]
 
 
-def encode_pieces(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_pieces(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """(doc_id, ids): the ids of every whole text as little-endian u32 bytes, those of begin and end included.
 
+    With `decoded` a column `text` has what the ids decode to, in the same pass.
+
     Defined cases: null and empty texts have the ids of begin and end alone; rows that share an id, or have a null one,
     are encoded each for itself; an empty table gives an empty result. Other columns are ignored.
     """
@@ -217,9 +219,13 @@ def encode_pieces(docs: DataFrame, model_path: str, id: str = "doc_id", text: st
         table = worker_table(model_path)
         for batch in batches(source):
             ids = [table.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            columns = [batch.column(0), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array(map(table.decode, ids), pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][: len(columns)])
 
-    return docs.select(F.col(id).cast("long"), F.col(text).cast("string")).mapInArrow(run, "doc_id long, ids binary")
+    told = "doc_id long, ids binary" + (", text string" if decoded else "")
+    return docs.select(F.col(id).cast("long"), F.col(text).cast("string")).mapInArrow(run, told)
 
 
 def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:

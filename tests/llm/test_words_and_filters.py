@@ -209,6 +209,8 @@ def test_pieces_of_documents(spark, pieces):
         ids = pieces.model.encode(text or "", add_bos=True, add_eos=True)
         expected.append((i, hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), pieces.model.decode(ids)))
     assert got == sorted(expected, key=str)
+    at_once = sentencepiece_table.encode_pieces(documents(spark, rows), PIECES, decoded=True).collect()
+    assert sorted(((r.doc_id, hashlib.sha256(r.ids).hexdigest(), r.text) for r in at_once), key=str) == got
     assert sentencepiece_table.encode_pieces(documents(spark, rows).limit(0), PIECES).count() == 0
 
 
