@@ -31,6 +31,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,9 @@ _CLASS, _CORPUS, _BOTH = range(SHARED + 1, ORDER + 1), range(2, SHARED + 1), ["t
 #: Probability of a character that the corpus does not have.
 UNSEEN = 1e-7
 #: Words a worker process remembers the difference of, and the longest of them.
-_CACHE, _CACHED_LENGTH = 300_000, 64
+_CACHE, _CACHED_LENGTH = 200_000, 64
+#: Different words that are counted before their sequences are, and whose sequences are counted at once.
+_FLUSH, _AT_ONCE = 200_000, 40_000
 _WORD = re.compile(r"\w+")
 _PLACE = mix(np.arange(1, 2 * ORDER + 3, dtype=np.uint64) << np.uint64(40)) | np.uint64(1)
 
@@ -84,7 +87,8 @@ def _grams(codes: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, n
 
 @dataclass
 class Level:
-    """Sequences of one length and their contexts, by sorted hash. Class levels have a column for each class."""
+    """Sequences of one length and their contexts, by sorted hash. Class levels have a column for each class; the values
+    end in a row for what is not held."""
 
     order: int
     grams: np.ndarray
@@ -94,8 +98,9 @@ class Level:
     back: np.ndarray  # the weight left for the level below
 
     def probability(self, gram: np.ndarray, context: np.ndarray, below: np.ndarray) -> np.ndarray:
-        total = _value(self.contexts, self.total, context)
-        own = _value(self.grams, self.kept, gram) / np.maximum(total, 1) + _value(self.contexts, self.back, context) * below
+        at = _places(self.contexts, context)
+        total = self.total[at]
+        own = self.kept[_places(self.grams, gram)] / np.maximum(total, 1) + self.back[at] * below
         return np.where(total > 0, own, below)
 
 
@@ -104,7 +109,7 @@ class Model:
     """Levels from pairs of characters up; those up to SHARED are the corpus's, the others the classes'."""
 
     levels: list[Level]
-    single: np.ndarray  # characters by code point, and their share
+    single: np.ndarray  # characters by code point, and their share, that of unknown ones at the end
     single_p: np.ndarray
     weights: np.ndarray
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
@@ -112,8 +117,7 @@ class Model:
     def of_words(self, words: list[str]) -> np.ndarray:
         """Log-likelihoods of each word in the two classes (toxic, ordinary)."""
         codes, at = _symbols(words)
-        p = _value(self.single, self.single_p, codes[at])
-        p = np.where(p > 0, p, UNSEEN)
+        p = self.single_p[_places(self.single, codes[at])]
         for level in self.levels:
             if level.kept.ndim > p.ndim:
                 p = np.stack([p, p], axis=1)
@@ -132,15 +136,16 @@ class Model:
         if kept.get("name") != self.name:
             kept["name"], kept["words"] = self.name, {}
         known = kept["words"]
-        new = list({w for words in every for w in words if w not in known})
-        fresh = {}
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            fresh.update(zip(part, self._differences(part).tolist()))
+        distinct = set().union(*every)
+        now = {w: known[w] for w in distinct if w in known}
+        new = list(distinct.difference(now))
+        for start in range(0, len(new), 5_000):
+            part = new[start : start + 5_000]
+            now.update(zip(part, self._differences(part).tolist()))
         if len(known) < _CACHE:
-            known.update((w, v) for w, v in fresh.items() if len(w) <= _CACHED_LENGTH)
+            known.update((w, now[w]) for w in new if len(w) <= _CACHED_LENGTH)
         n = np.array([len(w) for w in every], np.int64)
-        value = np.fromiter((known[w] if w in known else fresh[w] for words in every for w in words), float, int(n.sum()))
+        value = np.fromiter(map(now.__getitem__, chain.from_iterable(every)), float, int(n.sum()))
         owner = np.repeat(np.arange(len(texts)), n)
         of_text = lambda v: np.bincount(owner, v, minlength=len(texts)) if len(v) else np.zeros(len(texts))
         length, excess = np.maximum(n, 1), of_text(np.maximum(value - 1, 0))
@@ -151,13 +156,21 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.evidence(texts) @ self.weights, -500, 500)))
 
 
-def _value(table: np.ndarray, values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The values of the keys that the sorted table holds, 0 for the others."""
+def _places(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where the keys stand in a sorted table; the place behind its end for those that do not."""
     if len(table) == 0:
-        return np.zeros((len(keys), *values.shape[1:]))
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    held = table[at] == keys
-    return np.where(held[:, None] if values.ndim > 1 else held, values[at], 0)
+        return np.zeros(len(keys), np.int64)
+    order = np.argsort(keys)  # sorted keys are looked up several times as fast
+    found = np.searchsorted(table, keys[order])
+    found[table[np.minimum(found, len(table) - 1)] != keys[order]] = len(table)
+    at = np.empty_like(found)
+    at[order] = found
+    return at
+
+
+def _ended(values: np.ndarray, end: float = 0) -> np.ndarray:
+    """Values of a sorted table, with `end` behind them for keys that it does not hold."""
+    return np.concatenate([values, np.full((1, *values.shape[1:]), end, values.dtype)])
 
 
 def _word_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,9 +209,13 @@ def _class_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _corpus_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sequences of SHARED + 1 characters in all words, with their suffixes, the character they end in, and their occurrences."""
-    def out(words: Counter) -> pa.RecordBatch:
-        codes, at = _symbols(list(words))
-        times = np.fromiter(words.values(), np.int64, len(words))
+    def parts(words: Counter) -> Iterator[list[tuple[str, int]]]:
+        told = list(words.items())
+        return (told[i : i + _AT_ONCE] for i in range(0, max(1, len(told)), _AT_ONCE))
+
+    def out(words: list[tuple[str, int]]) -> pa.RecordBatch:
+        codes, at = _symbols([w for w, _ in words])
+        times = np.array([n for _, n in words], np.int64)
         found = [_grams(codes, at, SHARED + 1)[0], *_suffixes(codes, at, _CORPUS)] if len(at) else [codes] * (1 + 3 * len(_CORPUS))
         _, first, place = np.unique(found[0], return_index=True, return_inverse=True)
         n = np.bincount(place, times[(np.cumsum(codes == 2) - (codes == 2))[at]], minlength=len(first))
@@ -211,10 +228,10 @@ def _corpus_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches(source):
         for text in batch.column(0).to_pylist():
             words.update(words_of(text))
-            if len(words) > 200_000:
-                yield out(words)
+            if len(words) > _FLUSH:
+                yield from map(out, parts(words))
                 words = Counter()
-    yield out(words)
+    yield from map(out, parts(words))
 
 
 def _longs(columns: list[str]) -> str:
@@ -269,7 +286,7 @@ def _level(rows: DataFrame, order: int, counts: list[str]) -> Level:
     back = (1 - used / np.maximum(total, 1)).astype(np.float32)
     if len(counts) == 1:
         kept, total, back = kept[:, 0], total[:, 0], back[:, 0]
-    return Level(order, gram[sort], kept[sort], contexts, total.astype(np.float32), back)
+    return Level(order, gram[sort], _ended(kept[sort]), contexts, _ended(total.astype(np.float32)), _ended(back, 1))
 
 
 def _continued(rows: DataFrame, orders: range, order: int, counts: list[str], extra: list[str]) -> DataFrame:
@@ -302,7 +319,7 @@ def language_levels(words: DataFrame, texts: DataFrame) -> tuple[list[Level], np
         levels.append(_level(rows.join(held, f"context{order}", "left_semi"), order, ["n"]))
     singles = rows.groupBy("last").agg(F.count("*").alias("n")).orderBy("last").toArrow()
     n = singles.column("n").to_numpy().astype(float)
-    return levels[::-1], singles.column("last").to_numpy().view(np.uint64), n / max(n.sum(), 1)
+    return levels[::-1], singles.column("last").to_numpy().view(np.uint64), _ended(n / max(n.sum(), 1), UNSEEN)
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", max_class_rows: int = 25_000,
