@@ -80,3 +80,24 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """A folder of scratch tables that is deleted when its scope ends.
+
+    `keep` writes a table into the folder and returns it read back. What outlives the scope must not read from it: results
+    are written elsewhere, with `materialize`, before the scope ends.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path, self._tables = spark, new_scratch(spark, label), 0
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        self._tables += 1
+        return materialize(df, label, f"{self.path}/{self._tables}-{label}")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *problem) -> None:
+        drop_scratch(self.spark, self.path)
