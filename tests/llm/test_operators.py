@@ -311,6 +311,25 @@ def test_vectors(spark, monkeypatch):
     assert embedding_forest.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_links_near_the_threshold_are_found(spark):
+    """Pairs of cosine 0.90 to 0.92 among other vectors, with the operator's own leaves and spill; copies count in full."""
+    rng = np.random.default_rng(55)
+    base = rng.standard_normal((6000, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    other = rng.standard_normal((1500, 64))
+    other -= (other * base[:1500]).sum(axis=1, keepdims=True) * base[:1500]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9005, 0.92, (1500, 1))
+    vectors = np.concatenate([base, cosine * base[:1500] + np.sqrt(1 - cosine**2) * other, np.repeat(base[:1], 700, 0)])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = embedding_forest.near_vectors(frame).toPandas().set_index("vec_id").sort_index()
+    assert (got.component_id[6001:7500].to_numpy() == np.arange(1, 1500)).mean() >= 0.99
+    same = [0, *range(7500, 8200)]
+    linked = int(got.component_id[6000] == 0)
+    assert (got.n_links[same] == 700 + linked).all() and (got.component_id[same] == 0).all() and got.kept[same].sum() == 1
+    assert got.n_links[6000] == 701 * linked
+
+
 # ---- 6 token files -------------------------------------------------------------------------------------------
 
 
