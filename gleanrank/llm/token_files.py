@@ -26,6 +26,7 @@ import struct
 import sys
 import types
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ _WORD_AND_SIGNS = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]+)?")
 #: for the code points from 256.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SPACE = chr(_SYMBOLS[ord(" ")])
 #: Cached pieces of a worker process; the rest is encoded each time.
 _CACHE = 900_000
 
@@ -99,25 +101,29 @@ class Encoder:
         """Little-endian u32 ids of each text."""
         plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
         pieces = [self._pieces(t) if p else None for t, p in zip(texts, plain)]
-        known = self.known
-        split = {}
-        for w in {w for ws in pieces if ws for w in ws if w not in known}:
-            shape = _WORD_AND_SIGNS.fullmatch(w)
-            split[w] = shape.groups("") if shape else None
-        parts = {p for ps in split.values() if ps for p in ps if p not in known}
-        told = {p: self._piece(p) for p in parts}
-        odd = [w for w, ps in split.items() if ps is None]
+        distinct, known = set().union(*filter(None, pieces)), self.known
+        now = {w: known[w] for w in distinct if w in known}
+        shapes = {w: _WORD_AND_SIGNS.fullmatch(w) for w in distinct.difference(now)}
+        split = {w: shape.groups("") for w, shape in shapes.items() if shape}
+        parts = set(chain.from_iterable(split.values()))
+        parts.discard("")
+        told = {p: known[p] if p in known else self._piece(p) for p in parts}
+        odd = [w for w, shape in shapes.items() if shape is None]
         fresh = dict(zip(odd, self._whole(odd))) if odd else {}
-        look = lambda p: told[p] if p in told else known[p]
-        fresh.update((w, b"".join(map(look, ps))) for w, ps in split.items() if ps)
+        ids = {"": b"", **told}
+        fresh.update((w, ids[a] + ids[b]) for w, (a, b) in split.items())
         self._remember(told, {w: ids for w, ids in fresh.items() if w not in told})
+        now.update(fresh)
         whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]) if not all(plain) else ())
-        get = known.get
-        return [b"".join([get(w) or fresh[w] for w in ws]) if ws is not None else next(whole) for ws in pieces]
+        return [b"".join(map(now.__getitem__, ws)) if ws is not None else next(whole) for ws in pieces]
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a text that is a single piece: byte-level symbols, straight into the merges."""
-        symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOLS)
+        bare = piece.removeprefix(" ")
+        if bare.isascii() and bare.isalpha():
+            symbols = _SPACE + bare if len(bare) < len(piece) else bare
+        else:
+            symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOLS)
         tokens = self.tokenizer.model.tokenize(symbols)
         return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
