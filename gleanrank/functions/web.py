@@ -9,7 +9,8 @@ from pyspark.sql import Column, functions as F
 # Public download host of the archives, header names of an archive record, and the
 # number in the name of an extract file.
 ARCHIVE_HOST = "https://data.commoncrawl.org"
-VERSION_LINE = "WARC/1.0"
+VERSION_TOKEN = "WARC/"
+VERSION_LINE = VERSION_TOKEN + "1.0"
 URI_HEADER = "WARC-Target-URI"
 EXTRACT_NUMBER = r"Multi(-?\d+)\.txt$"
 # The folder that our own text extracts of a batch are written to.
@@ -19,6 +20,11 @@ _BEFORE_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?"
 _HOST = _BEFORE_HOST + r"([^/:?#]+)"
 
 
+def host_key(name: Column) -> Column:
+    """A host with its labels in reverse order and a dot at the end, so that a domain is a prefix of its subdomains."""
+    return F.concat(F.array_join(F.reverse(F.split(F.lower(name), r"\.")), "."), F.lit("."))
+
+
 def host(url: Column) -> Column:
     """Lowercase host of a URL, '' where there is none."""
     return F.lower(F.regexp_extract(url, _HOST, 1))
@@ -61,14 +67,27 @@ def extract_number(path: Column) -> Column:
     return F.coalesce(named, batch)
 
 
+NEWLINE = r"(?:\r\n|\n|\r(?!\n))"
+# The version line of a record, of any version, with or without the token that records are cut at.
+VERSION = rf"(?:{VERSION_TOKEN})?[0-9]+\.[0-9]+[ \t]*"
 # The end of a line and an empty line, whichever newline the file has.
-BLANK_LINE = r"(?:\r\n|\n|\r(?!\n)){2}"
+BLANK_LINE = NEWLINE + "{2}"
 
 
 def unify_newlines(text: Column) -> Column:
     return F.regexp_replace(text, r"\r\n?", "\n")
 
 
+def starts_record(piece: Column) -> Column:
+    """Whether a piece of an archive, cut at the version token, begins as a record does: version line, then a header."""
+    return piece.rlike(rf"^{VERSION}{NEWLINE}[A-Za-z]")
+
+
+def has_uri(raw: Column) -> Column:
+    """Whether a raw record has a target URI among its headers, in one pass over these."""
+    return raw.rlike(rf"^{NEWLINE}?(?:[^\r\n]+{NEWLINE})*?{URI_HEADER}:[ \t]*[^ \t\r\n]")
+
+
 def target_uri(header: Column) -> Column:
     return F.trim(F.regexp_extract(header, rf"(?m)^{URI_HEADER}:[ \t]*([^\n]*)", 1))
 

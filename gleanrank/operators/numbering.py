@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanrank.functions.arithmetic import whole_div
@@ -12,13 +14,14 @@ _PLACE_BITS = 33
 
 
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "id", start: int = 1,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None,
+                keep: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """Add `name` = start, start+1, ... in the given order, with no gap.
 
     Rows are range-partitioned on the whole order key, so a file, score or source that holds most of
     the rows still spreads over many tasks. Each row's partition and place are stored once; the only
     thing summed up in order is one row count per partition. `partitions` defaults to the session's
-    number of shuffle partitions.
+    number of shuffle partitions; `keep` stores the places.
     """
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     placed = (
@@ -26,7 +29,7 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str = "id", star
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
-    stored = materialize(placed, "numbered")
+    stored = keep(placed, "numbered")
     part = F.shiftright("_slot", _PLACE_BITS)
     sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

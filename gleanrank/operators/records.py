@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gleanrank.functions.arithmetic import whole_div
 from gleanrank.functions.web import (
-    BLANK_LINE, URI_HEADER, VERSION_LINE, in_domain, mentions, target_uri, text_of, title_of, unify_newlines,
+    BLANK_LINE, URI_HEADER, VERSION, VERSION_TOKEN, has_uri, in_domain, mentions, target_uri, text_of, title_of,
+    unify_newlines,
 )
 
 
@@ -16,21 +17,41 @@ def parse_records(raw: DataFrame, value: str = "value") -> DataFrame:
     Headers end at the first blank line, so a missing or extra header moves nothing. The blank lines
     that close a record are not part of its body.
     """
-    # Only the first blank line is looked for here, and the filter needs the header alone: the rest of
-    # the text is copied, and rewritten once, for the records that are kept.
+    # Whether there is a URI is told from the raw text, so that the records that are left out are not parsed, and the
+    # filter does not repeat the parsing. Only the first blank line is looked for: the rest of the text is copied, and
+    # rewritten once.
     halves = F.split(F.col(value), BLANK_LINE, 2)
-    header = F.regexp_replace(unify_newlines(F.get("_halves", F.lit(0))), rf"^(?:{VERSION_LINE})?\n", "")
+    header = F.regexp_replace(unify_newlines(F.get("_halves", F.lit(0))), rf"^(?:{VERSION}[^\n]*\n|\n)?", "")
     body = unify_newlines(F.coalesce(F.get("_halves", F.lit(1)), F.lit("")))
     kept = [name for name in raw.columns if name != value]
     return (
-        raw.withColumn("_halves", halves)
+        raw.filter(has_uri(F.col(value))).withColumn("_halves", halves)
         .select(*kept, header.alias("header"), F.regexp_replace(body, r"\n+$", "").alias("body"))
-        .withColumn("uri", target_uri(F.col("header")))
-        .filter(F.col("uri") != "")
-        .select(*kept, "uri", "header", "body")
+        .select(*kept, target_uri(F.col("header")).alias("uri"), "header", "body")
     )
 
 
+def rejoin_pieces(pieces: DataFrame) -> DataFrame:
+    """(file, block, pos, value) of whole records, from pieces (file, block, pos, value, starts) of archives.
+
+    Archives are cut at each line that begins with the version token; a piece that does not start a record is a part
+    of the one before it. Such pieces are few, so they are gathered, in runs of consecutive places, and joined to
+    the record at the place before the run. A run behind no record is what precedes an archive's first one, and goes.
+    `pieces` is read twice: places must not change in between, so it should be a stored table.
+    """
+    order = Window.partitionBy("file", "block").orderBy("pos")
+    runs = pieces.filter(~F.col("starts")).withColumn("_run", F.col("pos") - F.row_number().over(order))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda piece: piece["value"])
+    cut = "\n" + VERSION_TOKEN
+    tails = runs.groupBy("file", "block", "_run").agg(
+        (F.min("pos") - 1).alias("pos"), F.concat(F.lit(cut), F.array_join(in_order, cut)).alias("_tail")
+    ).drop("_run")
+    heads = pieces.filter("starts").drop("starts")
+    return heads.join(tails, ["file", "block", "pos"], "left").withColumn(
+        "value", F.concat("value", F.coalesce("_tail", F.lit("")))
+    ).drop("_tail")
+
+
 def segment_lines(lines: DataFrame, chunk: int = 1_000_000, word: str | None = None,
                   strict: bool = False) -> DataFrame:
     """Cut (file, pos, line) rows into records: adds `rec`, the position where the line's record starts.
@@ -45,19 +66,18 @@ def segment_lines(lines: DataFrame, chunk: int = 1_000_000, word: str | None = N
     nothing = F.lit(None).cast("string")
     own = F.struct(F.col("pos").alias("pos"), F.lit(1).alias("kind"), F.col("line").alias("line"), nothing.alias("uri"))
     mark = F.struct(start.alias("pos"), F.lit(0).alias("kind"), nothing.alias("line"), F.col("line").alias("uri"))
-    # A URI line also puts a mark at its record's first line, where the window below meets it.
+    # A URI line also puts a mark at its record's first line, where the window below meets it. The lines are dealt out
+    # once, and both the window and the summaries of chunks read that exchange.
     marked = lines.select(
         "file", F.inline(F.when(is_uri, F.array(mark, own)).otherwise(F.array(own)))
-    ).withColumn("_chunk", whole_div(F.col("pos"), chunk))
+    ).withColumn("_chunk", whole_div(F.col("pos"), chunk)).filter("file is not null and _chunk is not null")
+    marked = marked.repartition("file", "_chunk")
 
     before = Window.partitionBy("file").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    # Starts come from URI lines alone; every chunk of a file needs a row.
-    latest = F.max(F.when(is_uri, F.struct(start.alias("pos"), F.col("line").alias("uri")))).alias("_last")
-    chunks = lines.select("file", whole_div(F.col("pos"), chunk).alias("_chunk")).distinct()
-    of_mark = lines.filter(is_uri).groupBy("file", whole_div(start, chunk).alias("_chunk")).agg(latest)
-    carried = chunks.join(of_mark, ["file", "_chunk"], "full").select(
-        "file", "_chunk", F.max("_last").over(before).alias("_carried")
-    )
+    latest = F.max(F.when(F.col("kind") == 0, F.struct("pos", "uri"))).alias("_last")
+    # Counting characters keeps all columns in the summaries' side, without which the exchange would be made anew.
+    chunks = marked.groupBy("file", "_chunk").agg(latest, F.sum(F.coalesce(F.length("line"), F.lit(0))).alias("_size"))
+    carried = chunks.filter("_size >= 0").select("file", "_chunk", F.max("_last").over(before).alias("_carried"))
     inside = (
         Window.partitionBy("file", "_chunk").orderBy("pos", "kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

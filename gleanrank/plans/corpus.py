@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gleanrank.functions.web import extract_number
 from gleanrank.operators.numbering import batch_of, number_rows
 from gleanrank.operators.records import record_fields
+from gleanrank.session import Scratch, materialize
 from gleanrank.sinks.tables import write_corpus
+from gleanrank.sources.tables import read_corpus
 
 
 def record_order(records: DataFrame) -> list[Column]:
@@ -19,16 +21,22 @@ def record_order(records: DataFrame) -> list[Column]:
     return [*files, F.col("block"), F.col("pos")]
 
 
-def number_documents(records: DataFrame, batch_size: int = 200,
-                     partitions: int | None = None) -> DataFrame:
-    """(id, url, title, text, batch): ids 1, 2, ... in record order, batch = a group of ids."""
-    place = ["file", "block", "pos"]
-    names = place + [n for n in ("wet_pos",) if n in records.columns]
-    # Only places are sorted and stored; bodies move once, to the number of their place.
-    places = records.select(*names)
-    numbers = number_rows(places, record_order(places), name="id", partitions=partitions).select(*place, "id")
-    numbered = record_fields(records.select(*place, "uri", "body")).join(numbers, place)
-    return numbered.select(
+def number_documents(records: DataFrame, batch_size: int = 200, partitions: int | None = None,
+                     scope: Scratch | None = None) -> DataFrame:
+    """(id, url, title, text, batch): ids 1, 2, ... in record order, batch = a group of ids.
+
+    A record's place follows how a scan happens to be split, and two scans may be split differently. So the records are
+    read once and stored with a key of their own, and numbers and bodies meet on that key; a record without a
+    number stops the job. The stored records are in `scope`, if it is given, otherwise they stay.
+    """
+    keep = scope.keep if scope else materialize
+    names = [n for n in ("wet_pos", "file", "block", "pos") if n in records.columns]
+    stored = keep(records.select(*names, "uri", "body").withColumn("_key", F.monotonically_increasing_id()), "records")
+    # Only places are sorted; bodies move once, to the number of their key.
+    numbers = number_rows(stored.select(*names, "_key"), record_order(stored), name="id", partitions=partitions, keep=keep)
+    numbered = record_fields(stored.select("_key", "uri", "body")).join(numbers.select("_key", "id"), "_key", "left")
+    lost = F.raise_error(F.lit("a stored record has no number")).cast("bigint")
+    return numbered.withColumn("id", F.coalesce("id", lost)).select(
         "id", "url", "title", "text", batch_of(F.col("id"), batch_size).alias("batch")
     )
 
@@ -36,11 +44,14 @@ def number_documents(records: DataFrame, batch_size: int = 200,
 def build_corpus(records: DataFrame, out: str | None = None, batch_size: int = 200,
                  format: str = "json", batch_folders: bool = False,
                  partitions: int | None = None) -> DataFrame:
-    """Turn records into documents and, given `out`, write them as a corpus.
+    """Turn records into documents and, given `out`, write them as a corpus and return that, read back.
 
     `batch_folders` writes a folder for each batch of ids: for small corpora, as each holds a file or more.
     """
-    docs = number_documents(records, batch_size, partitions)
-    if out is not None:
+    if out is None:
+        return number_documents(records, batch_size, partitions)
+    spark = records.sparkSession
+    with Scratch(spark, "corpus") as scope:
+        docs = number_documents(records, batch_size, partitions, scope)
         write_corpus(docs if batch_folders else docs.drop("batch"), out, format)
-    return docs
+    return read_corpus(spark, out, format).withColumn("batch", batch_of(F.col("id"), batch_size))

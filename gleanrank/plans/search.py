@@ -12,21 +12,21 @@ from gleanrank.operators.ranking import (
 )
 from gleanrank.sinks.tables import write_ranking
 from gleanrank.sources.tables import (
-    read_df, read_lengths, read_postings, read_ranking, read_stats, read_titles,
+    check_built, read_df, read_lengths, read_postings, read_ranking, read_stats, read_titles,
 )
 
 
 def index_scores(spark: SparkSession, index: str, query: str, model: str = "bm25") -> DataFrame:
     """(doc_id, score) of the documents that hold a term of the query."""
     check_model(model)
+    check_built(spark, index)
     wanted = query_terms(spark, query)
     names = [row["term"] for row in wanted.collect()]
-    in_query = F.col("term").isin(names)
     # The terms are literals here, so the parquet reader skips the row groups of all other terms.
-    df = read_df(spark, index).filter(in_query)
+    df = read_df(spark, index).filter(F.col("term").isin(names))
     stats = read_stats(spark, index) if model == "bm25" else None
     weights = query_weights(wanted, df, model, stats)
-    return score(read_postings(spark, index, model).filter(in_query), weights, model)
+    return score(read_postings(spark, index, model, names), weights, model)
 
 
 def search(spark: SparkSession, index: str, query: str, n: int, model: str = "bm25",

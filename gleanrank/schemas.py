@@ -7,7 +7,12 @@ CORPUS = "id bigint, url string, title string, text string"
 DOC_FREQ = "term string, df bigint"
 DOC_LENGTHS = "doc_id bigint, doc_len bigint"
 POSTINGS = "doc_id bigint, term string, tf bigint, doc_len bigint"
-TFDF_POSTINGS = POSTINGS + ", weight double"
 STATS = "n_docs bigint, avg_len double"
 HITS = "rank bigint, doc_id bigint, score double"
 RANKING = "doc_id bigint, score double"
+CAPTURE_INDEX = "pos bigint, " + CAPTURES + ", host_key string"
+
+
+def names(layout: str) -> list[str]:
+    """Column names of a layout."""
+    return [column.split()[0] for column in layout.split(", ")]

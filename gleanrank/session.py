@@ -77,9 +77,28 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder made by `new_scratch`."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"not a scratch folder: {path}")
+    drop_folder(spark, path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's handles of a folder and of its file system."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that our own writers made, if it is there."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def rename_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder its final name, which must be free; one step in file systems that rename folders so."""
+    folder, system = _folder(spark, path)
+    target, _ = _folder(spark, to)
+    if system.exists(target) or not system.rename(folder, target):
+        raise FileExistsError(f"cannot be renamed to {to}: {path}")
 
 
 class Scratch:

@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, functions as F
 
+from gleanrank import schemas
 from gleanrank.functions.web import VERSION_LINE
+from gleanrank.operators.captures import with_host_key
+from gleanrank.operators.numbering import number_rows
 
 # About 100 MB of sorted postings.
 ROWS_PER_FILE = 25_000_000
 
 
-def write_rejects(rejects: DataFrame, path: str) -> None:
-    """Append the captures whose status is not 200."""
-    rejects.write.mode("append").parquet(path)
+def write_rejects(rejects: DataFrame, path: str, run: str | None = None) -> None:
+    """Append the captures whose status is not 200; those of a named `run` replace what it wrote before."""
+    writer, path = _of_run(rejects, path, run)
+    writer.parquet(path)
 
 
-def write_extracts(records: DataFrame, path: str, format: str = "parquet") -> None:
+def _of_run(df: DataFrame, path: str, run: str | None) -> tuple[DataFrameWriter, str]:
+    """The writer that adds rows to `path`, or replaces those of a named run, and where it writes to."""
+    return (df.write.mode("append"), path) if run is None else (df.write.mode("overwrite"), f"{path}/run={run}")
+
+
+def write_extracts(records: DataFrame, path: str, format: str = "parquet", run: str | None = None) -> None:
     """Append domain records.
 
     Parquet keeps each record's place in its archive and its batch as columns. `text` writes the records out in
     full, in the form that `read_extracts` and other archive tools read: below one folder per batch, whose
     number and whose files' names keep the order.
+
+    With `run`, the records are those of a run of that name, in a folder of its own: writing it again replaces it and
+    leaves other runs alone. Without it, each call adds its records. A folder takes records of either kind.
     """
     if format == "text":
         whole = F.concat(
@@ -28,9 +40,24 @@ def write_extracts(records: DataFrame, path: str, format: str = "parquet") -> No
         )
         order = ["batch", *(n for n in ("wet_pos",) if n in records.columns), "file", "block", "pos"]
         ordered = records.repartitionByRange(*order).sortWithinPartitions(*order)
-        ordered.select("batch", whole.alias("value")).write.mode("append").partitionBy("batch").text(path)
+        writer, path = _of_run(ordered.select("batch", whole.alias("value")), path, run)
+        writer.partitionBy("batch").text(path)
     else:
-        records.write.mode("append").format(format).save(path)
+        writer, path = _of_run(records, path, run)
+        writer.format(format).save(path)
+
+
+def write_capture_index(captures: DataFrame, path: str) -> None:
+    """Captures sorted by crawl and host, so that those of a domain are a range of rows; refuses an existing path.
+
+    Hosts that hold most captures spread over files, as the URL is part of the order.
+    """
+    order = ["crawl", "host_key", "url"]
+    keyed = with_host_key(captures)
+    if "pos" not in keyed.columns:
+        keyed = number_rows(keyed, ["crawl", "url", "filename"], name="pos", start=0)
+    ordered = keyed.select(*schemas.names(schemas.CAPTURE_INDEX)).repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode("errorifexists").parquet(path)
 
 
 def write_corpus(docs: DataFrame, path: str, format: str = "json") -> None:
@@ -64,10 +91,7 @@ def write_df(df: DataFrame, index: str, rows: int) -> None:
 
 def write_postings(postings: DataFrame, index: str, rows: int) -> None:
     """Postings sorted by term, then document: a query reads the row groups of its terms only."""
-    columns = ["doc_id", "term", "tf", "doc_len"]
-    if "weight" in postings.columns:
-        columns.append("weight")
-    write_sorted(postings.select(*columns), f"{index}/postings", ["term", "doc_id"], rows)
+    write_sorted(postings.select("doc_id", "term", "tf", "doc_len"), f"{index}/postings", ["term", "doc_id"], rows)
 
 
 def write_lengths(lengths: DataFrame, index: str, rows: int) -> None:

@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gleanrank import schemas
+from gleanrank.functions.scoring import tfdf_weight
+from gleanrank.operators.terms import with_tfdf_weight
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -23,6 +25,11 @@ def read_captures(spark: SparkSession, path: str, format: str = "parquet") -> Da
     return spark.read.schema(schemas.CAPTURES).format(format).load(path)
 
 
+def read_capture_index(spark: SparkSession, path: str) -> DataFrame:
+    """Captures written by `write_capture_index`: (pos, crawl, url, status, filename, host_key)."""
+    return spark.read.schema(schemas.CAPTURE_INDEX).parquet(path)
+
+
 def read_corpus(spark: SparkSession, path: str, format: str = "json", multi_line: bool = False,
                 mode: str = "FAILFAST") -> DataFrame:
     """Documents (id, url, title, text) in every file below `path`.
@@ -43,10 +50,26 @@ def read_df(spark: SparkSession, index: str) -> DataFrame:
     return spark.read.schema(schemas.DOC_FREQ).parquet(f"{index}/df")
 
 
-def read_postings(spark: SparkSession, index: str, model: str) -> DataFrame:
-    """Postings of an index: (doc_id, term, tf, doc_len), and weight for TF/DF."""
-    layout = schemas.TFDF_POSTINGS if model == "tfdf" else schemas.POSTINGS
-    return spark.read.schema(layout).parquet(f"{index}/postings")
+def check_built(spark: SparkSession, index: str) -> None:
+    """Refuse a folder that is not a finished index, as a missing table."""
+    spark.read.schema("model string").parquet(f"{index}/built")
+
+
+def read_postings(spark: SparkSession, index: str, model: str, terms: list[str] | None = None) -> DataFrame:
+    """Postings of an index: (doc_id, term, tf, doc_len), and weight = tf / df for TF/DF.
+
+    The weight is made from the index's document frequencies on reading. With `terms`, only their postings and
+    frequencies are read; they are as many as the query's words, and the frequencies are sent to every task.
+    """
+    postings = spark.read.schema(schemas.POSTINGS).parquet(f"{index}/postings")
+    df = read_df(spark, index)
+    if terms is not None:
+        postings, df = (t.filter(F.col("term").isin(terms)) for t in (postings, df))
+    if model != "tfdf":
+        return postings
+    if terms is None:
+        return with_tfdf_weight(postings, df)
+    return postings.join(F.broadcast(df), "term").withColumn("weight", tfdf_weight(F.col("tf"), F.col("df"))).drop("df")
 
 
 def read_lengths(spark: SparkSession, index: str) -> DataFrame:

@@ -88,12 +88,17 @@ def record_lines(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame) -> str:
-    """Write the pages as archive files below a scratch folder, every second one with LF, and return that folder."""
+    """Write the pages as archive files below a scratch folder, and return that folder.
+
+    Every second archive has LF, every third one is of version 1.1, and all begin with a record about themselves.
+    """
     root = new_scratch(pages.sparkSession, "archives")
-    crlf, lf = (F.concat(F.lit("WARC/1.0" + end), record_text(end)) for end in ("\r\n", "\n"))
+    archive = whole_div(F.col("page_id"), 10)
+    version = F.when(archive % 3 == 0, "WARC/1.1").otherwise("WARC/1.0")
+    crlf, lf = (F.concat(version, F.lit(end), record_text(end)) for end in ("\r\n", "\n"))
+    about = F.concat(version, F.lit("\nWARC-Type: warcinfo\nContent-Length: 11\n\nformat: wet\n\n"))
     rows = pages.select(
-        archive_path("wet").alias("path"), "page_id",
-        F.when(whole_div(F.col("page_id"), 10) % 2 == 0, crlf).otherwise(lf).alias("value"),
+        archive_path("wet").alias("path"), "page_id", about.alias("about"), F.when(archive % 2 == 0, crlf).otherwise(lf).alias("value"),
     )
 
     def write(table):
@@ -103,7 +108,8 @@ def write_archives(pages: DataFrame) -> str:
         from pyarrow import fs
 
         path = table.column("path")[0].as_py()
-        data = "".join(table.sort_by("page_id").column("value").to_pylist()).encode()
+        rows = table.sort_by("page_id").to_pydict()
+        data = "".join([rows["about"][0], *rows["value"]]).encode()
         store, base = fs.FileSystem.from_uri(root)
         store.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
         with store.open_output_stream(f"{base}/{path}", compression=None) as out:

@@ -166,6 +166,12 @@ ORACLE: dict[str, str] = {
     "corpus_roundtrip":
         "SELECT page_id AS id, url, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, "
         "html AS text FROM pages",
+    "corpus_arrays":
+        "SELECT page_id AS id, url, trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, "
+        "html AS text FROM pages",
+    "search_sizes":
+        f"{BM25} SELECT n::INT AS n, zeros, least(n, count(*) FILTER (zeros OR score > 0))::BIGINT AS hits "
+        "FROM scores, (SELECT unnest([0, 1, 1000]) AS n), (SELECT unnest([true, false]) AS zeros) GROUP BY n, zeros",
     "extract_roundtrip": f"{CRAWL} SELECT url, title, text FROM fields",
     "extract_order": f"{CRAWL} SELECT row_number() OVER (ORDER BY page_id) AS id, url, title FROM fields",
     "domain_corpus":

@@ -16,9 +16,9 @@ from gleanrank.plans.extract import extract_domain
 from gleanrank.plans.index import build_index
 from gleanrank.plans.search import document_scores, index_scores, search, search_documents
 from gleanrank.session import materialize, new_scratch
-from gleanrank.sinks.tables import write_corpus, write_extracts, write_ranking, write_rejects
+from gleanrank.sinks.tables import write_capture_index, write_corpus, write_extracts, write_ranking, write_rejects
 from gleanrank.sources.records import read_extract_table, read_extracts, read_wet
-from gleanrank.sources.tables import read_corpus, read_df, read_postings, read_ranking, read_stats
+from gleanrank.sources.tables import read_capture_index, read_corpus, read_df, read_postings, read_ranking, read_stats
 from gleanrank.workload import inputs
 from gleanrank.workload.inputs import CRAWLS, DOMAIN, table
 
@@ -127,9 +127,13 @@ def doc_vectors_tfdf(spark, sf_dir):
 # --- query weights, scores, ranking --------------------------------------------------------------
 
 def bm25_idf_table(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    tf, lengths = _postings(docs)
-    df, stats = terms.doc_freq(tf), terms.corpus_stats(lengths)
+    # One stored pass over the texts; frequencies and statistics need no counts of terms.
+    tokens = terms.with_tokens(documents(spark, sf_dir))
+    rows = materialize(tokens.select(
+        "doc_id", F.size("tokens").cast("bigint").alias("doc_len"), F.array_distinct("tokens").alias("terms")
+    ), "terms")
+    pairs = rows.select("doc_id", F.explode("terms").alias("term")).distinct()
+    df, stats = terms.doc_freq(pairs), terms.corpus_stats(terms.merge_lengths(rows.select("doc_id", "doc_len")))
     return df.crossJoin(F.broadcast(stats)).select(
         "term", "df", F.round(bm25_idf(F.col("n_docs"), F.col("df")), 6).alias("idf")
     )
@@ -245,7 +249,9 @@ def _captures(spark, sf_dir):
 
 
 def captures_by_domain(spark, sf_dir):
-    return cap.index_captures(_captures(spark, sf_dir), DOMAIN, CRAWLS)
+    path = new_scratch(spark, "captures")
+    write_capture_index(_captures(spark, sf_dir), path)
+    return cap.index_captures(read_capture_index(spark, path), DOMAIN, CRAWLS)
 
 
 def captures_per_crawl(spark, sf_dir):
@@ -302,6 +308,27 @@ def corpus_roundtrip(spark, sf_dir):
     return read_corpus(spark, path)
 
 
+def corpus_arrays(spark, sf_dir):
+    """Documents of JSON files that each hold one array."""
+    path = new_scratch(spark, "corpus-arrays")
+    docs = page_corpus(spark, sf_dir).withColumn("batch", batch_of(F.col("id"), 200, start=0))
+    entry = F.struct(F.col("id").cast("string").alias("id"), "url", "title", "text")
+    arrays = docs.groupBy("batch").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    arrays.write.partitionBy("batch").text(path)
+    return read_corpus(spark, path, multi_line=True).select("id", "url", "title", "text")
+
+
+def search_sizes(spark, sf_dir):
+    """Number of hits for the least and the largest lists that can be asked for, with and without documents of score 0."""
+    docs, rows = documents(spark, sf_dir), None
+    for n in (0, 1, 1000):
+        for zeros in (True, False):
+            hits = search_documents(docs, QUERY, n, "bm25", include_zero=zeros)
+            told = hits.agg(F.lit(n).alias("n"), F.lit(zeros).alias("zeros"), F.count(F.lit(1)).alias("hits"))
+            rows = told if rows is None else rows.union(told)
+    return rows
+
+
 def extract_roundtrip(spark, sf_dir):
     path = new_scratch(spark, "extracts")
     found = rec.parse_records(inputs.records(table(spark, sf_dir, "pages")))
@@ -346,6 +373,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         index_scores_tfdf, index_roundtrip_search, index_roundtrip_tfdf, captures_by_domain,
         captures_per_crawl, rejected_captures, wet_locations, wet_scan, domain_records,
         domain_records_strict, record_fields, sequential_ids, corpus_roundtrip, extract_roundtrip,
-        domain_corpus, extract_order, index_titles,
+        domain_corpus, extract_order, index_titles, corpus_arrays, search_sizes,
     )
 } | {"bm25_idf": bm25_idf_table}

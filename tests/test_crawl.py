@@ -1,5 +1,6 @@
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from gleanrank.functions.web import ARCHIVE_HOST, extract_number, host, in_domai
 from gleanrank.operators.captures import index_captures, rejected_captures
 from gleanrank.operators.records import filter_domain, record_fields
 from gleanrank.sources.records import read_extract_table, read_extracts, read_wet
-from gleanrank.sources.tables import read_captures, read_corpus
+from gleanrank.session import scratch_root
+from gleanrank.sinks.tables import write_capture_index
+from gleanrank.sources.tables import read_capture_index, read_captures, read_corpus
 
 WARCINFO = "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Date: 2022-10-01T00:00:00Z\r\n\r\nSoftware-Info: x\r\n\r\n\r\n"
 
@@ -194,7 +197,7 @@ def test_from_archives_to_search(spark, tmp_path, format):
     out, rejects = str(tmp_path / "extracts"), str(tmp_path / "rejects")
     extract_domain(spark, captures, str(tmp_path / "data"), "example.com", out, ["2022-40", "2022-33"],
                    rejects=rejects, batch_size=2, format=format)
-    assert [tuple(r) for r in spark.read.parquet(rejects).collect()] == [
+    assert [tuple(r) for r in spark.read.parquet(rejects).select("pos", "status", "filename").collect()] == [
         (0, "404", "crawl-data/c/segments/0/warc/f0.warc.gz")]
     records = read_extract_table(spark, out) if format == "parquet" else read_extracts(spark, out)
     assert records.count() == 6
@@ -227,3 +230,110 @@ def test_extract_only_ok_and_strict(spark, tmp_path):
     assert [r.uri for r in read_extract_table(spark, out).collect()] == ["https://example.com/"]
     none = str(tmp_path / "none")
     extract_domain(spark, captures, str(tmp_path / "data"), "nowhere.org", none)
+
+
+def extract_folder(folder, files=12, records=300):
+    for number in range(files):
+        text = "".join(record(f"http://h/{number}/{k}", f"t{number}-{k}\n" + "word " * (k % 40)) for k in range(records))
+        (folder / f"CC-Multi{number}.txt").write_text(text.replace("\r\n", "\n"))
+
+
+@pytest.mark.parametrize("splits", [("4", "128m"), ("40", "128m"), ("4", "20000")])
+def test_ids_do_not_depend_on_splits(spark, tmp_path, splits):
+    """Numbering and reading under different split settings: every record once, with the same ids."""
+    extract_folder(tmp_path)
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes")
+    old = [spark.conf.get(n, None) for n in names]
+
+    def split(*values):
+        for name, value in zip(names, values):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+    try:
+        split(*splits)
+        records = read_extracts(spark, str(tmp_path))
+        docs = build_corpus(records)
+        # What reads the result may be split in another way.
+        split("40" if splits[0] == "4" else "4", "1m")
+        rows = docs.orderBy("id").collect()
+    finally:
+        split(*old)
+    assert [r.id for r in rows] == list(range(1, 3601))
+    assert [r.url for r in rows] == [f"http://h/{n}/{k}" for n in range(12) for k in range(300)]
+    assert all(r.text == " ".join([r.title] + ["word"] * (int(r.url.rpartition("/")[2]) % 40) + [""] * (r.text[-1] == " ")) for r in rows)
+
+
+def test_corpus_build_drops_its_scratch_tables(spark, tmp_path):
+    extract_folder(tmp_path, 2, 5)
+    before = set(Path(scratch_root(spark)).glob("*"))
+    docs = build_corpus(read_extracts(spark, str(tmp_path)), str(tmp_path / "corpus"))
+    assert docs.count() == 10 and docs.columns == ["id", "url", "title", "text", "batch"]
+    assert set(Path(scratch_root(spark)).glob("*")) <= before
+
+
+@pytest.mark.parametrize("kind", ["plain", "gzip"])
+def test_any_version_in_one_read(spark, tmp_path, kind):
+    for number, (version, end) in enumerate([("1.0", "\n"), ("1.1", "\r\n"), ("1.1", "\n"), ("0.18", "\r\n")]):
+        text = WARCINFO + "".join(record(f"http://a/{number}/{k}", f"t{k}\n\nlast") for k in range(5))
+        data = text.replace("\r\n", end).replace("WARC/1.0", f"WARC/{version}").encode()
+        name = f"{number}.warc.wet" + (".gz" if kind == "gzip" else "")
+        (tmp_path / name).write_bytes(gzip.compress(data) if kind == "gzip" else data)
+    rows = read_wet(spark, str(tmp_path)).collect()
+    assert sorted((r.uri, r.body) for r in rows) == [(f"http://a/{n}/{k}", "t%d\n\nlast" % k) for n in range(4) for k in range(5)]
+    assert all(r.header.startswith("WARC-Type: conversion") for r in rows)
+
+
+@pytest.mark.parametrize("word", [None, "a.org"])
+def test_lines_that_begin_with_the_version_token(spark, tmp_path, word):
+    """A body that looks like a record's start at a line, once and several times in a row, stays whole."""
+    bodies = ["t\nWARC/1.0 is a format\nend", "u\nWARC/ x\n\nWARC/1.1 y\nWARC/\nlast", "WARC/9", "plain", "v\nWARC/1.0"]
+    data = WARCINFO + "".join(record(f"http://{'a' if k % 2 == 0 or k == 1 else 'b'}.org/{k}", b) for k, b in enumerate(bodies))
+    (tmp_path / "a.warc.wet.gz").write_bytes(gzip.compress(data.encode()))
+    rows = read_wet(spark, str(tmp_path), word).orderBy("pos").collect()
+    assert [r.body for r in rows] == [b for k, b in enumerate(bodies) if word is None or k != 3]
+    assert len(read_wet(spark, str(tmp_path), rejoin=False).collect()) == len(bodies)
+
+
+def test_file_without_a_record(spark, tmp_path):
+    (tmp_path / "a.warc.wet").write_text("no archive\nat all\n")
+    (tmp_path / "b.warc.wet").write_text(record("http://a/", "x"), newline="")
+    with pytest.raises(ValueError, match="a.warc.wet"):
+        read_wet(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("format", ["parquet", "text"])
+def test_same_extract_twice(spark, tmp_path, format):
+    wet = tmp_path / "data" / "a" / "b" / "c" / "d" / "wet"
+    wet.mkdir(parents=True)
+    (wet / "f.warc.wet.gz").write_bytes(gzip.compress(
+        (record("https://example.com/", "A") + record("https://x.net/", "B")).encode()))
+    captures = spark.createDataFrame(
+        [("1", u, "404", "a/b/c/d/warc/f.warc.gz") for u in ("https://example.com/", "https://x.net/")],
+        "crawl string, url string, status string, filename string")
+    out, rejects = str(tmp_path / "out"), str(tmp_path / "rejects")
+    for domain in ("example.com", "x.net", "example.com"):
+        extract_domain(spark, captures, str(tmp_path / "data"), domain, out, rejects=rejects, format=format)
+    rows = (read_extract_table(spark, out) if format == "parquet" else read_extracts(spark, out)).collect()
+    assert sorted((r.uri, r.body) for r in rows) == [("https://example.com/", "A"), ("https://x.net/", "B")]
+    assert spark.read.parquet(rejects).count() == 2
+
+
+def test_capture_index(spark, tmp_path):
+    """A domain is a range of keys that the reader gets; the same captures as by testing URLs."""
+    urls = ["http://example.com/", "https://a.b.EXAMPLE.com:80/x", "http://example.com.org/", "http://notexample.com/", "http://example.co/",
+            "http://u@www.example.com?x", "http://com/", "no url", None, "http://example-com/", "http://example.com-x/"]
+    rows = [(i, str(i % 2), u, "200", f"f{i}") for i, u in enumerate(urls * 3)]
+    captures = spark.createDataFrame(rows, "pos bigint, crawl string, url string, status string, filename string")
+    path = str(tmp_path / "index")
+    write_capture_index(captures, path)
+    hits = index_captures(read_capture_index(spark, path), "example.com", ["0", "1"])
+    assert hits.columns == captures.columns
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, index_captures(captures, "example.com").collect()))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = index_captures(read_capture_index(spark, path), "example.com")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(host_key,com.example.)" in plan and "LessThan(host_key,com.example/)" in plan
+    with pytest.raises(Exception):
+        write_capture_index(captures, path)
+    write_capture_index(captures.drop("pos"), str(tmp_path / "numbered"))
+    assert sorted(r.pos for r in read_capture_index(spark, str(tmp_path / "numbered")).collect()) == list(range(len(rows)))

@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gleanrank.operators.captures import index_captures
@@ -142,3 +143,54 @@ def test_index_build_drops_its_scratch_tables(spark, docs, tmp_path):
     before = set(Path(scratch_root(spark)).glob("*"))
     build_index(docs, str(tmp_path / "index"), "tfdf")
     assert set(Path(scratch_root(spark)).glob("*")) <= before
+
+
+def test_lines_are_read_and_dealt_out_once(spark, tmp_path):
+    rows = [(f, p, f"WARC-Target-URI: http://h{p}/" if p % 7 == 2 else f"line {p}") for f in "xy" for p in range(200)]
+    spark.createDataFrame(rows, "file string, pos bigint, line string").write.parquet(str(tmp_path / "lines"))
+    segments = segment_lines(spark.read.parquet(str(tmp_path / "lines")), chunk=20)
+    assert segments.count() == 2 * 200
+    segments.collect()
+    final = segments._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_index_build_moves_postings_once(spark, docs, tmp_path, monkeypatch):
+    """No join on the way to the sorted layout, under either model."""
+    plans = []
+    monkeypatch.setattr("gleanrank.sinks.tables.write_sorted", lambda df, path, *rest: plans.append((path, df)))
+    from gleanrank.operators.terms import row_postings
+    from gleanrank.sinks.tables import write_postings
+
+    row_postings(docs).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows")).filter("term is not null")
+    write_postings(rows, str(tmp_path / "index"), 10)
+    (_, written), = plans
+    assert "Exchange" not in written._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("model", ["tfdf", "bm25"])
+def test_stopped_build_leaves_no_index(spark, docs, tmp_path, monkeypatch, model):
+    import gleanrank.plans.index as plan
+
+    path = str(tmp_path / "index")
+    write = plan.write_postings
+    monkeypatch.setattr(plan, "write_postings", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError, match="stopped"):
+        build_index(docs, path, model)
+    assert not list(tmp_path.glob("*"))
+    with pytest.raises(AnalysisException):
+        search(spark, path, "red", 3, model)
+    monkeypatch.setattr(plan, "write_postings", write)
+    build_index(docs, path, model)
+    assert search(spark, path, "red", 3, model).count() == 3
+    with pytest.raises(FileExistsError):
+        build_index(docs, path, model)
+
+
+def test_unfinished_index_is_not_searched(spark, docs, tmp_path):
+    path = tmp_path / "index"
+    build_index(docs, str(path), "tfdf")
+    (path / "built").rename(tmp_path / "elsewhere")
+    with pytest.raises(AnalysisException):
+        search(spark, str(path), "red", 3, "tfdf")
