@@ -4,27 +4,36 @@ Benchmark items are cut into passages of at most `PASSAGE` words. TF-IDF passage
 document frequencies counted over all documents) are reduced by a distributed randomised SVD: each product of
 the passage matrix with a thin matrix is a Spark job over passage rows, whose partial sums meet by blocks of words;
 the driver only factorises thin matrices. Each document is read as windows of two steps of `PASSAGE` words, so any
-passage lies within one window. A window and a passage are compared if the window holds enough of the passage's
-words, counted on its rarest ones: whatever keeps `paraphrase` of a passage in order passes that test. What passes
-is folded into the latent space and compared by cosine, and verified on its words: by the longest common subsequence
-with the passage, and, for paraphrases that keep less of it, by the passage's answer. The cosine opens the whole
-window to the comparison; without it, as for short passages in running text or where the rank is too small for
-the block, the words must stand in a part of the window of twice the passage's length.
-
-Items are taken in blocks of `block_items`; the words, the reduced matrix and the passages of one block are what
-every task holds, and their number is bounded by the block.
+passage lies within one window. Windows are folded into the latent space, and a cosine search over all passages
+proposes those of which a window may hold half the weight. What a rank too small for its block may lose of nearly
+verbatim passages is completed by exact counts of a passage's rarest words: no passage that is kept in order escapes them.
+
+Proposals are verified on the words of stretches of at most twice the passage's length:
+
+* kept: at least `subsequence` of the passage's words stand there in order. They must be telling: either a run of `run`
+  words (or the whole passage) stands there word by word, or the words shared carry `kept_information`, the sum of
+  log(documents / documents with the word).
+* paraphrased: at least `paraphrase` of the words in order and of the passage's information, which is `information` at least;
+  the stretch's own cosine with the passage reaches `cosine`; and the passage's answer stands in the same stretch.
+
+So a passage of common words alone counts if it is there word by word, and not because its words are everywhere.
+
+Passages are taken in blocks of `block_passages`, of whatever items. The words, the reduced matrix and the passages of one block
+are what a task holds, and the driver at a time; they travel as a broadcast, whose size the block bounds.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gleanrank.llm.words import batches, bound_batches
@@ -37,11 +46,14 @@ _BLOCKS = 16  # of words, in the sums of partial products
 
 @dataclass(frozen=True)
 class Rules:
-    """When a window that resembles a passage counts as a leak. Shares are of the passage's words."""
-
-    cosine: float = 0.4  # of the cosine that the passage itself reaches in the latent space
-    subsequence: float = 0.75  # kept in order: a leak by itself
-    paraphrase: float = 0.5  # kept in order: a leak if the answer is there as well
+    """When a stretch that resembles a passage counts as a leak. Shares are of the passage's words."""
+
+    subsequence: float = 0.75  # kept in order: a leak, if the words are telling
+    run: int = 8  # words in a row that are telling
+    kept_information: float = 12.0  # of the shared words, in nats, that is telling
+    paraphrase: float = 0.5  # kept in order, and of the information, with the answer
+    information: float = 20.0  # of the shared words of a paraphrase, in nats
+    cosine: float = 0.4  # of a paraphrase's stretch with the passage
     answer: float = 0.75  # of the answer's words, in order
     shortest: int = 6  # passages of fewer words must be there word by word
 
@@ -67,13 +79,14 @@ def common_subsequence(one: list, other: list) -> int:
 
 @dataclass
 class Index:
-    """The passages of one block of items, in the latent space."""
+    """The passages of one block, in the latent space."""
 
     places: dict[str, int]  # words of the passages
     idf: np.ndarray
-    basis: np.ndarray  # words x rank
+    information: np.ndarray  # log(documents / documents with the word)
+    basis: np.ndarray  # words x rank, times idf
     latent: np.ndarray  # passages x rank, for passages of length 1
-    reach: np.ndarray  # squared length of a passage in the latent space: its cosine with itself
+    gate: np.ndarray  # of the product of a window and a passage, from which the pair is proposed
     items: list[int | None]
     passages: list[list[str]]
     answers: list[list[str]]
@@ -96,72 +109,100 @@ class Index:
         step = known // PASSAGE
         place = place[known]
         best: dict = {}
-        for w, p, cosine in self._candidates(step, place, steps):
-            window = words[w * PASSAGE : (w + 2) * PASSAGE]
-            found = self._verify(window, p, cosine >= self.rules.cosine * self.reach[p])
+        for w, p in self._candidates(step, place, steps):
+            found = self._verify(words[w * PASSAGE : (w + 2) * PASSAGE], p)
             if found:
-                item, row = self.items[p], (w * PASSAGE, self.items[p], cosine, *found)
+                share, cosine, answer = found
+                item, row = self.items[p], (w * PASSAGE, self.items[p], cosine, share, answer)
                 if item not in best or (row[3], row[2]) > (best[item][3], best[item][2]):
                     best[item] = row
         return list(best.values())
 
-    def _candidates(self, step: np.ndarray, place: np.ndarray, steps: int) -> Iterator[tuple[int, int, float]]:
-        """(window, passage, cosine) of the pairs that share enough words."""
-        windows, words = max(1, steps - 1), len(self.idf)
+    def _candidates(self, step: np.ndarray, place: np.ndarray, steps: int) -> Iterator[tuple[int, int]]:
+        """(window, passage) of the pairs that the cosine search proposes, and of those that share enough rare words."""
+        windows = max(1, steps - 1)
+        # A bounded number of windows at once, also of products and counters.
+        stride = max(1, min(512, (1 << 22) // len(self.passages)))
+        for start in range(0, windows, stride):
+            n = min(stride, windows - start)
+            at = slice(*np.searchsorted(step, [start, start + n + 1]))
+            own, words = step[at] - start, place[at]
+            if len(own) == 0:
+                continue
+            held, first = np.unique(own, return_index=True)
+            sums = np.zeros((n + 1, self.basis.shape[1]), np.float32)
+            sums[held] = np.add.reduceat(self.basis[words], first, axis=0)
+            proposed = (sums[:-1] + sums[1:]) @ self.latent.T >= self.gate
+            proposed |= self._counted(own, words, n)
+            yield from ((start + w, p) for w, p in np.argwhere(proposed).tolist())
+
+    def _counted(self, step: np.ndarray, place: np.ndarray, windows: int) -> np.ndarray:
+        """windows x passages: whether the window holds enough of the passage's rarest words, counted exactly."""
+        words = len(self.idf)
         # Each word stands in the window that starts at its step and in the one before.
-        at = np.concatenate([step, step - 1]) if steps > 1 else step
-        of = np.concatenate([place, place]) if steps > 1 else place
+        at, of = np.concatenate([step, step - 1]), np.concatenate([place, place])
         ok = (at >= 0) & (at < windows)
         key, count = np.unique(at[ok] * words + of[ok], return_counts=True)
         window, word = key // words, key % words
         many = self.first[word + 1] - self.first[word]
-        # A bounded number of windows, and so of counters, at once.
-        stride = max(1, (1 << 22) // len(self.passages))
-        for start in range(0, windows, stride):
-            part = slice(*np.searchsorted(window, [start, start + stride]))
-            n = many[part]
-            if not n.sum():
-                continue
-            entry = np.arange(n.sum()) + np.repeat(self.first[word[part]] - np.r_[0, np.cumsum(n)[:-1]], n)
-            pair = np.repeat(window[part] - start, n) * len(self.passages) + self.holders[entry]
-            held = np.bincount(
-                pair, np.minimum(np.repeat(count[part], n), self.times[entry]),
-                minlength=min(stride, windows - start) * len(self.passages),
-            ).reshape(-1, len(self.passages))
-            last = -1
-            for w, p in np.argwhere(held >= self.wanted).tolist():
-                if w != last:
-                    last, (a, b) = w, np.searchsorted(window, [start + w, start + w + 1])
-                    length = np.sqrt(((count[a:b] * self.idf[word[a:b]]) ** 2).sum())
-                    folded = (count[a:b] @ self.basis[word[a:b]]) / max(length, 1e-9)
-                yield start + w, p, float(folded @ self.latent[p])
-
-    def _verify(self, window: list[str], p: int, near: bool) -> tuple[float, bool] | None:
-        """(share, answer found) of a leak; in all of the window if it is `near` the passage, or in a part that fits."""
-        passage, answer = self.passages[p], self.answers[p]
-        if len(passage) < self.rules.shortest:
+        entry = np.arange(many.sum()) + np.repeat(self.first[word] - np.r_[0, np.cumsum(many)[:-1]], many)
+        pair = np.repeat(window, many) * len(self.passages) + self.holders[entry]
+        held = np.bincount(pair, np.minimum(np.repeat(count, many), self.times[entry]), minlength=windows * len(self.passages))
+        return held.reshape(windows, -1) >= self.wanted
+
+    def _cosine(self, part: list[str], p: int) -> float:
+        """Of a stretch with a passage, in the latent space; words that no passage has weigh as much as the others' mean."""
+        counts = Counter(self.places.get(w, -1) for w in part)
+        strange = counts.pop(-1, 0)
+        if not counts:
+            return 0.0
+        at, n = np.array(list(counts)), np.array(list(counts.values()))
+        length = np.sqrt(((n * self.idf[at]) ** 2).sum() + strange * self.idf.mean() ** 2)
+        reach = np.sqrt((self.latent[p] ** 2).sum())
+        return float((n @ self.basis[at]) @ self.latent[p] / max(length * reach, 1e-9))
+
+    def _told(self, words: Counter) -> float:
+        return sum(n * self.information[self.places[w]] for w, n in words.items() if w in self.places)
+
+    def _verify(self, window: list[str], p: int) -> tuple[float, float, bool] | None:
+        """(share, cosine, answer found) of the best stretch of a window that leaks the passage."""
+        passage, answer, rules = self.passages[p], self.answers[p], self.rules
+        if len(passage) < rules.shortest:
             text, sought = " ".join(["", *window, ""]), " ".join(["", *passage, ""])
-            return (1.0, True) if sought in text else None
-        share = common_subsequence(passage, window) / len(passage)
-        if share < self.rules.paraphrase:
+            return (1.0, self._cosine(passage, p), True) if sought in text else None
+        least = rules.paraphrase * len(passage)
+        if common_subsequence(passage, window) < least:
             return None
         width = 2 * len(passage)
-        if near or width >= len(window):
+        if width >= len(window):
             parts = [window]
         else:
             # Steps of half a passage, and the end.
             starts = [*range(0, len(window) - width, max(1, len(passage) // 2)), len(window) - width]
             parts = [window[i : i + width] for i in starts]
-        found = []
+        whole, found = Counter(passage), []
         for part in parts:
-            share = common_subsequence(passage, part) / len(passage)
-            if share >= self.rules.paraphrase:
-                has_answer = bool(answer) and common_subsequence(answer, window) >= self.rules.answer * len(answer)
-                if share >= self.rules.subsequence or has_answer:
-                    found.append((share, has_answer))
+            kept = common_subsequence(passage, part)
+            if kept < least:
+                continue
+            share, shared = kept / len(passage), self._told(whole & Counter(part))
+            has_answer = bool(answer) and common_subsequence(answer, part) >= rules.answer * len(answer)
+            if share >= rules.subsequence:
+                telling = shared >= rules.kept_information or _has_run(passage, part, min(len(passage), rules.run))
+            else:
+                telling = has_answer and shared >= max(rules.information, rules.paraphrase * self._told(whole))
+                telling = telling and self._cosine(part, p) >= rules.cosine
+            if telling:
+                found.append((share, self._cosine(part, p), has_answer))
         return max(found, default=None)
 
 
+def _has_run(passage: list[str], part: list[str], length: int) -> bool:
+    """Whether `length` words of the passage stand in the part in a row."""
+    text = " ".join(["", *part, ""])
+    return any(" ".join(["", *passage[i : i + length], ""]) in text for i in range(len(passage) - length + 1))
+
+
 def _cut(words: list[str]) -> list[list[str]]:
     """Passages of at most PASSAGE words; a last piece of less than half is part of the piece before it, shifted."""
     if len(words) <= PASSAGE:
@@ -244,7 +285,7 @@ def _rarest(passages: list[list[str]], places: dict[str, int], idf: np.ndarray,
     entries, wanted = [], []
     for p, passage in enumerate(passages):
         n = len(passage)
-        m = n if n < rules.shortest else min(n, max(1, int(np.ceil(rules.paraphrase * n - 1e-9))))
+        m = n if n < rules.shortest else min(n, max(1, int(np.ceil(rules.subsequence * n - 1e-9))))
         k = (m + 1) // 2
         rare = sorted((places[w] for w in passage), key=lambda w: (-idf[w], w))[: n - m + k]
         entries += [(w, p, c) for w, c in Counter(rare).items()]
@@ -253,35 +294,38 @@ def _rarest(passages: list[list[str]], places: dict[str, int], idf: np.ndarray,
     return np.searchsorted(word, np.arange(len(idf) + 1)), holders, times, np.array(wanted)
 
 
-def build_index(spark: SparkSession, docs: DataFrame, items: list[tuple], rules: Rules = Rules(), rank: int = RANK) -> Index:
-    """An index of `items`, (item_id, text, answer or None); document frequencies from `docs` (one text column)."""
-    ids, passages, answers = [], [], []
+def passages_of(items: Iterator[tuple]) -> Iterator[tuple[int | None, list[str], list[str]]]:
+    """(item_id, passage, answer) for items (item_id, text, answer or None), those without words left out."""
     for item, text, answer in items:
-        words = words_of(text)
-        if not words:
-            continue
-        told = words_of(answer)
-        for passage in _cut(words):
-            ids.append(item)
-            passages.append(passage)
+        words, told = words_of(text), words_of(answer)
+        for passage in _cut(words) if words else ():
             # Without an answer column the end of the passage stands for it.
-            answers.append(told or passage[-max(4, len(passage) // 4) :])
+            yield item, passage, told or passage[-max(4, len(passage) // 4) :]
+
+
+def build_index(spark: SparkSession, docs: DataFrame, block: list[tuple], rules: Rules = Rules(), rank: int = RANK) -> Index:
+    """An index of (item_id, passage, answer) rows, one at least; document frequencies from `docs` (one text column)."""
+    ids, passages, answers = (list(x) for x in zip(*block))
     places = {w: i for i, w in enumerate(sorted({w for p in passages for w in p}))}
-    if not passages:
-        empty = np.zeros((0, 1))
-        return Index(places, np.zeros(0), empty, empty, np.zeros(0), [], [], [], rules, *[np.zeros(0, np.int64)] * 4)
     n, total = _document_frequencies(docs, places)
-    idf = np.log((1 + total) / (1 + n)) + 1
-    rows = []
+    information = np.log((1 + total) / (1 + n))
+    idf = information + 1
+    rows, lengths, told = [], [], []
     for passage in passages:
         at, count = np.unique([places[w] for w in passage], return_counts=True)
         value = count * idf[at]
-        rows.append((at.tolist(), (value / np.linalg.norm(value)).tolist()))
+        lengths.append(np.linalg.norm(value))
+        told.append((count * information[at]).sum())
+        rows.append((at.tolist(), (value / lengths[-1]).tolist()))
     table = spark.createDataFrame(rows, "places array<long>, vals array<double>")
     basis = latent_basis(table, len(places), len(rows), rank)
     latent = np.stack([np.array(v) @ basis[np.array(p)] for p, v in rows])
+    # Half the passage's weight, as far as the latent space sees it. Where the passage cannot tell enough for a
+    # paraphrase, only the counts propose it.
+    gate = rules.paraphrase * np.array(lengths) * (latent**2).sum(axis=1)
+    gate[np.array(told) < rules.information] = np.inf
     return Index(
-        places, idf, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32), (latent**2).sum(axis=1),
+        places, idf, information, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32), gate.astype(np.float32),
         ids, passages, answers, rules, *_rarest(passages, places, idf, rules),
     )
 
@@ -289,7 +333,7 @@ def build_index(spark: SparkSession, docs: DataFrame, items: list[tuple], rules:
 LEAK = "array<struct<start: long, item_id: long, cosine: double, share: double, answer: boolean>>"
 
 
-def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_items: int = 2000,
+def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_passages: int = 2500,
                rules: Rules = Rules(), rank: int = RANK) -> DataFrame:
     """(row, leaks): every row of `docs`, all its columns in the struct `row`, with the items it leaks."""
     spark = docs.sparkSession
@@ -300,16 +344,17 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
     result = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.array().cast(LEAK).alias("leaks")
     )
-    block: list[tuple] = []
 
     def searched(rows: DataFrame, block: list[tuple]) -> DataFrame:
-        index = build_index(spark, texts, block, rules, rank)
+        # The broadcast keeps the index outside of the driver's Python memory.
+        index = spark.sparkContext.broadcast(cloudpickle.dumps(build_index(spark, texts, block, rules, rank)))
         schema = T.StructType([*rows.schema.fields, T.StructField("found", rows.schema["leaks"].dataType)])
         names = ("start", "item_id", "cosine", "share", "answer")
 
         def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = pickle.loads(index.value)
             for batch in batches(source):
-                found = [[dict(zip(names, l)) for l in index.leaks(t)] for t in batch.column(2).to_pylist()]
+                found = [[dict(zip(names, l)) for l in own.leaks(t)] for t in batch.column(2).to_pylist()]
                 kind = pa.list_(pa.struct([
                     ("start", pa.int64()), ("item_id", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()),
                     ("answer", pa.bool_()),
@@ -319,14 +364,15 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
                 )
 
         told = rows.select("row", "leaks", F.col("row").getField(text).cast("string").alias("text"))
-        return told.mapInArrow(run, schema).select("row", F.concat("leaks", "found").alias("leaks"))
-
-    # In a fixed order, so that blocks hold the same items in every run.
-    for item in items.orderBy("item_id", "text", "answer").toLocalIterator():
-        block.append(tuple(item))
-        if len(block) == block_items:
-            result, block = searched(result, block), []
-    return searched(result, block) if block else result
+        # An item whose passages are in several blocks is told once.
+        strange = F.filter("found", lambda l: ~F.exists("leaks", lambda k: k["item_id"].eqNullSafe(l["item_id"])))
+        return told.mapInArrow(run, schema).select("row", F.concat("leaks", strange).alias("leaks"))
+
+    # In a fixed order, so that blocks hold the same passages in every run.
+    passages = passages_of(map(tuple, items.orderBy("item_id", "text", "answer").toLocalIterator()))
+    while block := list(islice(passages, block_passages)):
+        result = searched(result, block)
+    return result
 
 
 def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
