@@ -4,7 +4,7 @@ Every run of several consecutive sentences is hashed, and equal hashes meet in o
 The first occurrence, by document id and place, stays; sentences covered by any later one are removed.
 
 A run starts at a sentence and goes on until it has `SENTENCES` sentences, however short, or `LONG_WORDS` words in
-fewer; likewise backwards from each sentence. So a repeated passage is covered from its first whole sentence to its
+two; likewise backwards from each sentence. So a repeated passage is covered from its first whole sentence to its
 last, whatever the length of its sentences. In scripts without spaces two signs count as a word. Sentences of more than `CUT_ABOVE` words
 are cut behind words that a hash picks, at the same words wherever they occur.
 """
@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from gleanrank.llm.words import batches, bound_batches, mix
+from gleanrank.session import materialize
 
 SENTENCES, LONG_WORDS = 3, 30
 CUT_ABOVE, CUT_EVERY = 40, 12
@@ -64,10 +65,10 @@ def runs_of(counts: list[int]) -> list[tuple[int, int]]:
     if n == 0:
         return runs
     i = np.arange(n)
-    # Forwards: last sentence such that the run holds enough; n stands for none.
-    last = np.minimum(i + SENTENCES - 1, np.maximum(i, np.searchsorted(total, total[:-1] + LONG_WORDS) - 1))
+    # Forwards: last sentence such that the run holds enough; n stands for none. A run has two sentences at least.
+    last = np.minimum(i + SENTENCES - 1, np.maximum(i + 1, np.searchsorted(total, total[:-1] + LONG_WORDS) - 1))
     # Backwards: first sentence such that the run up to i holds enough.
-    first = np.maximum(i - SENTENCES + 1, np.minimum(i, np.searchsorted(total, total[1:] - LONG_WORDS, "right") - 1))
+    first = np.maximum(i - SENTENCES + 1, np.minimum(i - 1, np.searchsorted(total, total[1:] - LONG_WORDS, "right") - 1))
     return sorted({*zip(i[last < n].tolist(), last[last < n].tolist()), *zip(first[first >= 0].tolist(), i[first >= 0].tolist())})
 
 
@@ -80,16 +81,17 @@ def span_hashes(sentences: list[str]) -> tuple[list[tuple[int, int]], np.ndarray
     """The runs of a document, a 64-bit hash of each and an independent 32-bit one."""
     plain = [s.lower().split() for s in sentences]
     runs = runs_of([_length(s, w) for s, w in zip(sentences, plain)])
-    keys = np.fromiter(
-        (xxhash.xxh3_64_intdigest(" ".join(w).encode("utf-8", "surrogatepass")) for w in plain), np.uint64, len(plain)
-    )
-    # A polynomial in the sentence hashes: differences of prefix sums, brought to a common power.
+    # The halves of 128-bit hashes of the sentences, each summed up by itself.
+    digests = b"".join(xxhash.xxh3_128_digest(" ".join(w).encode("utf-8", "surrogatepass")) for w in plain)
+    halves = np.frombuffer(digests, "<u8").astype(np.uint64).reshape(-1, 2)
     first, last = (np.array(x, np.int64) for x in (zip(*runs) if runs else ((), ())))
-    total = np.zeros(len(runs), np.uint64)
+    total = np.zeros((len(runs), 2), np.uint64)
     for step in range(int((last - first).max()) + 1 if runs else 0):
         at = first + step
-        total += np.where(at <= last, mix(keys[np.minimum(at, len(keys) - 1)] + mix(np.uint64([step + 1]))), np.uint64(0))
-    return runs, mix(total), (mix(total ^ np.uint64(0x632BE59BD9B4E019)) >> np.uint64(33)).astype(np.int32)
+        there = mix(halves[np.minimum(at, len(halves) - 1)] + mix(np.uint64([step + 1])))
+        total += np.where((at <= last)[:, None], there, np.uint64(0))
+    key, check = mix(total).T
+    return runs, key, (check >> np.uint64(33)).astype(np.int32)
 
 
 def _span_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,21 +153,22 @@ def remove_repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text
     )
     spans = source.mapInArrow(_span_rows, "key long, check int, doc long, tie int, start int, stop int")
     place = F.struct("doc", "tie", "start", "stop")
-    firsts = (
+    # Stored, so that the join below deals out both its sides and adaptive execution can split frequent runs.
+    firsts = materialize(
         spans.groupBy("key", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .filter("struct(first.doc, first.tie, first.start) <> struct(last.doc, last.tie, last.start)")
-        .select("key", "check", "first")
+        .select("key", "check", "first"),
+        "span-firsts",
     )
-    # The side with one row for each run is the small one; adaptive execution splits frequent runs of the other.
     later = spans.join(firsts, ["key", "check"]).filter(
         "doc <> first.doc or tie <> first.tie or start <> first.start"
     )
     same = (F.col("doc") == F.col("first.doc")) & (F.col("tie") == F.col("first.tie"))
     begin = F.when(same, F.greatest(F.col("start"), F.col("first.stop") + 1)).otherwise(F.col("start"))
-    ranges = later.withColumn("start", begin).filter("start <= stop").groupBy("doc", "tie").agg(
+    ranges = materialize(later.withColumn("start", begin).filter("start <= stop").groupBy("doc", "tie").agg(
         F.collect_set(F.struct("start", "stop")).alias("ranges"),
         F.collect_set(F.when(F.col("first.doc") != _LAST, F.col("first.doc"))).alias("first_docs"),
-    )
+    ), "span-ranges")
     joined = source.join(ranges, ["doc", "tie"], "left")
     packed = joined.select(F.struct("doc", "first_docs").alias("row"), "text", "ranges")
     kept = packed.mapInArrow(
