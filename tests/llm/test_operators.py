@@ -244,7 +244,7 @@ def test_decontamination(spark):
     docs, bench = documents(spark, rows), spark.createDataFrame(marks, "item_id bigint, text string").withColumn("places", F.lit(1))
     got = decontaminate.benchmark_leaks(docs, bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == planted and len(got) == len(planted)
-    blocks = decontaminate.benchmark_leaks(docs, bench, block_items=9).collect()
+    blocks = decontaminate.benchmark_leaks(docs, bench, block_passages=9).collect()
     assert {(r.doc_id, r.item_id) for r in blocks} == planted
     kept = decontaminate.without_leaks(docs, bench)
     assert kept.columns == docs.columns and kept.count() == len(rows) - len({d for d, _ in planted})
@@ -269,6 +269,40 @@ def test_short_passages_of_a_large_block(spark):
     assert planted <= got and len(got) <= len(planted) + 2
 
 
+def test_common_words_are_no_leak(spark):
+    """Items of words that every document has count where they stand word by word, and nowhere else."""
+    rows, planted = [], set()
+    items = {i: prose(5000 + i, 18, 60) for i in range(20)}
+    for i in range(400):
+        words = prose(i, 400, 60).split()
+        if i % 8 == 0:
+            words[50:50] = items[i // 8 % 20].split()
+            planted.add((i, i // 8 % 20))
+        rows.append((i, " ".join(words)))
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.benchmark_leaks(documents(spark, rows), bench).collect()}
+    assert got == planted
+
+
+def test_paraphrases_need_their_answer(spark):
+    """With four words in ten replaced, an item is found by cosine if its answer stands in the same stretch."""
+    rng = np.random.default_rng(77)
+    items = {i: prose(8000 + i, 40, 4000) for i in range(60)}
+    rows, planted = [(1000 + i, prose(i, 300, 4000)) for i in range(300)], set()
+    for i, text in items.items():
+        words = text.split()
+        keep = words[:30] if i % 2 else words
+        kept = [w if j >= 30 or rng.random() < 0.62 else f"other{rng.integers(0, 10**6)}" for j, w in enumerate(keep)]
+        far = [] if i % 2 == 0 else prose(9000 + i, 200, 4000).split() + words[30:]
+        rows.append((i, " ".join(prose(i + 500, 70, 4000).split() + kept + far)))
+        if i % 2 == 0:
+            planted.add((i, i))
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = decontaminate.benchmark_leaks(documents(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} <= planted and len(got) >= 0.9 * len(planted)
+    assert all(r.cosine >= 0.4 and r.answer for r in got)
+
+
 def test_latent_basis(spark):
     rng = np.random.default_rng(3)
     table = rng.standard_normal((60, 5)) @ rng.standard_normal((5, 40))
@@ -466,6 +500,48 @@ def test_licences(spark):
     assert {by[i].licence for i in (305, 306, 307)} == {"none"}
     assert sum(by[i].licence != "none" for i in range(300)) <= 1
     assert license_scan.scan_licences(documents(spark, rows[:50])).count() == 50
+    assert license_scan.scan_licences(documents(spark, rows).limit(0)).count() == 0
+
+
+# Wordings that the templates do not have, by the families that may be reported for them.
+WORDINGS = [
+    ("gpl-3.0", "This package is distributed under the GNU General Public License, version 3 or later."),
+    ("gpl-2.0", "This package is distributed under the GNU General Public License, version 2 or later."),
+    ("gpl-2.0", "modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 2"),
+    ("lgpl-2.1", "You can redistribute it under the terms of the GNU Lesser General Public License, version 2.1."),
+    ("lgpl-3.0", "Distributed under the GNU Lesser General Public License, version 3."),
+    ("agpl-3.0", "It is free software under the terms of the GNU Affero General Public License, version 3."),
+    ("apache-2.0", "The code is available under the Apache License, Version 2.0."),
+    ("apache-1.1", "The code is licensed under the Apache Software License, Version 1.1."),
+    ("cc-by-4.0", "The text is available under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa-4.0", "The text is available under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nc-4.0", "The text is available under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    (None, "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    (None, "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc0-1.0", "These data are dedicated to the public domain under CC0 1.0."),
+    ("isc", "This tool is released under the ISC License."),
+    ("mpl-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (None, "This file is subject to the terms of the Mozilla Public License, version 1.1."),
+    ("epl-2.0", "Made available under the terms of the Eclipse Public License 2.0."),
+    (None, "Made available under the terms of the Eclipse Public License 1.0."),
+    ("bsd-3-clause", "This is released under the BSD 3-Clause License."),
+    ("bsd-2-clause", "This is released under the BSD 2-Clause License."),
+    ("mit", "This is licensed under the MIT License."),
+    ("mit", "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and\nassociated documentation files"),
+    ("gpl-3.0", "This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU General\nPublic License as published by the Free Software\nFoundation, either version 3 of the License."),
+    ("gpl-2.0", "This program is free software; you can redistribute it\r\nand/or modify it under the terms of the GNU General\r\nPublic License as published by the Free Software\r\nFoundation; either version 2 of the License."),
+]
+
+
+def test_related_licences_are_told_apart(spark):
+    """Other wordings, wrapped ones among them: never another family, and nearly always the right one."""
+    rows = [(1000 + i, "\n\n".join(prose(10 * i + k, 12, 3000) for k in range(4))) for i in range(300)]
+    rows += [(i, f"{prose(i, 30)}\n\n{text}\n\n{prose(i + 50, 30)}") for i, (_, text) in enumerate(WORDINGS)]
+    by = {r.doc_id: r.licence for r in license_scan.scan_licences(documents(spark, rows)).collect()}
+    wrong = [(by[i], text) for i, (family, text) in enumerate(WORDINGS) if by[i] not in (family, "unknown", "none")]
+    assert not wrong
+    assert sum(by[i] == family for i, (family, _) in enumerate(WORDINGS) if family) >= 18
+    assert sum(by[1000 + i] != "none" for i in range(300)) <= 1
 
 
 # ---- 9 sentence spans ----------------------------------------------------------------------------------------
