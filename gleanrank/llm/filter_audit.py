@@ -122,7 +122,8 @@ def document_failures(docs: DataFrame, id: str = "doc_id", text: str = "text", p
         "filter-failures",
     )
     copied = told.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    copied = copied.filter("first < last").select("digest", "first")
+    # Stored, so that the join deals out both its sides and adaptive execution can split frequent digests.
+    copied = materialize(copied.filter("first < last").select("digest", "first"), "filter-copies")
     return told.join(copied, "digest", "left").select(
         "doc_id", "part", "A", "B", "C", "D", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("E")
     )

@@ -108,30 +108,44 @@ def _header_end(data: bytes) -> int:
 
 
 class _Source:
-    """Sequential bytes of an open file, with a way to skip."""
+    """Sequential bytes of an open file, with a way to skip, and to give back what was just taken."""
 
     def __init__(self, file, start: int = 0):
-        self.file, self.at, self.held = file, start, b""
-
-    def peek(self, n: int) -> bytes:
-        while len(self.held) < n:
-            more = self.file.read(max(n - len(self.held), 64 << 10))
+        self.file, self.at = file, start
+        self.held, self.gone = bytearray(), 0  # bytes read, and how many of them are taken
+
+    def _fill(self, n: int) -> None:
+        if self.gone and len(self.held) - self.gone < n:
+            del self.held[: self.gone]
+            self.gone = 0
+        while len(self.held) - self.gone < n:
+            more = self.file.read(max(n - len(self.held) + self.gone, 64 << 10))
             if not more:
-                break
+                return
             self.held += more
-        return self.held[:n]
+
+    def peek(self, n: int) -> bytes:
+        self._fill(n)
+        with memoryview(self.held) as view:
+            return bytes(view[self.gone : self.gone + n])
 
     def take(self, n: int) -> bytes:
         data = self.peek(n)
-        self.held, self.at = self.held[len(data):], self.at + len(data)
+        self.gone += len(data)
+        self.at += len(data)
         return data
 
+    def give_back(self, n: int) -> None:
+        self.gone -= n
+        self.at -= n
+
     def skip(self, n: int) -> None:
-        if n <= len(self.held):
-            self.held = self.held[n:]
+        if n <= len(self.held) - self.gone:
+            self.gone += n
         else:
             self.file.seek(self.at + n)
-            self.held = b""
+            self.held.clear()
+            self.gone = 0
         self.at += n
 
 
@@ -178,39 +192,36 @@ def _gzip_records(source: _Source, wanted, payload: bool) -> Iterator[tuple[int,
     while source.peek(1):
         at = source.at
         length = _member_length(source.peek(64))
-        inflate = zlib.decompressobj(31)
-        used, data = 0, b""
+        inflate, data = zlib.decompressobj(31), bytearray()
 
         def more(size: int) -> bool:
-            nonlocal used, data
-            room = size if length is None else min(size, length - used)
-            chunk = source.peek(used + room)[used:] if room > 0 else b""
-            if not chunk or inflate.eof:
-                return False
-            data += inflate.decompress(chunk)
-            used += len(chunk) - len(inflate.unused_data)
-            return True
+            room = size if length is None else min(size, at + length - source.at)
+            chunk = source.take(room) if room > 0 and not inflate.eof else b""
+            data.extend(inflate.decompress(chunk))
+            if inflate.eof:
+                source.give_back(len(inflate.unused_data))
+            return bool(chunk)
 
-        more(_FIRST_READ)
         while (end := _header_end(data)) < 0:
             if not more(_FIRST_READ):
                 raise ValueError("an archive ends inside a record header")
-        headers = parse_headers(data[:end])
+        headers = parse_headers(bytes(data[:end]))
         keep = wanted(headers)
-        if not (keep and payload) and length is not None:
-            source.skip(length)
-            if keep:
-                yield at, headers, None
-            continue
-        size = int(headers.get("content-length", 0))
-        while not inflate.eof and more(256 << 10):
-            if not (keep and payload):
-                data = b""
-        source.skip(used)
-        if keep:
-            if payload and len(data) - end < size:
+        if keep and payload or length is None:
+            while not inflate.eof and more(256 << 10):
+                if not (keep and payload):
+                    data.clear()
+        if length is not None:
+            source.skip(at + length - source.at)
+        if keep and payload:
+            size = int(headers.get("content-length", 0))
+            if len(data) - end < size:
                 raise ValueError("an archive ends inside a record")
-            yield at, headers, payload_of(headers, data[end : end + size]) if payload else None
+            with memoryview(data) as view:
+                block = bytes(view[end : end + size])
+            yield at, headers, payload_of(headers, block)
+        elif keep:
+            yield at, headers, None
 
 
 def read_records(file, wanted=lambda headers: True, payload: bool = True) -> Iterator[tuple[int, dict, bytes | None]]:
@@ -308,6 +319,8 @@ class WarcWriter(DataSourceArrowWriter):
         self.level = int(options.get("level", 6))
         self.gzip = options.get("compression", "gzip") == "gzip"
         self.roll = int(options.get("roll_bytes", 128 << 20))
+        # A folder for this job alone: another one's end must not take its files.
+        self.own = f"_temporary-{uuid.uuid4().hex}"
 
     def _record(self, row: dict) -> bytes:
         told = [
@@ -323,7 +336,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, iterator):
         store, root = _open_folder(self.path)
-        store.create_dir(f"{root}/_temporary", recursive=True)
+        store.create_dir(f"{root}/{self.own}", recursive=True)
         files, out, size = [], None, 0
         try:
             for batch in iterator:
@@ -332,7 +345,7 @@ class WarcWriter(DataSourceArrowWriter):
                         if out is not None:
                             out.close()
                         name = f"part-{uuid.uuid4().hex}.warc" + (".gz" if self.gzip else "")
-                        out, size = store.open_output_stream(f"{root}/_temporary/{name}", compression=None), 0
+                        out, size = store.open_output_stream(f"{root}/{self.own}/{name}", compression=None), 0
                         files.append(name)
                     data = self._record(row)
                     out.write(data)
@@ -347,15 +360,15 @@ class WarcWriter(DataSourceArrowWriter):
         store.create_dir(root, recursive=True)
         for message in messages:
             for name in message.files if message else ():
-                store.move(f"{root}/_temporary/{name}", f"{root}/{name}")
+                store.move(f"{root}/{self.own}/{name}", f"{root}/{name}")
         self._clean(store, root)
 
     def abort(self, messages):
         self._clean(*_open_folder(self.path))
 
     def _clean(self, store, root):
-        if store.get_file_info(f"{root}/_temporary").type == pafs.FileType.Directory:
-            store.delete_dir(f"{root}/_temporary")
+        if store.get_file_info(f"{root}/{self.own}").type == pafs.FileType.Directory:
+            store.delete_dir(f"{root}/{self.own}")
 
 
 class WarcDataSource(DataSource):

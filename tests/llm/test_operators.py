@@ -2,10 +2,12 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -636,3 +638,31 @@ def test_foreign_archives(tmp_path):
             assert [h["warc-record-id"] for _, h, _ in wanted] == ["<0>", "<2>"]
     with pa.OSFile(str(tmp_path / "b.warc")) as file:
         assert [p for _, _, p in warc.read_records(file)] == [b"abc"]
+
+
+@pytest.mark.parametrize("compression", ["gzip", "foreign gzip", "none"])
+def test_long_records_are_read_in_linear_time(compression):
+    """Records of many MB, wanted and not: each byte is handled a bounded number of times."""
+    import gzip
+    import io
+
+    body = np.random.default_rng(1).integers(0, 256, 24 << 20, dtype=np.uint8).tobytes()
+    pack = {"gzip": warc.gzip_member, "foreign gzip": lambda d: gzip.compress(d, 1), "none": lambda d: d}[compression]
+    records = [warc.record_bytes([("WARC-Type", kind), ("WARC-Record-ID", f"<{kind}>")], block) for kind, block in
+               (("a", b"x"), ("long", body), ("long", body), ("b", b"y" * 100_000))]
+    data = b"".join(map(pack, records))
+    began = time.process_time()
+    told = [(h["warc-type"], p) for _, h, p in warc.read_records(io.BytesIO(data))]
+    assert told == [("a", b"x"), ("long", body), ("long", body), ("b", b"y" * 100_000)]
+    assert [h["warc-type"] for _, h, _ in warc.read_records(io.BytesIO(data), lambda h: h["warc-type"] != "long")] == ["a", "b"]
+    assert time.process_time() - began < 5
+
+
+def test_jobs_do_not_share_temporary_folders(spark, tmp_path):
+    writers = [warc.WarcWriter({"path": str(tmp_path)}) for _ in range(2)]
+    row = {"record_type": "response", "record_id": "<urn:page:1>", "target_uri": None, "date": "2024-01-01T00:00:00Z",
+           "refers_to": None, "payload_digest": None, "payload_length": 1, "payload": b"x"}
+    messages = [w.write(iter([pa.RecordBatch.from_pylist([row])])) for w in writers]
+    writers[0].abort([])
+    writers[1].commit([messages[1]])
+    assert [p.name for p in tmp_path.iterdir()] == list(messages[1].files)
