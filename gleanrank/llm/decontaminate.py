@@ -90,6 +90,7 @@ class Index:
     items: list[int | None]
     passages: list[list[str]]
     answers: list[list[str]]
+    counts: list[Counter]  # of the words of each passage
     rules: Rules
     first: np.ndarray  # of each word, where its row in the next two begins
     holders: np.ndarray  # passages among whose rarest words it is
@@ -109,8 +110,12 @@ class Index:
         step = known // PASSAGE
         place = place[known]
         best: dict = {}
+        last, window, held = -1, [], set()
         for w, p in self._candidates(step, place, steps):
-            found = self._verify(words[w * PASSAGE : (w + 2) * PASSAGE], p)
+            if w != last:
+                last, window = w, words[w * PASSAGE : (w + 2) * PASSAGE]
+                held = set(window)
+            found = self._verify(window, p) if self._may_leak(held, p) else None
             if found:
                 share, cosine, answer = found
                 item, row = self.items[p], (w * PASSAGE, self.items[p], cosine, share, answer)
@@ -161,9 +166,18 @@ class Index:
         reach = np.sqrt((self.latent[p] ** 2).sum())
         return float((n @ self.basis[at]) @ self.latent[p] / max(length * reach, 1e-9))
 
-    def _told(self, words: Counter) -> float:
+    def _told(self, words: dict[str, int]) -> float:
         return sum(n * self.information[self.places[w]] for w, n in words.items() if w in self.places)
 
+    def _may_leak(self, held: set[str], p: int) -> bool:
+        """False only if `_verify` finds nothing, from the words alone that the window holds."""
+        whole, rules = self.counts[p], self.rules
+        shared = {w: whole[w] for w in whole.keys() & held}
+        kept, n = sum(shared.values()), len(self.passages[p])
+        if n < rules.shortest or kept < rules.paraphrase * n:
+            return n < rules.shortest and kept == n
+        return kept >= rules.subsequence * n or self._told(shared) >= max(rules.information, rules.paraphrase * self._told(whole))
+
     def _verify(self, window: list[str], p: int) -> tuple[float, float, bool] | None:
         """(share, cosine, answer found) of the best stretch of a window that leaks the passage."""
         passage, answer, rules = self.passages[p], self.answers[p], self.rules
@@ -180,7 +194,7 @@ class Index:
             # Steps of half a passage, and the end.
             starts = [*range(0, len(window) - width, max(1, len(passage) // 2)), len(window) - width]
             parts = [window[i : i + width] for i in starts]
-        whole, found = Counter(passage), []
+        whole, found = self.counts[p], []
         for part in parts:
             kept = common_subsequence(passage, part)
             if kept < least:
@@ -326,7 +340,7 @@ def build_index(spark: SparkSession, docs: DataFrame, block: list[tuple], rules:
     gate[np.array(told) < rules.information] = np.inf
     return Index(
         places, idf, information, (basis * idf[:, None]).astype(np.float32), latent.astype(np.float32), gate.astype(np.float32),
-        ids, passages, answers, rules, *_rarest(passages, places, idf, rules),
+        ids, passages, answers, [Counter(p) for p in passages], rules, *_rarest(passages, places, idf, rules),
     )
 
 
