@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from gleanrank.llm.words import batches, bound_batches
+from gleanrank.llm.words import batches, bound_batches, worker_state
 
 PASSAGE = 48
 RANK, OVERSAMPLE = 128, 16
@@ -366,6 +366,7 @@ def with_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_
         names = ("start", "item_id", "cosine", "share", "answer")
 
         def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            worker_state()
             own = pickle.loads(index.value)
             for batch in batches(source):
                 found = [[dict(zip(names, l)) for l in own.leaks(t)] for t in batch.column(2).to_pylist()]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 from gleanrank.llm.graph import components
-from gleanrank.llm.words import ascii_words, batches, bound_batches, mix, shingle_set
+from gleanrank.llm.words import ascii_words, batches, bound_batches, mix, shingle_set, worker_state
 from gleanrank.session import materialize
 
 # Cells per element lie between this and twice this.
@@ -88,6 +88,7 @@ def _digest(elements: np.ndarray) -> tuple[int, int]:
 
 def _set_rows(shingle: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         for batch in batches(source):
             sets = [shingle_set(ascii_words(text), shingle) for text in batch.column(1).to_pylist()]
             digests = np.array([_digest(s) for s in sets], np.int64).reshape(-1, 2)
@@ -101,6 +102,7 @@ def _set_rows(shingle: int):
 
 def _key_rows(shingle: int, percent: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
         seen: set[int] = set()  # classes of this task, so that copies emit their keys once
         for batch in batches(source):
             keys, classes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]

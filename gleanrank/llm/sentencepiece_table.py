@@ -19,15 +19,13 @@ from __future__ import annotations
 
 import re
 import string
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gleanrank.llm.words import batches, bound_batches
+from gleanrank.llm.words import batches, bound_batches, worker_state
 
 SPACE = "▁"
 #: Parts of texts that a worker process remembers in each of two generations, and the longest of them; the rest is encoded
@@ -198,11 +196,8 @@ class PieceTable:
 
 
 def worker_table(path: str) -> PieceTable:
-    """The table of this worker process: made once and kept while the process lives."""
-    kept = sys.modules.setdefault("piece_tables", types.ModuleType("piece_tables")).__dict__
-    if path not in kept:
-        kept[path] = PieceTable(path)
-    return kept[path]
+    """The table of this worker process: made once and kept while no other operator's tasks come."""
+    return worker_state(f"pieces {path}", lambda: PieceTable(path))
 
 
 def encode_pieces(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:

@@ -23,8 +23,6 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-import sys
-import types
 from collections.abc import Iterator
 from itertools import chain
 
@@ -34,7 +32,7 @@ import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F, Window
 
-from gleanrank.llm.words import bound_batches, least_by_hash
+from gleanrank.llm.words import bound_batches, least_by_hash, worker_state
 from gleanrank.session import materialize
 
 MAGIC, VERSION = b"TOKZ", 1
@@ -144,11 +142,8 @@ class Encoder:
 
 
 def worker_encoder(path: str) -> Encoder:
-    """The encoder of this worker process: made once and kept while the process lives."""
-    kept = sys.modules.setdefault("token_file_encoders", types.ModuleType("token_file_encoders")).__dict__
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    """The encoder of this worker process: made once and kept while no other operator's tasks come."""
+    return worker_state(f"encoder {path}", lambda: Encoder(path))
 
 
 def _slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:

@@ -25,8 +25,6 @@ cannot tell the classes apart, as both back off alike there, and stay out.
 from __future__ import annotations
 
 import re
-import sys
-import types
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -37,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from gleanrank.llm.words import batches, bound_batches, least_by_hash, mix
+from gleanrank.llm.words import batches, bound_batches, least_by_hash, mix, worker_state
 from gleanrank.session import materialize
 
 DISCOUNT = 0.75
@@ -132,10 +130,7 @@ class Model:
     def evidence(self, texts: list[str | None]) -> np.ndarray:
         """Features of each text for the logistic regression."""
         every = [words_of(t) for t in texts]
-        kept = sys.modules.setdefault("toxicity_words", types.ModuleType("toxicity_words")).__dict__
-        if kept.get("name") != self.name:
-            kept["name"], kept["words"] = self.name, {}
-        known = kept["words"]
+        known = worker_state(f"toxicity {self.name}")
         distinct = set().union(*every)
         now = {w: known[w] for w in distinct if w in known}
         new = list(distinct.difference(now))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,19 @@ def bound_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
+def worker_state(name: str = "", make: Callable[[], object] = dict):
+    """What a Python worker process keeps from task to task under `name`, made when it is asked for first.
+
+    Workers serve one stage after another, so only what was asked for last is kept: a chain of operators holds one
+    operator's words at a time. Without a name nothing is kept any longer.
+    """
+    kept = sys.modules.setdefault("gleanrank_worker_state", types.ModuleType("gleanrank_worker_state")).__dict__
+    if kept.get("name") != name:
+        kept["value"] = None
+        kept["name"], kept["value"] = name, make()
+    return kept["value"]
+
+
 def least_by_hash(rows: DataFrame, hashed: Column, wanted: int, count: int) -> DataFrame:
     """The `wanted` rows of `rows`, of which there are `count`, whose hash is least in its low 40 bits.
 
