@@ -197,8 +197,8 @@ def _templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, template string")
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = 10_000, false_share: float = 1e-4) -> tuple[PipelineModel, float]:
-    """The classifier, and the probability from which a family counts.
+def train(docs: DataFrame, text: str = "text", sample: int = 10_000, false_share: float = 1e-4) -> tuple[PipelineModel, float, float]:
+    """The classifier, and the probabilities from which a family and an unknown licence count.
 
     `sample` bounds the documents that ordinary paragraphs are taken from (those of least hash of the id), the
     paragraphs used in training, and those used in the calibration: of least hash among lines that hold
@@ -236,12 +236,16 @@ def train(docs: DataFrame, text: str = "text", sample: int = 10_000, false_share
         LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial"),
     ]
     model = Pipeline(stages=stages).fit(rows)
-    judged = _judged(held, model).select("best_p", "best")
-    limit = judged.filter("best is not null").agg(F.max("best_p"), F.count("*")).first()
-    total = held.count()
-    # With fewer false families than the share allows, an even chance is enough.
-    level = float(limit[0]) if total and limit[1] > false_share * total else 0.5
-    return model, min(max(level, 0.5), 0.99)
+    told = _judged(held, model).agg(
+        F.max("best_p").alias("family"), F.count("best").alias("families"), F.max("unknown_p").alias("licence"),
+        F.count_if(F.col("unknown_p") > 0.5).alias("licences"), F.count("*").alias("total"),
+    ).first()
+
+    def level(highest: float | None, number: int) -> float:
+        # With fewer false ones than the share allows, an even chance is enough.
+        return min(max(float(highest), 0.5), 0.99) if number > false_share * told["total"] else 0.5
+
+    return model, level(told["family"], told["families"]), level(told["licence"], told["licences"])
 
 
 def _judged(rows: DataFrame, model: PipelineModel) -> DataFrame:
@@ -279,7 +283,7 @@ def scan_licences(docs: DataFrame, text: str = "text", sample: int = 10_000, con
     ignored.
     """
     spark = docs.sparkSession
-    model, level = train(docs, text, sample)
+    model, level, unknown_level = train(docs, text, sample)
     judged = _judged(paragraph_windows(docs, text), model)
     # A few rows for each family, fixed above.
     known = _templates(spark).select("family", bigrams_of(words_of(F.col("template"))).alias("wanted"))
@@ -289,7 +293,7 @@ def scan_licences(docs: DataFrame, text: str = "text", sample: int = 10_000, con
     share = F.array_max(F.transform("wanted", lambda w: F.size(F.array_intersect(w, F.col("bigrams"))) / F.greatest(F.size(w), F.lit(1))))
     sure = F.coalesce((F.col("best_p") >= level) & (share >= confirm), F.lit(False))
     # A confirmed family is one even where the classifier finds ordinary text a little more probable.
-    likely = (F.size("words") > 0) & (sure | (F.col("unknown_p") > 0.5))
+    likely = (F.size("words") > 0) & (sure | (F.col("unknown_p") > unknown_level))
     family = F.when(likely, F.when(sure, F.col("best")).otherwise(UNKNOWN))
     told = F.when(likely, F.struct("paragraph", family.alias("family")))
     p = F.when(likely, F.coalesce("best_p", "unknown_p"))
