@@ -24,7 +24,6 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +43,20 @@ _HEAD = "<4sI32sI"
 #: space and a visible sign only.
 _RUN = re.compile(r"\s[ \n](?:\s|\Z)|\n[^\S \n](?:\s|\Z)")
 _CUT = re.compile(r"(?= \S)")
-#: Letters and the ASCII signs behind them are two pieces, too.
-_WORD_AND_SIGNS = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]+)?")
+#: White space other than space and newline: the ASCII ones, and all.
+_OTHER_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_TRIPLES = tuple(p + c for p in _PAIRS for c in " \n")
+#: Of a line: letters and the ASCII signs behind them, which are two pieces, or anything else.
+_LINE_SHAPE = regex.compile(r"^(?:( ?\p{L}+)([!-/:-@\[-`{-~]*)|(.*))$", regex.MULTILINE)
 #: Fixed rule of byte-level vocabularies: visible Latin-1 characters stand for their bytes, the other bytes, in order,
 #: for the code points from 256.
 _VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SYMBOLS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 _SPACE = chr(_SYMBOLS[ord(" ")])
+#: The symbol of a byte that UTF-8 does not have stands between runs of symbols that are merged in one call, so many at a time.
+_SEPARATOR, _TOGETHER = chr(0xFF), 100
 #: Cached pieces of a worker process; the rest is encoded each time.
 _CACHE = 900_000
 
@@ -75,6 +81,12 @@ class Encoder:
             and not pre.get("add_prefix_space") and not told.get("truncation") and not told.get("padding")
         )
         self.added = [t["content"] for t in told.get("added_tokens", [])]
+        self.model, self.separator = self.tokenizer.model, None
+        model, vocab = told["model"], self.tokenizer.get_vocab()
+        rules = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        if self.by_piece and model.get("type") == "BPE" and not any(model.get(r) for r in rules):
+            if [v for v in vocab if _SEPARATOR in v] == [_SEPARATOR]:
+                self.separator = vocab[_SEPARATOR]
         self.known: dict[str, bytes] = {}
         self.seen: set[int] = set()
 
@@ -83,64 +95,84 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _pieces(self, text: str) -> list[str]:
-        if _RUN.search(text):
+        if "\0" in text or _odd_spaces(text):
             return [p for p in _CUT.split(text) if p]
-        pieces = []
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                pieces.append("\n")
-            words = line.split(" ")
-            if words[0]:
-                pieces.append(words[0])
-            pieces += [" " + w for w in words[1:]]
-        return pieces
+        # Between a newline and a space lies an empty piece, which has no ids.
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian u32 ids of each text."""
         plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
         pieces = [self._pieces(t) if p else None for t, p in zip(texts, plain)]
-        distinct, known = set().union(*filter(None, pieces)), self.known
-        now = {w: known[w] for w in distinct if w in known}
-        shapes = {w: _WORD_AND_SIGNS.fullmatch(w) for w in distinct.difference(now)}
-        split = {w: shape.groups("") for w, shape in shapes.items() if shape}
-        parts = set(chain.from_iterable(split.values()))
-        parts.discard("")
-        told = {p: known[p] if p in known else self._piece(p) for p in parts}
-        odd = [w for w, shape in shapes.items() if shape is None]
-        fresh = dict(zip(odd, self._whole(odd))) if odd else {}
-        ids = {"": b"", **told}
-        fresh.update((w, ids[a] + ids[b]) for w, (a, b) in split.items())
-        self._remember(told, {w: ids for w, ids in fresh.items() if w not in told})
-        now.update(fresh)
+        known = self.known
+        fresh = list(set().union(*filter(None, pieces)).difference(known))
+        known.update(zip(fresh, self._of_pieces(fresh)))
         whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]) if not all(plain) else ())
-        return [b"".join(map(now.__getitem__, ws)) if ws is not None else next(whole) for ws in pieces]
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a text that is a single piece: byte-level symbols, straight into the merges."""
-        bare = piece.removeprefix(" ")
-        if bare.isascii() and bare.isalpha():
-            symbols = _SPACE + bare if len(bare) < len(piece) else bare
-        else:
-            symbols = piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(_SYMBOLS)
-        tokens = self.tokenizer.model.tokenize(symbols)
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-
-    def _remember(self, words: dict[str, bytes], others: dict[str, bytes]) -> None:
-        """Keep words as long as there is room, and words with signs if they are met in a second batch."""
-        if len(self.known) >= _CACHE:
+        arrays = [b"".join(map(known.__getitem__, ws)) if ws is not None else next(whole) for ws in pieces]
+        self._forget(fresh)
+        return arrays
+
+    def _of_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece: of words and the signs behind them by the merges alone, of others by the whole tokenizer."""
+        if self.separator is None:
+            return self._whole(pieces) if pieces else []
+        lines = [p for p in pieces if "\n" not in p]
+        shapes = dict(zip(lines, _LINE_SHAPE.findall("\n".join(lines))))
+        parts = {part for word, signs, _ in shapes.values() for part in (word, signs)}.difference(self.known, [""])
+        ids = {"": b""}
+        for group, symbols in (
+            ([p for p in parts if p.isascii()], lambda joined: joined.replace(" ", _SPACE).replace("\n", _SEPARATOR)),
+            ([p for p in parts if not p.isascii()], _symbols),
+        ):
+            for at in range(0, len(group), _TOGETHER):
+                some = group[at : at + _TOGETHER]
+                ids.update(zip(some, self._merged(symbols("\n".join(some)), len(some))))
+        odd = [p for p in pieces if p not in shapes or shapes[p][2]]
+        ids_of = dict(zip(odd, self._whole(odd))) if odd else {}
+        known = self.known
+        for p, (word, signs, other) in shapes.items():
+            if not other:
+                ids_of[p] = (ids[word] if word in ids else known[word]) + (ids[signs] if signs in ids else known[signs])
+        return [ids_of[p] for p in pieces]
+
+    def _merged(self, symbols: str, n: int) -> list[bytes]:
+        """Ids of `n` runs of symbols between separators, which no merge goes across."""
+        ids = np.array([t.id for t in self.model.tokenize(symbols)], "<u4")
+        data, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.separator)).tolist()
+        if len(cuts) != n - 1:
+            raise ValueError("a run of symbols holds the separator")
+        return [data[start:end] for start, end in zip([0, *(c + 4 for c in cuts)], [*cuts, len(data)])]
+
+    def _forget(self, fresh: list[str]) -> None:
+        """Of the pieces just met keep words as long as there is room, and others if they are met in a second batch."""
+        known, seen = self.known, self.seen
+        if len(known) - len(fresh) >= _CACHE:
+            for p in fresh:
+                del known[p]
             return
-        self.known.update(words)
-        seen = self.seen
-        for w, ids in others.items():
-            h = hash(w)
-            if h in seen:
-                self.known[w] = ids
-            else:
-                seen.add(h)
+        for p in fresh:
+            if not p[1:].isalpha():
+                h = hash(p)
+                if h not in seen:
+                    seen.add(h)
+                    del known[p]
         if len(seen) > 4 * _CACHE:
             seen.clear()
 
 
+def _symbols(joined: str) -> str:
+    """Byte-level symbols of lines, with separators for newlines."""
+    lines = joined.encode("utf-8", "surrogatepass").decode("latin-1").split("\n")
+    return _SEPARATOR.join(lines).translate(_SYMBOLS)
+
+
+def _odd_spaces(text: str) -> bool:
+    """Whether `_RUN` finds something; texts with none but lone spaces and newlines, or pairs, are told without it."""
+    if any(c in text for c in _OTHER_SPACES) if text.isascii() else _OTHER_SPACE.search(text):
+        return _RUN.search(text) is not None
+    return any(r in text for r in _TRIPLES) or text.endswith(_PAIRS)
+
+
 def worker_encoder(path: str) -> Encoder:
     """The encoder of this worker process: made once and kept while no other operator's tasks come."""
     return worker_state(f"encoder {path}", lambda: Encoder(path))
