@@ -77,9 +77,12 @@ def _reached(rows: DataFrame, wanted: DataFrame, part: str) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_copies: int = 3, tilt: float = 0.5,
-                seed: int = 20) -> DataFrame:
+                seed: int = 20, max_broadcast_sources: int = 100_000) -> DataFrame:
     """One row for each row of `docs`: (doc_id, source, size, source_size, target, copies, taken, tie).
 
+    Tables with one row for each source are broadcast up to `max_broadcast_sources` sources, so that no source's
+    documents gather in one task; beyond that the planner picks the joins.
+
     `size` is the number of words, `taken` = size * copies, `tie` a hash of the text.
 
     Defined cases: a null source is a source of its own, last in order; null and empty texts have size 0 and
@@ -105,6 +108,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
         ),
         "mix-sums",
     )
+    few = sums.count() <= max_broadcast_sources
+    per_source = lambda table: F.broadcast(table) if few else table
     shared = source_targets(sums.select("source", "source_size"), weights, max_copies)
     shared = shared.select(F.col("source").alias("_source"), "target")
     has_words = F.col("source_size") > 0
@@ -125,7 +130,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     rest = F.greatest(F.lit(0.0), F.col("expected") - F.col("whole"))
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("tie")), 11)
     ranked = (
-        slim.join(sources.select("s", "share", "tilt", "mean"), "s")
+        slim.join(per_source(sources.select("s", "share", "tilt", "mean")), "s")
         .withColumn("expected", expected).withColumn("whole", whole).withColumn("rest", rest)
         .withColumn("u", (bits + 0.5) / F.lit(float(1 << 53)))
     )
@@ -139,18 +144,18 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     ).withColumn("part", F.shiftright("cell", 10)).withColumn("sub", F.col("cell").bitwiseAND(PARTS - 1))
 
     drawn = ranked.filter("v is not null")
-    per_source = ranked.groupBy("s").agg(
+    held = ranked.groupBy("s").agg(
         F.sum(F.col("whole") * F.col("size")).alias("certain"),
         F.sum(F.when(F.col("v").isNotNull(), F.col("size"))).alias("drawable"),
     )
     need = materialize(
-        sources.join(per_source, "s").select(
+        sources.join(held, "s").select(
             "s", "source_size", "target", (F.col("target") - F.col("certain")).alias("need"), "drawable"
         ),
         "mix-needs",
     )
     first = _reached(drawn, need.select("s", "need"), "part")
-    inner = drawn.join(first, "s").filter("part = cut_part")
+    inner = drawn.join(per_source(first), "s").filter("part = cut_part")
     second = _reached(inner, need.join(first, "s").select("s", (F.col("need") - F.col("before_part")).alias("need")), "sub")
     cuts = materialize(
         need.join(first.join(second, "s"), "s", "left").withColumn(
@@ -158,7 +163,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
         ),
         "mix-cuts",
     )
-    placed = ranked.join(cuts, "s")
+    placed = ranked.join(per_source(cuts), "s")
     is_end = F.coalesce(F.col("cell") == F.col("cut_cell"), F.lit(False))
     # Without a cut, what may be drawn falls short of the need (all of it is taken) or nothing is needed.
     inside = F.when(F.col("cut_cell").isNull(), F.col("drawable") <= F.col("need")).otherwise(
@@ -176,11 +181,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     gaps = drawn.groupBy("s").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
     miss = F.abs(F.col("gap") - F.col("size"))
     fill = (
-        drawn.filter("v is not null and not more").join(gaps, "s").filter(miss < F.col("gap"))
+        drawn.filter("v is not null and not more").join(per_source(gaps), "s").filter(miss < F.col("gap"))
         .groupBy("s").agg(F.min(F.struct(miss.alias("miss"), "v", "doc_id", "tie", "row")).getField("row").alias("fill"))
     )
     copies = F.col("copies") + F.coalesce((F.col("row") == F.col("fill")).cast("int"), F.lit(0))
-    return drawn.join(fill, "s", "left").select(
+    return drawn.join(per_source(fill), "s", "left").select(
         "doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"), "tie",
     )
