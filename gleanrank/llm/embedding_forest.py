@@ -11,7 +11,8 @@ more than `sample` vectors. A node whose vectors a stage cannot part (near copie
 such leaves are compared in blocks of pairs of `BLOCK` vectors, each block pair a task of its own.
 
 Equal vectors are one class before anything else; only its first vector goes down the trees, with the number of its
-copies. Leaves are chosen in single precision, links in double.
+copies. Leaves are chosen in single precision, links in double: cosines so near the threshold that rounding may decide
+are taken again from the vectors as given, and rounded to double once.
 
 Pairs are not written out. A leaf counts a linked pair only if it is the first of the leaves that the two share,
 which the list of leaves that each vector carries tells, so the counts add up to exact numbers of links; and it
@@ -31,6 +32,8 @@ from gleanrank.llm.words import bound_batches, mix
 from gleanrank.session import Scratch, drop_scratch, materialize
 
 LEAF, BLOCK, STAGE_DEPTH = 400, 2000, 10
+# Far more than the rounding error of a product of two unit vectors.
+SLACK = 1e-9
 MOST_STAGES = 8
 
 
@@ -41,7 +44,22 @@ def usable(vectors: list) -> np.ndarray:
     ], bool)
 
 
-def unit_rows(vectors: list) -> np.ndarray:
+def scaled_rows(vectors: list) -> np.ndarray:
+    """The vectors times powers of two, so that squares stay in range; nothing is rounded."""
+    table = np.array(vectors, np.float64)
+    return np.ldexp(table, -np.frexp(np.abs(table).max(axis=1, keepdims=True))[1]) + 0.0
+
+
+def cosines(table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Cosines of pairs of rows of `table`, made in extended precision and rounded to double at the end."""
+    out, step = np.empty(len(a)), max(1, 1_000_000 // table.shape[1])
+    for at in range(0, len(a), step):
+        x, y = (table[rows[at : at + step]].astype(np.longdouble) for rows in (a, b))
+        out[at : at + step] = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+    return out
+
+
+def unit_rows(vectors: list | np.ndarray) -> np.ndarray:
     table = np.array(vectors, np.float64)
     table /= np.abs(table).max(axis=1, keepdims=True)
     return table / np.linalg.norm(table, axis=1, keepdims=True)
@@ -87,7 +105,7 @@ def _descend(node: int, table: np.ndarray, splits: dict[int, float], margin: flo
 
 
 def _matrix(column, kind: str = "<f8") -> np.ndarray:
-    """The unit vectors of a column of little-endian doubles, or of floats of another kind."""
+    """The vectors of a column of little-endian doubles, or of floats of another kind."""
     data = b"".join(column.to_pylist())
     return np.frombuffer(data, kind).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
@@ -100,29 +118,33 @@ def _unit_rows(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in ok:
             by_width.setdefault(len(vectors[i]), []).append(int(i))
         for width, rows in sorted(by_width.items()):
-            units = unit_rows([vectors[i] for i in rows])
+            scaled = scaled_rows([vectors[i] for i in rows])
+            unit, scaled = (pa.array([v.astype("<f8").tobytes() for v in table], pa.binary()) for table in (unit_rows(scaled), scaled))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array([width] * len(rows), pa.int32()),
-                 pa.array([u.astype("<f8").tobytes() for u in units], pa.binary())], ["id", "width", "unit"],
+                [batch.column(0).take(pa.array(rows)), pa.array([width] * len(rows), pa.int32()), unit, scaled],
+                ["id", "width", "unit", "scaled"],
             )
 
 
 def _with_short(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the unit vector in single precision, enough to choose leaves by, to (width, unit, id, copies)."""
+    """Adds the unit vector in single precision, enough to choose leaves by, to (id, width, copies, unit, scaled)."""
     for batch in source:
-        short = [np.frombuffer(u, "<f8").astype("<f4").tobytes() for u in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(2), batch.column(0), batch.column(3), batch.column(1), pa.array(short, pa.binary())],
-            ["id", "width", "copies", "unit", "short"],
-        )
+        short = [np.frombuffer(u, "<f8").astype("<f4").tobytes() for u in batch.column(3).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(short, pa.binary())], [*batch.schema.names, "short"])
+
+
+def _margin(reach: float, table: np.ndarray) -> float:
+    """Margin of the splits of a node, whose vectors are all of one length."""
+    return reach / float(np.sqrt(table.shape[1]))
 
 
-def _fits(margin: float):
+def _fits(reach: float):
     def run(table: pa.Table) -> pa.Table:
         node, rows = table.column("node")[0].as_py(), table.column("rows")[0].as_py()
         # Least id order makes the sample independent of how rows arrive.
         table = table.sort_by("id")
-        splits = _fit(node, _matrix(table.column("short"), "<f4"), rows, margin)
+        vectors = _matrix(table.column("short"), "<f4")
+        splits = _fit(node, vectors, rows, _margin(reach, vectors))
         return pa.table({
             "node": pa.array([node], pa.int64()), "places": pa.array([[p for p, _ in splits]], pa.list_(pa.int64())),
             "cuts": pa.array([[c for _, c in splits]], pa.list_(pa.float64())),
@@ -130,14 +152,15 @@ def _fits(margin: float):
     return run
 
 
-def _descends(margin: float):
+def _descends(reach: float):
     """Vectors of one slice of a node, and the node's splits -> (id, new node)."""
     def run(vectors: pa.Table, fitted: pa.Table) -> pa.Table:
         out_ids, out_nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         if len(vectors) and len(fitted):
             node, ids = fitted.column("node")[0].as_py(), vectors.column("id").to_numpy()
             splits = dict(zip(fitted.column("places")[0].as_py(), fitted.column("cuts")[0].as_py()))
-            for members, place in _descend(node, _matrix(vectors.column("short"), "<f4"), splits, margin):
+            table = _matrix(vectors.column("short"), "<f4")
+            for members, place in _descend(node, table, splits, _margin(reach, table)):
                 new = mix(np.array([node], np.int64).view(np.uint64) + mix(np.uint64([place + 1])))
                 out_ids.append(ids[members])
                 out_nodes.append(np.full(len(members), new.view(np.int64)[0]))
@@ -162,20 +185,23 @@ def _leaf_links(threshold: float):
     """Links within one leaf, or between two blocks of one: (id, copies linked that count here, least linked id)."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        ids, units = table.column("id").to_numpy(), _matrix(table.column("unit"))
+        ids, scaled = table.column("id").to_numpy(), _matrix(table.column("scaled"))
+        units = unit_rows(scaled)
         leaf, copies = table.column("node")[0].as_py(), table.column("copies").to_numpy()
         first, second = (np.array(table.column(c).to_pylist(), bool) for c in ("first", "second"))
         count, least, bits = np.zeros(len(ids), np.int64), ids.copy(), None
         one_block = first & second
         for start in range(0, len(ids), 500):
             rows = np.arange(start, min(start + 500, len(ids)))
-            near = units[rows] @ units.T >= threshold
+            cosine = units[rows] @ units.T
             # Each pair once: the first of the rows has to be of the first block, the other of the second.
             pair = (first[rows][:, None] & second[None, :] & ~one_block[rows][:, None]) | (
                 one_block[rows][:, None] & one_block[None, :] & (rows[:, None] < np.arange(len(ids))[None, :])
             )
-            i, j = np.nonzero(near & pair)
-            i = rows[i]
+            i, j = np.nonzero((cosine >= threshold - SLACK) & pair)
+            sure, i = cosine[i, j] >= threshold + SLACK, rows[i]
+            sure[~sure] = cosines(scaled, i[~sure], j[~sure]) >= threshold
+            i, j = i[sure], j[sure]
             for part in range(0, len(i), 200_000):
                 a, b = i[part : part + 200_000], j[part : part + 200_000]
                 np.minimum.at(least, a, ids[b])
@@ -190,7 +216,7 @@ def _leaf_links(threshold: float):
     return run
 
 
-def _leaves(units: DataFrame, trees: int, sample: int, margin: float) -> DataFrame:
+def _leaves(units: DataFrame, trees: int, sample: int, reach: float) -> DataFrame:
     """(id, node): the leaves of every vector in every tree, `units` being (id, width, short)."""
     spark = units.sparkSession
     root = F.explode(F.array(*[F.xxhash64(F.lit(f"tree {t}"), F.col("width")) for t in range(trees)]))
@@ -206,7 +232,7 @@ def _leaves(units: DataFrame, trees: int, sample: int, margin: float) -> DataFra
             F.pmod(F.xxhash64("node", "id"), F.lit(1 << 40)) < F.least(F.lit(1.0), sample / F.col("rows")) * (1 << 40)
         )
         splits = drawn.join(units.select("id", "short"), "id").groupBy("node").applyInArrow(
-            _fits(margin), "node long, places array<long>, cuts array<double>"
+            _fits(reach), "node long, places array<long>, cuts array<double>"
         ).filter(F.size("places") > 0)
         # A node's vectors go down its splits in slices of about `sample`: the splits travel once for each slice.
         fitted = scope.keep(
@@ -218,7 +244,7 @@ def _leaves(units: DataFrame, trees: int, sample: int, margin: float) -> DataFra
         )
         vectors = sliced.join(units.select("id", "short"), "id").groupBy("node", "slice")
         each = fitted.select("node", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "places", "cuts")
-        down = vectors.cogroup(each.groupBy("node", "slice")).applyInArrow(_descends(margin), "id long, node long")
+        down = vectors.cogroup(each.groupBy("node", "slice")).applyInArrow(_descends(reach), "id long, node long")
         following = Scratch(spark, "forest-stage")
         nodes = following.keep(down.distinct(), "nodes")
         drop_scratch(spark, scope.path)
@@ -250,24 +276,23 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     source = vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     with Scratch(spark, "forest") as scope:
         units = scope.keep(
-            source.filter("id is not null and v is not null").mapInArrow(_unit_rows, "id long, width int, unit binary")
-            .groupBy("id").agg(F.min(F.struct("width", "unit")).alias("u")).select("id", "u.width", "u.unit"),
+            source.filter("id is not null and v is not null")
+            .mapInArrow(_unit_rows, "id long, width int, unit binary, scaled binary")
+            .groupBy("id").agg(F.min(F.struct("width", "unit", "scaled")).alias("u")).select("id", "u.*"),
             "units",
         )
         # Equal vectors are one class from here on, its least id stands for it and `copies` counts it.
         classes = scope.keep(
-            units.groupBy("width", "unit").agg(F.min("id").alias("id"), F.count("*").alias("copies")).mapInArrow(
-                _with_short, "id long, width int, copies long, unit binary, short binary"
-            ), "classes",
+            units.groupBy("width", "unit").agg(F.count("*").alias("copies"), F.min(F.struct("id", "scaled")).alias("u"))
+            .select("u.id", "width", "copies", "unit", "u.scaled")
+            .mapInArrow(_with_short, "id long, width int, copies long, unit binary, scaled binary, short binary"), "classes",
         )
         several = classes.filter("copies > 1").select("width", "unit", F.col("id").alias("class"))
         members = materialize(units.join(several, ["width", "unit"]).select("id", "class"), "vector-classes")
-        # The margin depends on the length of the vectors; the longest ones set it for all.
-        width = classes.agg(F.max("width")).first()[0] or 1
-        margin = spill * float(np.sqrt(max(0.0, 2 - 2 * threshold) / width))
-        leaves = scope.keep(_leaves(classes, trees, sample, margin).distinct(), "leaves")
+        reach = spill * float(np.sqrt(max(0.0, 2 - 2 * threshold)))
+        leaves = scope.keep(_leaves(classes, trees, sample, reach).distinct(), "leaves")
         held = leaves.groupBy("id").agg(F.array_sort(F.collect_set("node")).alias("leaves"))  # a few leaves of each tree
-        vectors_held = scope.keep(classes.select("id", "copies", "unit").join(held, "id"), "vectors")
+        vectors_held = scope.keep(classes.select("id", "copies", "scaled").join(held, "id"), "vectors")
         blocks = leaves.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         dealt = leaves.join(blocks, "node").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
             "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

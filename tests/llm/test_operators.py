@@ -367,6 +367,17 @@ def test_links_near_the_threshold_are_found(spark):
     assert got.n_links[6000] == 701 * linked
 
 
+def test_links_at_the_threshold_are_found(spark):
+    """Cosines of exactly 9 / 10, between whole numbers and in other scales, and the nearest ones below it."""
+    b = np.array([9, 4, 1, 1, 1, 0.0])
+    vectors = [k * np.roll(v, r) for r in range(6) for k in (1, 7, 2.0**-600, 3 * 2.0**500) for v in (np.eye(6)[0], b)]
+    below = [np.eye(6)[0], np.array([9 - 1e-14, 4, 1, 1, 1, 0])]
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(1000 + i, [*v.tolist(), 0.0]) for i, v in enumerate(below)]
+    got = embedding_forest.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).toPandas()
+    assert (got.n_links[got.vec_id < 1000] == 7).all() and (got.n_links[got.vec_id >= 1000] == 0).all()
+    assert (got.component_id[got.vec_id < 1000] == got.vec_id[got.vec_id < 1000] // 8 * 8).all()
+
+
 # ---- 6 token files -------------------------------------------------------------------------------------------
 
 
