@@ -194,3 +194,11 @@ def test_unfinished_index_is_not_searched(spark, docs, tmp_path):
     (path / "built").rename(tmp_path / "elsewhere")
     with pytest.raises(AnalysisException):
         search(spark, str(path), "red", 3, "tfdf")
+
+
+def test_files_of_sorted_rows_are_bounded(spark, tmp_path):
+    """60 million rows, as far as the writer knows: no task sorts more than 5 million of them."""
+    from gleanrank.sinks.tables import write_sorted
+
+    write_sorted(spark.range(2000), str(tmp_path / "sorted"), ["id"], 60_000_000)
+    assert len(list((tmp_path / "sorted").glob("part-*"))) >= 12
