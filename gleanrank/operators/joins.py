@@ -1,4 +1,4 @@
-"""Equi-join for keys whose number of rows is known and very uneven."""
+"""Equi-joins for keys whose number of rows is known and very uneven."""
 
 from __future__ import annotations
 
@@ -10,6 +10,27 @@ MAX_HOT_KEYS = 100_000
 MIN_ROWS_PER_SLICE = 1_000_000
 
 
+def join_frequent(rows: DataFrame, keys: DataFrame, key: str, count: str, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Inner join of `rows` to `keys`, where `keys[count]` says how many rows carry each key.
+
+    The most frequent keys, at most `max_hot_keys`, are broadcast, so that the rows that carry them do not move; few
+    words make most of a text. Only rows of other keys are shuffled, none of which is on many rows. The
+    limit is a power of two, from a table of how many keys have a count of each order of magnitude. `rows` and
+    `keys` are read twice, so they should be stored tables.
+    """
+    sizes = keys.groupBy((F.length(F.bin(count)) - 1).alias("power")).agg(F.count("*").alias("keys")).collect()
+    limit, hot_keys = 1 << 62, 0
+    for row in sorted(sizes, reverse=True):
+        hot_keys += row["keys"]
+        if hot_keys > max_hot_keys:
+            break
+        limit = 1 << row["power"]
+    is_hot = F.col(count) >= limit
+    hot = keys.filter(is_hot)
+    moved = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keys.filter(~is_hot), key)
+    return rows.join(F.broadcast(hot), key).unionByName(moved)
+
+
 def join_counted(rows: DataFrame, keys: DataFrame, key: str, count: str, spread_by: str,
                  max_hot_keys: int = MAX_HOT_KEYS,
                  min_rows_per_slice: int = MIN_ROWS_PER_SLICE) -> DataFrame:

@@ -6,12 +6,15 @@ known to be unique, `unique_ids=True` skips the merge and its shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from gleanrank.functions.arithmetic import whole_div
 from gleanrank.functions.scoring import tfdf_weight
 from gleanrank.functions.text import run_lengths, run_starts, tokenize
-from gleanrank.operators.joins import join_counted
+from gleanrank.operators.joins import join_counted, join_frequent
+from gleanrank.session import materialize
 
 
 def with_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -20,33 +23,38 @@ def with_tokens(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
 
 
 def count_in_row(tokenized: DataFrame) -> DataFrame:
-    """(doc_id, doc_len, _runs) from (doc_id, tokens): each row's tokens as (term, tf) structs.
+    """(doc_id, doc_len, _runs) from (doc_id, tokens): each row's tokens as (term, tf) structs."""
+    return _runs_in_row(tokenized).select("doc_id", "doc_len", run_lengths("_ordered", "_starts").alias("_runs"))
+
+
+def _runs_in_row(tokenized: DataFrame) -> DataFrame:
+    """(doc_id, doc_len, _ordered, _starts): each row's tokens in order, and where runs of equal ones start.
 
-    Sorting a row's tokens brings equal ones together, and a count is the distance between two run
-    starts. The arrays are columns of their own, so each is made once per row.
+    A count is the distance between two run starts. The arrays are columns of their own, so each is made once per row.
     """
     ordered = tokenized.select("doc_id", F.sort_array("tokens").alias("_ordered"))
-    starts = ordered.select(
+    return ordered.select(
         "doc_id", F.size("_ordered").cast("bigint").alias("doc_len"), "_ordered",
         run_starts("_ordered").alias("_starts"),
     )
-    return starts.select("doc_id", "doc_len", run_lengths("_ordered", "_starts").alias("_runs"))
 
 
 def row_postings(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(doc_id, doc_len, head, term, tf): one row per input row and distinct term, without a shuffle.
 
     `head` marks exactly one row per input row, so lengths can be taken from the result; an input row
-    without any term keeps one head row, with a null term.
+    without any term keeps one head row, with a null term. Counts are made from the run starts after these became
+    rows, in generated code, which takes less time than structs made inside the row.
     """
-    runs = count_in_row(with_tokens(docs, id_col, text_col))
-    counts = runs.select("doc_id", "doc_len", F.posexplode_outer("_runs").alias("_i", "_c"))
+    runs = _runs_in_row(with_tokens(docs, id_col, text_col))
+    counts = runs.select("doc_id", "doc_len", "_ordered", "_starts", F.posexplode_outer("_starts").alias("_i", "_at"))
+    following = F.coalesce(F.get("_starts", F.col("_i") + 1).cast("bigint"), "doc_len")
     return counts.select(
         "doc_id",
         "doc_len",
         (F.coalesce("_i", F.lit(0)) == 0).alias("head"),
-        F.col("_c.term").alias("term"),
-        F.col("_c.tf").alias("tf"),
+        F.get("_ordered", F.col("_at")).alias("term"),
+        (following - F.col("_at")).alias("tf"),
     )
 
 
@@ -56,6 +64,21 @@ def merge_term_freq(postings: DataFrame) -> DataFrame:
     return known.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
 
 
+def split_repeated(counts: DataFrame, heads: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = materialize) -> tuple[
+        DataFrame, DataFrame | None, DataFrame]:
+    """(rows of `counts` whose ids occur once in `heads`, those of other ids or None, lengths by id).
+
+    `heads` has one (doc_id, doc_len) for each input row. Counts of an id that occurs once are whole as they are, so
+    only the others have to be merged.
+    """
+    merged = keep(heads.groupBy("doc_id").agg(F.sum("doc_len").alias("doc_len"), F.count("*").alias("rows")), "lengths")
+    lengths, several = merged.select("doc_id", "doc_len"), merged.filter("rows > 1").select(F.col("doc_id").alias("_id"))
+    if several.isEmpty():
+        return counts, None, lengths
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    return counts.join(several, same, "left_anti"), counts.join(several, same, "left_semi"), lengths
+
+
 def term_freq(docs: DataFrame, id_col: str = "id", text_col: str = "text",
               unique_ids: bool = False) -> DataFrame:
     """Occurrences of each term in each document: (doc_id, term, tf)."""
@@ -114,10 +137,20 @@ def with_lengths(tf: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def with_tfdf_weight(tf: DataFrame, df: DataFrame) -> DataFrame:
     """Attach weight = tf / df; a term without a document frequency is dropped."""
-    joined = join_counted(tf, df, "term", "df", spread_by="doc_id")
+    joined = join_frequent(tf, df, "term", "df")
     return joined.withColumn("weight", tfdf_weight(F.col("tf"), F.col("df"))).drop("df")
 
 
+def row_vectors(counts: DataFrame) -> DataFrame:
+    """(doc_id, part, doc_len, vector) with the counts of terms, straight from rows of `count_in_row` whose ids differ.
+
+    As in `doc_vectors`, a null id has an empty vector.
+    """
+    known = F.when(F.col("doc_id").isNotNull(), F.col("_runs"))
+    vector = F.map_from_entries(F.coalesce(known, F.slice("_runs", 1, 0)))
+    return counts.select("doc_id", F.lit(0).alias("part"), "doc_len", vector.alias("vector"))
+
+
 def doc_vectors(postings: DataFrame, lengths: DataFrame, value: str = "weight", parts: int = 1) -> DataFrame:
     """(doc_id, part, doc_len, vector): each document of `lengths` with its terms as a map, empty for none.
 
@@ -127,6 +160,8 @@ def doc_vectors(postings: DataFrame, lengths: DataFrame, value: str = "weight",
     entry = F.struct("term", F.col(value).alias("value"))
     maps = (
         postings.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int"))
+        # Dealt out before lists are made: a scan's rows are too many to be sorted for them without spilling.
+        .repartition("doc_id", "part")
         .groupBy("doc_id", "part")
         .agg(F.map_from_entries(F.collect_list(entry)).alias("vector"))
     )

@@ -78,14 +78,14 @@ def corpus_stats(spark, sf_dir):
 def _postings(docs: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     """Merged (tf, lengths), both from one stored pass over the texts."""
     rows = materialize(terms.row_postings(docs, id_col, "text"), "rows")
-    lengths = materialize(terms.merge_lengths(rows.filter("head").select("doc_id", "doc_len")), "lengths")
-    return terms.merge_term_freq(rows), lengths
+    once, again, lengths = terms.split_repeated(rows, rows.filter("head").select("doc_id", "doc_len"))
+    tf = once.filter("term is not null").select("doc_id", "term", "tf")
+    return tf if again is None else materialize(tf.unionByName(terms.merge_term_freq(again)), "tf"), lengths
 
 
 def _weighted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(TF/DF weighted terms, lengths)."""
     tf, lengths = _postings(docs)
-    tf = materialize(tf, "tf")
     return terms.with_tfdf_weight(tf, materialize(terms.doc_freq(tf), "df")), lengths
 
 
@@ -107,10 +107,16 @@ def _with_empty(docs: DataFrame) -> DataFrame:
 
 
 def doc_vectors(spark, sf_dir):
-    tf, lengths = _postings(_with_empty(documents(spark, sf_dir)))
-    vectors = terms.doc_vectors(tf, lengths, value="tf")
+    tokens = terms.with_tokens(_with_empty(documents(spark, sf_dir)))
+    counts = materialize(terms.count_in_row(tokens), "rows")
+    once, again, lengths = terms.split_repeated(counts, counts.select("doc_id", "doc_len"))
+    vectors = terms.row_vectors(once)
+    if again is not None:
+        others = lengths.join(once.select(F.col("doc_id").alias("_id")), F.expr("doc_id <=> _id"), "left_anti")
+        tf = terms.merge_term_freq(again.select("doc_id", F.inline("_runs")))
+        vectors = vectors.unionByName(terms.doc_vectors(tf, others, value="tf"))
     entries = F.transform(
-        F.array_sort(F.map_entries("vector")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
+        F.sort_array(F.map_entries("vector")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))
     )
     return vectors.select("doc_id", "doc_len", F.array_join(entries, " ").alias("vector"))
 
@@ -118,7 +124,7 @@ def doc_vectors(spark, sf_dir):
 def doc_vectors_tfdf(spark, sf_dir):
     weighted, lengths = _weighted(_with_empty(documents(spark, sf_dir)))
     entries = F.transform(
-        F.array_sort(F.map_entries("vector")),
+        F.sort_array(F.map_entries("vector")),
         lambda e: F.concat(e["key"], F.lit("="), F.round(e["value"] * 1e6).cast("bigint").cast("string")),
     )
     return terms.doc_vectors(weighted, lengths).select("doc_id", "doc_len", F.array_join(entries, " ").alias("vector"))

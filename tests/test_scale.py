@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from gleanrank.operators.captures import index_captures
-from gleanrank.operators.joins import join_counted
+from gleanrank.operators.joins import join_counted, join_frequent
 from gleanrank.operators.numbering import batch_of, number_rows
 from gleanrank.operators.records import assemble_records, segment_lines
 from gleanrank.plans.index import build_index
@@ -202,3 +202,65 @@ def test_files_of_sorted_rows_are_bounded(spark, tmp_path):
 
     write_sorted(spark.range(2000), str(tmp_path / "sorted"), ["id"], 60_000_000)
     assert len(list((tmp_path / "sorted").glob("part-*"))) >= 12
+
+
+@pytest.mark.parametrize("most", [0, 1, 10, 1000])
+def test_join_frequent_equals_plain_join(spark, most):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"), F.col("id").alias("v"),
+    )
+    keys = rows.groupBy("k").agg(F.count("*").alias("n")).filter("k is null or k <> 'k7'")
+    plain = sorted(map(tuple, rows.join(keys, "k").select("k", "v", "n").collect()))
+    joined = join_frequent(rows, keys, "k", "n", max_hot_keys=most)
+    assert joined.columns == ["k", "v", "n"] and sorted(map(tuple, joined.collect())) == plain
+
+
+def test_rows_of_frequent_keys_do_not_move(spark, tmp_path):
+    """Only the 100 rows of rare keys are shuffled, and 10 keys."""
+    spark.range(10_000).select(
+        F.when(F.col("id") >= 100, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 10).cast("string"))).alias("k"), "id"
+    ).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    rows.groupBy("k").agg(F.count("*").alias("n")).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = join_frequent(rows, keys, "k", "n", max_hot_keys=1)
+        assert joined.count() == 10_000
+        moved = joined.filter("k <> 'hot'")
+        assert moved.count() == 100
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange hashpartitioning") == 2 and "LeftAnti, BuildRight" in plan
+
+
+def test_counts_of_repeated_and_null_ids_are_merged(spark):
+    from gleanrank.operators import terms
+    from gleanrank.workload import queries
+
+    docs = spark.createDataFrame(
+        [(1, "a b a"), (1, "b c"), (2, "c c"), (3, ""), (3, ""), (4, None), (None, "x x"), (None, "x y")], "id bigint, text string"
+    )
+    tf, lengths = queries._postings(docs)
+    key = lambda r: str(tuple(r))
+    assert sorted(map(key, tf.collect())) == sorted(map(key, terms.term_freq(docs).collect()))
+    assert sorted(map(key, lengths.collect())) == sorted(map(key, terms.doc_lengths(docs).collect()))
+
+
+def test_documents_that_occur_once_make_vectors_without_a_shuffle(spark, tmp_path, monkeypatch):
+    from gleanrank.workload import queries
+
+    def of(rows):
+        monkeypatch.setattr(queries, "documents", lambda *_: spark.createDataFrame(rows, "id bigint, text string").coalesce(2))
+        return queries.doc_vectors(spark, "")
+
+    once = of([(1, "b a b"), (2, "")])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, once.collect())) == [(-1, 0, ""), (1, 3, "a=1 b=2"), (2, 0, "")]
+    again = of([(1, "b a b"), (2, ""), (1, "c a"), (3, "z")])
+    assert sorted(map(tuple, again.collect())) == [(-1, 0, ""), (1, 5, "a=2 b=2 c=1"), (2, 0, ""), (3, 1, "z=1")]
+    null = of([(None, "z"), (3, "z")])
+    assert sorted(map(str, null.collect())) == sorted(map(str, of([(None, "z"), (3, "z"), (3, "")]).collect()))
